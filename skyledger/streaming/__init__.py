@@ -1,0 +1 @@
+"""Deliberately empty: every flow in this toolkit is a batch job."""
