@@ -79,7 +79,9 @@ def weather_stored(
     columns += [_code(key, name, seed).cast(stored[name]).alias(name) for name in CODES]
     columns += [
         _is_day(key, seed).alias("is_day"),
-        (F.current_timestamp() if event_time is None else event_time).alias("event_time"),
+        (F.current_timestamp() if event_time is None else event_time)
+        .cast(stored["event_time"])
+        .alias("event_time"),
         (key % schemas.BATCHES).cast(stored["batch_id"]).alias("batch_id"),
     ]
     return ids.select(*columns)

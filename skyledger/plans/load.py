@@ -50,12 +50,17 @@ def finalize(
     started = time.monotonic()
     if statistics:
         tables.analyze(spark, table)
-    row = summary(spark.table(table), with_size=True)
-    elapsed = time.monotonic() - started
-    return row.select(
-        F.lit(elapsed).alias("finalization_time_seconds"),
-        F.lit(records_processed).cast("bigint").alias("records_processed"),
-        "table_size",
-        "record_count",
-        F.col("avg_temperature").cast("double").alias("avg_temperature"),
+    row = summary(spark.table(table), with_size=True).first()
+    return spark.createDataFrame(
+        [
+            (
+                time.monotonic() - started,
+                records_processed,
+                row["table_size"],
+                row["record_count"],
+                float(row["avg_temperature"]),
+            )
+        ],
+        "finalization_time_seconds double, records_processed bigint, table_size string, "
+        "record_count bigint, avg_temperature double",
     )
