@@ -137,7 +137,10 @@ def finalized_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 def schema_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, _ = _loaded(spark, sf_dir, "listed")
     listing = readers.catalog_columns(spark, table)
-    filled = profile(spark.table(table)).select("column_name", (F.col("rows") - F.col("nulls")).alias("filled"))
+    stored = spark.table(table)
+    filled = stored.agg(*[F.count(name).alias(name) for name in stored.columns]).unpivot(
+        [], stored.columns, "column_name", "filled"
+    )
     return (
         listing.join(filled, "column_name")
         .withColumn("n_columns", F.lit(listing.count()))
@@ -159,8 +162,8 @@ def rows_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     requested = events.count()
     written = tables.counting_rows(events, lambda df: df.write.parquet(path))
     return spark.read.parquet(path).agg(
-        F.lit(requested).alias("requested"),
-        F.lit(written).alias("written"),
+        F.lit(requested).cast("bigint").alias("requested"),
+        F.lit(written).cast("bigint").alias("written"),
         F.count(F.lit(1)).alias("stored"),
     )
 

@@ -1,9 +1,13 @@
 """One-pass summaries of a loaded table."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from skyledger.functions.numbers import rounded_mean, size_text
 
+SKETCH_ERROR = 0.02
+
 
 def summary(
     df: DataFrame,
@@ -66,38 +70,64 @@ def data_size(df: DataFrame) -> DataFrame:
     ).withColumn("table_size", size_text(F.col("size_bytes")))
 
 
-def _distinct(name: str, exact: bool) -> Column:
-    return F.count_distinct(F.col(name)) if exact else F.approx_count_distinct(name, 0.02)
-
-
 def profile(df: DataFrame, exact: bool = False) -> DataFrame:
     """Per column: position, type, rows, nulls, distinct values, least and greatest.
 
-    One scan. The default sketches distinct values (2 % standard error) and shuffles
-    one row per task. ``exact`` has to shuffle every distinct value of every column
-    once; keep it for narrow or modest tables.
+    The default is one scan that sketches distinct values (2 % standard error) and
+    shuffles one row per task. ``exact`` groups each column by itself: repeats within
+    a task are combined before its shuffle, so a value held by most rows is no burden, but
+    every distinct value travels once. It reads a column at a time, which adds up to one scan of a columnar table; for very large ones raise
+    ``spark.sql.files.maxPartitionBytes`` to suit single-column tasks.
     """
+    rows = _exact_profile(df) if exact else _sketched_profile(df)
+    return rows.orderBy("ordinal_position")
+
+
+def _described(df: DataFrame, position: int) -> list[Column]:
+    name = df.columns[position]
+    return [
+        F.lit(name).alias("column_name"),
+        F.lit(df.schema[name].dataType.simpleString()).alias("data_type"),
+        F.lit(position + 1).alias("ordinal_position"),
+    ]
+
+
+def _sketched_profile(df: DataFrame) -> DataFrame:
     measures = [F.count(F.lit(1)).alias("rows")]
+    columns = []
     for position, name in enumerate(df.columns):
         measures += [
             F.count(F.col(name)).alias(f"filled_{position}"),
-            _distinct(name, exact).alias(f"distinct_{position}"),
+            F.approx_count_distinct(name, SKETCH_ERROR).alias(f"distinct_{position}"),
             F.min(name).cast("string").alias(f"least_{position}"),
             F.max(name).cast("string").alias(f"greatest_{position}"),
         ]
-    described = F.array(
-        *[
+        columns.append(
             F.struct(
-                F.lit(name).alias("column_name"),
-                F.lit(df.schema[name].dataType.simpleString()).alias("data_type"),
-                F.lit(position + 1).alias("ordinal_position"),
+                *_described(df, position),
                 F.col("rows"),
                 (F.col("rows") - F.col(f"filled_{position}")).alias("nulls"),
                 F.col(f"distinct_{position}").alias("distinct_values"),
                 F.col(f"least_{position}").alias("least"),
                 F.col(f"greatest_{position}").alias("greatest"),
             )
-            for position, name in enumerate(df.columns)
-        ]
-    )
-    return df.agg(*measures).select(F.inline(described)).orderBy("ordinal_position")
+        )
+    return df.agg(*measures).select(F.inline(F.array(*columns)))
+
+
+def _exact_profile(df: DataFrame) -> DataFrame:
+    value, repeats = F.col("value"), F.col("repeats")
+    columns = [
+        df.groupBy(F.col(name).alias("value"))
+        .agg(F.count(F.lit(1)).alias("repeats"))
+        .agg(
+            F.coalesce(F.sum(repeats), F.lit(0)).alias("rows"),
+            F.coalesce(F.sum(F.when(value.isNull(), repeats)), F.lit(0)).alias("nulls"),
+            F.count(value).alias("distinct_values"),
+            F.min(value).cast("string").alias("least"),
+            F.max(value).cast("string").alias("greatest"),
+        )
+        .select(*_described(df, position), "rows", "nulls", "distinct_values", "least", "greatest")
+        for position, name in enumerate(df.columns)
+    ]
+    return reduce(DataFrame.unionAll, columns)

@@ -1,4 +1,4 @@
-"""Append to a database table over JDBC."""
+"""Write to a database table over JDBC."""
 
 from pyspark.sql import DataFrame
 
@@ -14,19 +14,30 @@ def jdbc_options(
     url: str, user: str, password: str, driver: str, **overrides: str
 ) -> dict[str, str]:
     """Connection and write options as Spark takes them."""
-    return {"url": url, "user": user, "password": password, "driver": driver} | WRITE_DEFAULTS | {
-        name: str(value) for name, value in overrides.items()
+    return {
+        "url": url,
+        "user": user,
+        "password": password,
+        "driver": driver,
+        **WRITE_DEFAULTS,
+        **{name: str(value) for name, value in overrides.items()},
     }
 
 
-def append_jdbc(df: DataFrame, options: dict[str, str], table: str) -> None:
-    """Append the frame's columns; the database fills the others.
+def write_jdbc(df: DataFrame, options: dict[str, str], table: str, replace: bool = False) -> None:
+    """Append the frame's columns, the database filling any others, or replace the table.
 
     ``numPartitions`` caps the connections by merging tasks before the write, and so
     also caps how many tasks compute the rows: for an expensive frame write it to
-    files first and append from there. Each task commits its own rows, so a job that
-    failed half-way must be cleared in the database before it is run again.
+    files first and append from there. Each task commits its own rows, so an append
+    that failed half-way must be cleared in the database before it is run again;
+    ``replace`` drops and creates the table with the frame's types, which makes the
+    write repeatable.
     """
-    df.write.format("jdbc").options(**options).option("dbtable", table_identifier(table)).mode(
-        "append"
-    ).save()
+    (
+        df.write.format("jdbc")
+        .options(**options)
+        .option("dbtable", table_identifier(table))
+        .mode("overwrite" if replace else "append")
+        .save()
+    )

@@ -5,18 +5,21 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from skyledger import schemas
 from skyledger.functions.text import table_identifier
 
-# About 200 MB of stored weather rows: one file per task of a comfortable size.
-ROWS_PER_TASK = 16_000_000
+# Stored weather rows take some 16 bytes: tasks write files of 2 to 256 MB.
+LEAST_ROWS_PER_TASK = 125_000
+MOST_ROWS_PER_TASK = 16_000_000
 
 
 def row_ids(spark: SparkSession, rows: int, partitions: int | None = None) -> DataFrame:
     """Ids 0..rows-1.
 
-    By default one task per core, and more once a task would exceed ROWS_PER_TASK, so
-    file sizes stay level however large the load is.
+    By default one task per core, fewer for loads too small to be worth it, and more
+    once a task would grow too long, so file sizes stay level however large the load.
     """
     if partitions is None:
-        partitions = max(spark.sparkContext.defaultParallelism, -(-rows // ROWS_PER_TASK))
+        worthwhile = max(1, rows // LEAST_ROWS_PER_TASK)
+        needed = -(-rows // MOST_ROWS_PER_TASK)
+        partitions = max(min(spark.sparkContext.defaultParallelism, worthwhile), needed)
     return spark.range(0, rows, 1, partitions)
 
 

@@ -1,0 +1,91 @@
+import pytest
+
+from skyledger import schemas
+from skyledger.operators.people import people_counts, with_payload
+from skyledger.plans.people import people, sentences
+from skyledger.sources.readers import payload_bodies
+
+ANNA = '{"craft": "Kite", "name": "Anna"}'
+BO = '{"craft": "Kite", "name": "Bo"}'
+FALLBACK = schemas.FALLBACK_PEOPLE
+
+
+def frame(spark, *bodies):
+    return spark.createDataFrame([(b,) for b in bodies], "body string")
+
+
+@pytest.mark.parametrize(
+    "body",
+    [
+        None,
+        "",
+        "   ",
+        "not json",
+        "null",
+        "[]",
+        '"text"',
+        f'{{"people": [{ANNA}]}}',
+        '{"number": 1}',
+        f'{{"number": 1, "people": [{ANNA}]',
+        f'{{"number": 1, "people": [{ANNA}]}} and more',
+        f'{{"number": 1, "people": [{ANNA}]}}, {{"number": 1, "people": [{ANNA}]}}',
+        "{'number': 1, 'people': []}",
+    ],
+)
+def test_unreadable_bodies_give_the_whole_fallback(spark, body):
+    rows = people(frame(spark, body)).collect()
+    assert [(r.craft, r.name) for r in rows] == FALLBACK
+    assert all(r.used_fallback for r in rows)
+    assert with_payload(frame(spark, body)).first().number == 12
+
+
+@pytest.mark.parametrize(
+    "body, listed, number",
+    [
+        (f'{{"number": 2, "people": [{ANNA}, {BO}]}}', ["Anna", "Bo"], 2),
+        (f'{{"people": [{ANNA}], "message": "ok", "number": 1}}', ["Anna"], 1),
+        (f'  {{"number": 1, "people": [{ANNA}]}}\n', ["Anna"], 1),
+        (f'{{"number": 9, "people": [{ANNA}]}}', ["Anna"], 9),
+        (f'{{"number": null, "people": [{ANNA}]}}', ["Anna"], None),
+        ('{"number": 0, "people": []}', [], 0),
+        ('{"number": 1, "people": null}', [], 1),
+    ],
+)
+def test_readable_bodies(spark, body, listed, number):
+    df = frame(spark, body)
+    assert [r.name for r in people(df).collect()] == listed
+    counts = people_counts(with_payload(df)).first()
+    assert (counts.number, counts.listed, counts.used_fallback) == (number, len(listed), False)
+    assert counts.counts_agree == (number == len(listed))
+
+
+def test_sentences(spark):
+    rows = sentences(frame(spark, f'{{"number": 2, "people": [{ANNA}, {BO}]}}')).collect()
+    assert [r.sentence for r in rows] == [
+        "Anna is currently in space flying on the Kite! Hello! :)",
+        "Bo is currently in space flying on the Kite! Hello! :)",
+    ]
+    assert sentences(frame(spark, f'{{"number": 1, "people": [{ANNA}]}}'), greeting="Bye.").first().sentence.endswith("Kite! Bye.")
+
+
+def test_a_person_without_a_name_has_no_sentence(spark):
+    body = f'{{"number": 3, "people": [{{"craft": "Kite"}}, null, {ANNA}]}}'
+    assert [r.sentence is None for r in sentences(frame(spark, body)).collect()] == [True, True, False]
+
+
+def test_one_large_body_is_unpacked_whole(spark):
+    many = ",".join(f'{{"craft": "c", "name": "n{i}"}}' for i in range(20_000))
+    assert people(frame(spark, f'{{"number": 20000, "people": [{many}]}}')).select("name").distinct().count() == 20_000
+
+
+def test_bodies_from_lines_and_from_whole_files(spark, tmp_path):
+    (tmp_path / "a.json").write_text(f'{{"number": 1,\n "people": [{ANNA}]}}\n')
+    (tmp_path / "b.json").write_text("broken\n")
+    whole = people(payload_bodies(spark, str(tmp_path), whole_files=True))
+    assert sorted(r.name for r in whole.collect()) == sorted(["Anna", *[name for _, name in FALLBACK]])
+    assert payload_bodies(spark, str(tmp_path)).count() == 3
+
+
+def test_unpacking_does_not_shuffle(spark):
+    plan = sentences(frame(spark, ""))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Python" not in plan

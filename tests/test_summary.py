@@ -1,0 +1,156 @@
+from decimal import Decimal
+
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+import pytest
+
+from skyledger.functions.numbers import rounded_mean, size_text
+from skyledger.operators.summary import data_size, profile, summary
+
+SHAPE = "event_time timestamp_ntz, temperature decimal(3,1)"
+
+
+def readings(spark, tenths_and_repeats):
+    """Rows with temperatures given as (tenths or None, how many of them)."""
+    out = None
+    for tenths, repeats in tenths_and_repeats:
+        value = F.lit(None if tenths is None else Decimal(tenths) / 10).cast("decimal(3,1)")
+        part = spark.range(repeats).select(
+            F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("event_time"), value.alias("temperature")
+        )
+        out = part if out is None else out.unionAll(part)
+    return out
+
+
+def test_empty_table(spark):
+    row = summary(spark.createDataFrame([], SHAPE)).first()
+    assert tuple(row) == (0, None, None, Decimal("0.00"))
+
+
+@pytest.mark.parametrize(
+    "parts, count, mean",
+    [
+        ([(None, 3)], 3, "0.00"),
+        ([(5, 2), (-5, 2)], 4, "0.00"),
+        ([(0, 4)], 4, "0.00"),
+        ([(1, 49_999), (0, 950_002)], 1_000_001, "0.00"),
+        ([(-1, 5), (-2, 1), (-3, 1), (0, 1)], 8, "-0.13"),
+        ([(1, 5), (2, 1), (3, 1), (0, 1)], 8, "0.13"),
+        ([(10, 1), (None, 9)], 10, "1.00"),
+        ([(999, 1)], 1, "99.90"),
+    ],
+)
+def test_mean_is_rounded_once(spark, parts, count, mean):
+    row = summary(readings(spark, parts)).first()
+    assert (row.record_count, row.avg_temperature) == (count, Decimal(mean))
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_mean_of_nothing_in_both_arithmetic_modes(spark, with_conf, ansi):
+    with_conf(spark__sql__ansi__enabled=ansi)
+    assert summary(spark.createDataFrame([], SHAPE)).first().avg_temperature == 0
+
+
+def hundredths(total_tenths, count):
+    """Mean in hundredths from a sum of tenths, half away from zero."""
+    doubled = 20 * abs(total_tenths)
+    whole = (doubled + count) // (2 * count)
+    return whole if total_tenths >= 0 else -whole
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.integers(-10**9, 10**9), st.integers(1, 10**13)), min_size=200, max_size=200))
+def test_mean_equals_integer_arithmetic(spark, pairs):
+    pairs = [(s, max(n, abs(s) // 9000 + 1)) for s, n in pairs]
+    df = spark.createDataFrame([(Decimal(s) / 10, n, i) for i, (s, n) in enumerate(pairs)], "s decimal(13,1), n bigint, i int")
+    got = {r.i: r.m for r in df.select("i", rounded_mean(F.col("s"), F.col("n")).alias("m")).collect()}
+    for i, (s, n) in enumerate(pairs):
+        assert got[i] == Decimal(hundredths(s, n)) / 100
+
+
+def pretty(size):
+    """The published size rule: halve with rounding once past ten thousand units."""
+    if size < 10 * 1024:
+        return f"{size} bytes"
+    size >>= 9
+    for unit in ("kB", "MB", "GB"):
+        if size < 2 * 10 * 1024 - 1:
+            return f"{(size + 1) // 2} {unit}"
+        size >>= 10
+    return f"{(size + 1) // 2} TB"
+
+
+def test_size_text(spark):
+    edges = [0, 1, 10_239, 10_240, 10_485_247, 10_485_248, 10_737_418_239, 10_737_418_240, 10_994_579_406_847, 10**14, 2**62]
+    near = sorted({max(0, e + d) for e in edges for d in (-513, -512, -1, 0, 1, 511, 512)})
+    df = spark.createDataFrame([(n,) for n in near], "n bigint")
+    assert {r.n: r.t for r in df.select("n", size_text(F.col("n")).alias("t")).collect()} == {n: pretty(n) for n in near}
+    assert pretty(10_239) == "10239 bytes" and pretty(10_240) == "10 kB" and pretty(10_485_248) == "10 MB"
+
+
+def test_size_counts_each_file_once_however_it_is_split(spark, with_conf, tmp_path):
+    path = str(tmp_path / "t")
+    source = spark.range(300_000).select(
+        F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("event_time"),
+        (F.col("id") % 700 / 10).cast("decimal(3,1)").alias("temperature"),
+        "id",
+    )
+    source.repartition(3).write.option("parquet.block.size", 65536).parquet(path)
+    on_disk = sum(f.stat().st_size for f in (tmp_path / "t").glob("part-*"))
+    with_conf(spark__sql__files__maxPartitionBytes="65536")
+    stored = spark.read.parquet(path)
+    assert stored.rdd.getNumPartitions() > 3
+    row = summary(stored, with_size=True).first()
+    assert (row.size_bytes, row.record_count) == (on_disk, 300_000)
+    assert row.table_size == pretty(on_disk)
+    assert data_size(stored).first().asDict() == {"files": 3, "size_bytes": on_disk, "table_size": pretty(on_disk)}
+    assert row.avg_temperature == summary(source).first().avg_temperature
+
+
+def test_size_of_a_table_without_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([], SHAPE).write.parquet(path)
+    row = summary(spark.read.parquet(path), with_size=True).first()
+    assert (row.record_count, row.size_bytes, row.avg_temperature) == (0, 0, 0)
+
+
+def test_summary_reads_only_its_columns(spark, tmp_path):
+    path = str(tmp_path / "t")
+    readings(spark, [(5, 10)]).withColumn("other", F.lit("x")).write.parquet(path)
+    plan = summary(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<event_time:timestamp_ntz,temperature:decimal(3,1)>" in plan
+    assert plan.count("Exchange") == 1
+
+
+@pytest.fixture
+def mixed(spark):
+    return spark.createDataFrame(
+        [(1, "b", 2.5, True), (2, None, 2.5, None), (2, "a", -1.0, True), (None, None, None, True)],
+        "n int, s string, d double, f boolean",
+    )
+
+
+@pytest.mark.parametrize("exact", [True, False])
+def test_profile(mixed, exact):
+    rows = [tuple(r) for r in profile(mixed, exact).collect()]
+    assert rows == [
+        ("n", "int", 1, 4, 1, 2, "1", "2"),
+        ("s", "string", 2, 4, 2, 2, "a", "b"),
+        ("d", "double", 3, 4, 1, 2, "-1.0", "2.5"),
+        ("f", "boolean", 4, 4, 1, 1, "true", "true"),
+    ]
+
+
+@pytest.mark.parametrize("exact", [True, False])
+def test_profile_of_nothing(mixed, exact):
+    assert {(r.rows, r.nulls, r.distinct_values, r.least) for r in profile(mixed.limit(0), exact).collect()} == {
+        (0, 0, 0, None)
+    }
+
+
+def test_sketched_distinct_counts_are_close(spark):
+    df = spark.range(200_000).select((F.col("id") % 50_000).alias("v"), F.col("id"))
+    exact = {r.column_name: r.distinct_values for r in profile(df, exact=True).collect()}
+    near = {r.column_name: r.distinct_values for r in profile(df).collect()}
+    assert exact == {"v": 50_000, "id": 200_000}
+    assert all(abs(near[name] / exact[name] - 1) < 0.08 for name in exact)
