@@ -43,9 +43,16 @@ def by_time(
     return found
 
 
+def _grid(degrees: int) -> tuple[int, int]:
+    """Rows and columns of a grid whose cells measure this many degrees each way."""
+    if degrees < 1 or 180 % degrees:
+        raise ValueError(f"cells of {degrees} degrees do not divide the globe evenly")
+    return 180 // degrees, 360 // degrees
+
+
 def cell_of(latitude: Column, longitude: Column, degrees: int = CELL_DEGREES) -> Column:
     """Number of the grid cell a point lies in; the far edges join the last cells."""
-    rows, columns = 180 // degrees, 360 // degrees
+    rows, columns = _grid(degrees)
     row = F.least(F.floor((latitude + 90) / degrees), F.lit(rows - 1))
     column = F.least(F.floor((longitude + 180) / degrees), F.lit(columns - 1))
     return (row * columns + column).cast("int")
@@ -55,7 +62,7 @@ def cells_in_box(
     south: float, north: float, west: float, east: float, degrees: int = CELL_DEGREES
 ) -> list[int]:
     """Numbers of all cells a latitude/longitude box touches."""
-    rows, columns = 180 // degrees, 360 // degrees
+    rows, columns = _grid(degrees)
 
     def span(low: float, high: float, origin: int, count: int) -> range:
         first = int((low + origin) // degrees)
