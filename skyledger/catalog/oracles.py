@@ -259,6 +259,10 @@ ORACLES: dict[str, str] = {
     "finalized_load": f"WITH {_STORED_LINES}\nSELECT record_count AS records_processed, record_count, "
     "CAST(avg_temperature AS DOUBLE) AS avg_temperature, true AS timed, true AS sized "
     f"FROM ({_summary('stored', 'event_time', TENTHS, 10)})",
+    "reported_load": f"WITH {_STORED_LINES}\nSELECT 'completed' AS status, "
+    "'Spark ETL pipeline completed successfully' AS message, true AS all_rows_written, "
+    "format('{:,}', record_count) AS records_text, CAST(avg_temperature AS VARCHAR) AS average_text, "
+    f"record_count, true AS timed FROM ({_summary('stored', 'event_time', TENTHS, 10)})",
     "schema_listing": SCHEMA_LISTING,
     "reload_idempotent": "SELECT orders.*, run_id FROM orders, (VALUES ('first'), ('second')) AS runs(run_id)",
     "rows_written": "SELECT count(*) AS requested, count(*) AS written, count(*) AS stored FROM events",

@@ -1,13 +1,19 @@
-"""The load job and what follows it: generate, write, lay out, summarise."""
+"""The load job and what follows it: generate, write, lay out, summarise, report."""
 
+from dataclasses import dataclass
 from datetime import datetime
+from decimal import Decimal
+import logging
 import time
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from skyledger import schemas
+from skyledger.functions.text import table_identifier
 from skyledger.operators.summary import summary
 from skyledger.operators.weather import weather, weather_stored
-from skyledger.sinks import tables
+from skyledger.plans.report import run_report
+from skyledger.sinks import layouts, tables
 from skyledger.sinks.jdbc import write_jdbc
 from skyledger.sources.readers import row_ids
 
@@ -66,11 +72,7 @@ def _load_record(table: str, requested: int, written: int, started: float) -> di
 def finalize(
     spark: SparkSession, table: str, records_processed: int, statistics: bool = True
 ) -> DataFrame:
-    """Refresh the table's statistics and return its summary as one row.
-
-    Lookup layouts are separate copies, written with ``sinks.layouts`` for the
-    lookups that are wanted: each costs a shuffle of the whole table.
-    """
+    """Refresh the table's statistics and return its summary as one row."""
     started = time.monotonic()
     if statistics:
         tables.analyze(spark, table)
@@ -88,3 +90,56 @@ def finalize(
         "finalization_time_seconds double, records_processed bigint, table_size string, "
         "record_count bigint, avg_temperature double",
     )
+
+
+@dataclass
+class Layouts:
+    """Copies of one table, each laid out for one kind of lookup."""
+
+    by_batch: DataFrame
+    by_day: DataFrame
+    by_cell: DataFrame
+
+
+def lay_out(spark: SparkSession, table: str, folder: str, buckets: int = 16) -> Layouts:
+    """Write all three lookup layouts of a table.
+
+    Each is a copy and a shuffle of the whole table; where only some lookups are
+    wanted, write those with ``sinks.layouts`` instead. The bucketed copy is the table
+    ``<table>_by_batch``; use more buckets, up to one per batch, for larger tables.
+    """
+    rows = spark.table(table_identifier(table))
+    return Layouts(
+        layouts.bucket_by_batch(rows, f"{table}_by_batch", f"{folder}/by_batch", buckets),
+        layouts.partition_by_day(rows, f"{folder}/by_day"),
+        layouts.partition_by_cell(rows, f"{folder}/by_cell"),
+    )
+
+
+def run(
+    spark: SparkSession,
+    num_records: int = schemas.REQUEST_DEFAULTS["num_records"],
+    table_name: str = schemas.REQUEST_DEFAULTS["table_name"],
+    seed: int = 0,
+    load_time: datetime | None = None,
+) -> DataFrame:
+    """Load, finalize and report: the whole job for one request, as one report row.
+
+    A load that fails is logged and reported, not raised; its report has the status
+    of a run with warnings and no statistics.
+    """
+    started = time.monotonic()
+    log = {"run_id": table_name, "status": "failed", "records_requested": num_records}
+    try:
+        loaded = load_weather(spark, num_records, table_name, seed, load_time)
+        log["records_written"] = loaded["records_written"]
+        stored = finalize(spark, table_name, loaded["records_written"]).first()
+        log |= {
+            "status": "success",
+            "elapsed_seconds": time.monotonic() - started,
+            "table_size": stored["table_size"],
+            "avg_temperature": Decimal(str(stored["avg_temperature"])),
+        }
+    except Exception:
+        logging.getLogger(__name__).exception("load of %s failed", table_name)
+    return run_report(spark.createDataFrame([log], schemas.RUN_LOG))

@@ -48,14 +48,12 @@ def recommended_size(rows: Column) -> Column:
 def _with_tier(requests: DataFrame) -> DataFrame:
     """Requests with the settings of their tier, or of the default tier.
 
-    The tiers are four constant rows, so the broadcast does not grow with anything.
+    The tiers are four literal rows: the planner sees their size and broadcasts them.
     """
     default = dict(
         zip(schemas.TIERS.fieldNames(), next(row for row in schemas.TIER_ROWS if row[0] == schemas.DEFAULT_TIER))
     )
-    joined = load_requests(requests).join(
-        F.broadcast(tiers(requests.sparkSession)), "data_size", "left"
-    )
+    joined = load_requests(requests).join(tiers(requests.sparkSession), "data_size", "left")
     settings = [field for field in schemas.TIERS if field.name != "data_size"]
     return joined.withColumns(
         {

@@ -1,6 +1,6 @@
 from decimal import Decimal
 
-from pyspark.sql import types as T
+from pyspark.sql import functions as F, types as T
 import pytest
 
 from skyledger.operators import coerce
@@ -65,3 +65,31 @@ class TestBothArithmeticModes:
 def test_nothing_to_coerce_rejects_nothing(spark):
     marked = coerce.mark(spark.createDataFrame([("x",)], "note string"), TARGET)
     assert marked.first()[coerce.REJECTED] == []
+
+
+def test_bounds_agree_with_trying_the_cast(spark):
+    """Values at and around every bound, from each numeric type to each declared type."""
+    kinds = [T.DecimalType(3, 1), T.DecimalType(8, 6), T.DecimalType(5, 0), T.DecimalType(18, 2), T.DecimalType(38, 10)]
+    kinds += [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.DoubleType()]
+    edges = [0.0, 99.94, 99.95, 99.96, 99.9999994, 99.9999995, 99.99999949999999, 99999.4, 99999.5, 1e16, 9999999999999998.0]
+    edges += [127.0, 128.0, 32767.0, 32768.0, 2147483647.0, 2147483648.0, 9.3e18, 1e30, 127.9, 32767.5]
+    edges += [float("inf"), float("nan")]
+    values = edges + [-v for v in edges]
+    doubles = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
+    frames = [
+        doubles,
+        doubles.select(F.col("v").cast("float").alias("v")),
+        doubles.select(F.col("v").try_cast("decimal(30,9)").alias("v")),
+        doubles.select(F.col("v").try_cast("bigint").alias("v")),
+        doubles.select(F.col("v").try_cast("int").alias("v")),
+    ]
+    for df in frames:
+        for kind in kinds:
+            target = T.StructType([T.StructField("v", kind)])
+            misfits = coerce.mark(df, target).where(F.size(coerce.REJECTED) > 0).count()
+            same_type = df.schema["v"].dataType == kind
+            tried = 0 if same_type else df.where(F.col("v").isNotNull() & F.col("v").try_cast(kind).isNull()).count()
+            assert misfits == tried, (df.schema["v"].dataType, kind)
+            accepted, rejected = coerce.split(df, target)
+            assert accepted.count() + rejected.count() == df.count()
+            assert accepted.schema["v"].dataType == kind

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 import pytest
 
 from skyledger import schemas
-from skyledger.plans.load import finalize, load_weather
+from skyledger.plans.load import finalize, lay_out, load_weather, run
 from skyledger.sinks import shared, tables
 from skyledger.sinks.jdbc import OLDER_WRITE_DEFAULTS, jdbc_options, write_jdbc
 from skyledger.sources import readers
@@ -173,3 +173,30 @@ def test_csv_headers_must_be_the_declared_ones(spark, tmp_path):
     path.write_text("id,age,name,city,salary\n1,30,Ann,Rome,1\n")
     with pytest.raises(Exception):
         readers.csv_rows(spark, str(path)).collect()
+
+
+def test_analyzing_some_columns(spark, table):
+    tables.publish(spark.range(9).withColumn("x", F.lit(1)), table)
+    tables.analyze(spark, table, ["id"])
+    described = {r.info_name: r.info_value for r in spark.sql(f"DESCRIBE EXTENDED {table} id").collect()}
+    assert described["distinct_count"] == "9"
+    assert {r.info_name: r.info_value for r in spark.sql(f"DESCRIBE EXTENDED {table} x").collect()}["distinct_count"] == "NULL"
+
+
+def test_whole_job(spark, table):
+    report = run(spark, 3_000, table, seed=2).first()
+    assert (report.status, report.all_rows_written, report.records_text) == ("completed", True, "3,000")
+    assert report.final_stats.record_count == spark.table(table).count() == 3_000
+
+
+def test_a_failed_job_is_reported(spark):
+    report = run(spark, 10, "no_such_database_here.weather_data").first()
+    assert (report.status, report.final_stats, report.records_text) == ("completed_with_warnings", None, "Unknown")
+
+
+def test_all_layouts_of_a_table(spark, table, tmp_path):
+    load_weather(spark, 5_000, table, seed=2)
+    made = lay_out(spark, table, str(tmp_path / "layouts"))
+    for layout in (made.by_batch, made.by_day, made.by_cell):
+        assert layout.select("id").distinct().count() == layout.count() == 5_000
+    assert spark.table(f"{table}_by_batch").where("batch_id = 3").count() == 5
