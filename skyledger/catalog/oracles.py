@@ -8,9 +8,8 @@ profile the exact one stands next to it.
 from skyledger import schemas
 from skyledger.catalog import queries as q
 from skyledger.functions.uniform import LAST_SHIFT, ROUNDS, STEPS, WORD, stream_keys
-from skyledger.operators.weather import CODES, MEASURES
+from skyledger.operators.weather import CODES, DRAWN, MEASURES
 
-DRAWN = [*MEASURES, *CODES, "is_day"]
 LINE_ITEM_IDS = "SELECT range AS id, TIMESTAMP '{at}' AS event_time FROM range((SELECT count(*) FROM lineitem))".format(
     at=q.LOAD_TIME
 )

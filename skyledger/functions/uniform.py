@@ -27,25 +27,27 @@ def stream_keys(name: str, seed: int) -> tuple[int, int, int]:
     return tuple(int.from_bytes(digest[i : i + 4], "big") for i in (0, 4, 8))
 
 
-def draw(id_col: Column, name: str, seed: int) -> Column:
-    """An integer in [0, 2**32) for each non-negative id, independent per name."""
-    start, *added = stream_keys(name, seed)
-    low = id_col.bitwiseAND(F.lit(WORD))
-    high = F.shiftrightunsigned(id_col, 32)
-    word = low.bitwiseXOR(F.lit(start))
-    for i, (shift, multiplier) in enumerate(ROUNDS):
-        word = word.bitwiseXOR(F.shiftright(word, shift)) * F.lit(multiplier)
-        if i < len(added):
-            word = word + F.lit(added[i])
-        word = word.bitwiseAND(F.lit(WORD))
-        if i == 0:
-            word = word.bitwiseXOR(high)
-    return word.bitwiseXOR(F.shiftright(word, LAST_SHIFT))
-
-
-def uniform(id_col: Column, name: str, seed: int) -> Column:
-    """A double in [0, 1)."""
-    return draw(id_col, name, seed) / F.lit(float(STEPS))
+def started(key: str, name: str, seed: int) -> str:
+    """SQL for the low half of an id column with the stream's first constant."""
+    return f"({key} & {WORD}) ^ {stream_keys(name, seed)[0]}"
+
+
+def mixed(word: str, turn: int, key: str, name: str, seed: int) -> str:
+    """SQL for one mixing round; the high half of the id joins after the first one."""
+    shift, multiplier = ROUNDS[turn]
+    added = (*stream_keys(name, seed)[1:], 0)[turn]
+    mix = f"((({word} ^ ({word} >> {shift})) * {multiplier} + {added}) & {WORD})"
+    return f"{mix} ^ ({key} >>> 32)" if turn == 0 else mix
+
+
+def finished(word: str) -> str:
+    """SQL for the draw: an integer in [0, 2**32)."""
+    return f"{word} ^ ({word} >> {LAST_SHIFT})"
+
+
+def unit(drawn: Column) -> Column:
+    """A draw as a double in [0, 1)."""
+    return drawn / F.lit(float(STEPS))
 
 
 def scaled_decimal(
@@ -53,7 +55,7 @@ def scaled_decimal(
 ) -> Column:
     """``drawn / 2**32 * span + offset`` rounded half away from zero to a decimal.
 
-    Same value as casting the double ``uniform * span + offset`` to the decimal, at
+    Same value as casting the double ``unit * span + offset`` to the decimal, at
     less than half the cost: a double-to-decimal cast goes through decimal text,
     this stays in bigint until the last step. ``span * 10**scale`` must be below 2**31.
     """

@@ -50,9 +50,18 @@ def with_payload(df: DataFrame, body_col: str = "body") -> DataFrame:
 
 
 def explode_people(df: DataFrame) -> DataFrame:
-    """One row per listed person with ``craft`` and ``name``; an empty list gives none."""
+    """One row per listed person with ``craft`` and ``name``; an empty list gives none.
+
+    A plain ``inline`` would make the optimizer filter on the list's size first, and
+    parse every body a second time for it. The outer form does not, and the position
+    tells the row of an empty list from the row of a missing person.
+    """
     others = [name for name in df.columns if name != "people"]
-    return df.select(*others, F.inline("people"))
+    return (
+        df.select(*others, F.posexplode_outer("people").alias("position", "person"))
+        .where(F.col("position").isNotNull())
+        .select(*others, "person.craft", "person.name")
+    )
 
 
 def with_sentence(df: DataFrame, greeting: str = schemas.GREETING) -> DataFrame:

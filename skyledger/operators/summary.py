@@ -9,6 +9,15 @@ from skyledger.functions.numbers import rounded_mean, size_text
 SKETCH_ERROR = 0.02
 
 
+def _file_bytes() -> Column:
+    """The file's size on the first row of each Parquet file, NULL on all others.
+
+    Summed, this counts every file once however it is split among tasks, and needs no
+    grouping by file. Files without rows do not count.
+    """
+    return F.when(F.col("_metadata.row_index") == 0, F.col("_metadata.file_size"))
+
+
 def summary(
     df: DataFrame,
     time_col: str = "event_time",
@@ -17,56 +26,31 @@ def summary(
 ) -> DataFrame:
     """One row: count, first and last time, mean value, and the size if asked for.
 
-    One scan of two columns, partial aggregates in each task, one small exchange.
-    ``with_size`` needs a frame read from files: it first aggregates per data file
-    (as many groups as files), so a file cut into several splits is counted once.
-    ``value_col`` must be a decimal; its mean is exact and rounded once. An empty or
-    all-NULL column has mean 0, as has a true mean of 0; ``record_count`` tells the
-    first of these apart.
+    One scan of two columns, a partial aggregate in each task, one small exchange.
+    ``with_size`` takes the bytes of the data files from the same scan, and needs a
+    frame read from Parquet. ``value_col`` must be a decimal; its mean is exact and
+    rounded once. An empty or all-NULL column has mean 0, as has a true mean of 0;
+    ``record_count`` tells the first of these apart.
     """
-    parts = {
-        "record_count": (F.count(F.lit(1)), F.sum),
-        "earliest_event": (F.min(time_col), F.min),
-        "latest_event": (F.max(time_col), F.max),
-        "value_sum": (F.sum(value_col), F.sum),
-        "value_count": (F.count(value_col), F.sum),
-    }
-    mean = F.coalesce(
-        rounded_mean(F.col("value_sum"), F.col("value_count")), F.lit(0).cast("decimal(5,2)")
-    ).alias("avg_temperature")
-    if not with_size:
-        totals = df.agg(*[first.alias(name) for name, (first, _) in parts.items()])
-        return totals.select("record_count", "earliest_event", "latest_event", mean)
-
-    per_file = (
-        df.groupBy(F.col("_metadata.file_path").alias("data_file"))
-        .agg(
-            F.first("_metadata.file_size").alias("file_bytes"),
-            *[first.alias(name) for name, (first, _) in parts.items()],
-        )
-    )
-    totals = per_file.agg(
-        F.coalesce(F.sum("file_bytes"), F.lit(0)).alias("size_bytes"),
-        *[again(name).alias(name) for name, (_, again) in parts.items()],
-    )
-    return totals.select(
-        size_text(F.col("size_bytes")).alias("table_size"),
-        "size_bytes",
-        F.coalesce("record_count", F.lit(0)).alias("record_count"),
-        "earliest_event",
-        "latest_event",
-        mean,
-    )
+    measures = [
+        F.count(F.lit(1)).alias("record_count"),
+        F.min(time_col).alias("earliest_event"),
+        F.max(time_col).alias("latest_event"),
+        F.coalesce(
+            rounded_mean(F.sum(value_col), F.count(value_col)), F.lit(0).cast("decimal(5,2)")
+        ).alias("avg_temperature"),
+    ]
+    if with_size:
+        size = F.coalesce(F.sum(_file_bytes()), F.lit(0))
+        measures = [size_text(size).alias("table_size"), size.alias("size_bytes"), *measures]
+    return df.agg(*measures)
 
 
 def data_size(df: DataFrame) -> DataFrame:
-    """One row with the files, bytes and printed size behind a file-based frame."""
-    files = df.groupBy(F.col("_metadata.file_path").alias("data_file")).agg(
-        F.first("_metadata.file_size").alias("file_bytes")
-    )
-    return files.agg(
-        F.count(F.lit(1)).alias("files"),
-        F.coalesce(F.sum("file_bytes"), F.lit(0)).alias("size_bytes"),
+    """One row with the files, bytes and printed size behind a frame read from Parquet."""
+    return df.agg(
+        F.count(_file_bytes()).alias("files"),
+        F.coalesce(F.sum(_file_bytes()), F.lit(0)).alias("size_bytes"),
     ).withColumn("table_size", size_text(F.col("size_bytes")))
 
 

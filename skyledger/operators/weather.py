@@ -8,7 +8,8 @@ what it had produced before.
 from pyspark.sql import Column, DataFrame, functions as F
 
 from skyledger import schemas
-from skyledger.functions.uniform import STEPS, draw, scaled_decimal, uniform
+from skyledger.functions.uniform import STEPS, scaled_decimal, unit
+from skyledger.operators.draws import PREFIX, with_draws
 
 # Column -> (span, offset) of uniform * span + offset.
 MEASURES = {
@@ -21,12 +22,27 @@ MEASURES = {
 CODES = {"winddirection": 360, "weathercode": 100}
 
 
-def _code(id_col: Column, name: str, seed: int) -> Column:
-    return F.shiftright(draw(id_col, name, seed) * F.lit(CODES[name]), 32)
+DRAWN = [*MEASURES, *CODES, "is_day"]
 
 
-def _is_day(id_col: Column, seed: int) -> Column:
-    return draw(id_col, "is_day", seed) > F.lit(STEPS // 2)
+def _drawn(name: str) -> Column:
+    return F.col(PREFIX + name)
+
+
+def _code(name: str) -> Column:
+    return F.shiftright(_drawn(name) * F.lit(CODES[name]), 32)
+
+
+def _is_day() -> Column:
+    return (_drawn("is_day") > F.lit(STEPS // 2)).alias("is_day")
+
+
+def _with_time(ids: DataFrame, id_col: str, event_time: Column | None) -> DataFrame:
+    """Just the ids and the event times, by default the load's start for all rows."""
+    return ids.select(
+        F.col(id_col).alias("id"),
+        (F.current_timestamp() if event_time is None else event_time).alias("event_time"),
+    )
 
 
 def weather(
@@ -41,19 +57,15 @@ def weather(
     ``event_time`` defaults to the load's start, one value for all rows. The id is
     dropped unless ``keep_id`` is set.
     """
-    key = F.col(id_col)
-    columns = [key.alias("id")] if keep_id else []
-    columns += [
-        (uniform(key, name, seed) * span + offset).alias(name)
-        for name, (span, offset) in MEASURES.items()
-    ]
-    columns += [_code(key, name, seed).cast("int").alias(name) for name in CODES]
-    columns += [
-        _is_day(key, seed).alias("is_day"),
-        (F.current_timestamp() if event_time is None else event_time).alias("event_time"),
-        (key % schemas.BATCHES).alias("batch_id"),
-    ]
-    return ids.select(*columns)
+    drawn = with_draws(_with_time(ids, id_col, event_time), DRAWN, seed)
+    return drawn.select(
+        *(["id"] if keep_id else []),
+        *[(unit(_drawn(name)) * span + offset).alias(name) for name, (span, offset) in MEASURES.items()],
+        *[_code(name).cast("int").alias(name) for name in CODES],
+        _is_day(),
+        "event_time",
+        (F.col("id") % schemas.BATCHES).alias("batch_id"),
+    )
 
 
 def weather_stored(
@@ -68,20 +80,18 @@ def weather_stored(
     from the integer draws, which avoids the slow double-to-decimal cast.
     ``loaded_at`` is left to the target's default.
     """
-    key = F.col(id_col)
     stored = {field.name: field.dataType for field in schemas.WEATHER_TARGET}
-    columns = [(key + 1).cast(stored["id"]).alias("id")]
-    for name, (span, offset) in MEASURES.items():
-        kind = stored[name]
-        columns.append(
-            scaled_decimal(draw(key, name, seed), span, offset, kind.precision, kind.scale).alias(name)
-        )
-    columns += [_code(key, name, seed).cast(stored[name]).alias(name) for name in CODES]
-    columns += [
-        _is_day(key, seed).alias("is_day"),
-        (F.current_timestamp() if event_time is None else event_time)
-        .cast(stored["event_time"])
-        .alias("event_time"),
-        (key % schemas.BATCHES).cast(stored["batch_id"]).alias("batch_id"),
-    ]
-    return ids.select(*columns)
+
+    def measure(name: str) -> Column:
+        span, offset = MEASURES[name]
+        return scaled_decimal(_drawn(name), span, offset, stored[name].precision, stored[name].scale)
+
+    drawn = with_draws(_with_time(ids, id_col, event_time), DRAWN, seed)
+    return drawn.select(
+        (F.col("id") + 1).cast(stored["id"]).alias("id"),
+        *[measure(name).alias(name) for name in MEASURES],
+        *[_code(name).cast(stored[name]).alias(name) for name in CODES],
+        _is_day(),
+        F.col("event_time").cast(stored["event_time"]).alias("event_time"),
+        (F.col("id") % schemas.BATCHES).cast(stored["batch_id"]).alias("batch_id"),
+    )

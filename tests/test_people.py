@@ -89,3 +89,10 @@ def test_bodies_from_lines_and_from_whole_files(spark, tmp_path):
 def test_unpacking_does_not_shuffle(spark):
     plan = sentences(frame(spark, ""))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_bodies_are_parsed_in_one_place_of_the_plan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    frame(spark, "x").write.parquet(path)
+    plan = people(spark.read.parquet(path))._jdf.queryExecution().optimizedPlan().toString()
+    assert [line for line in plan.splitlines() if "Filter" in line and "from_json" in line] == []

@@ -1,7 +1,8 @@
 from pyspark.sql import functions as F
 import pytest
 
-from skyledger.functions.uniform import draw, scaled_decimal, stream_keys, uniform
+from skyledger.functions.uniform import scaled_decimal, stream_keys, unit
+from skyledger.operators.draws import with_draws
 
 WORD = 0xFFFFFFFF
 
@@ -20,17 +21,16 @@ def by_hand(number, name, seed):
 def test_draw_equals_the_sum_done_by_hand(spark):
     numbers = [0, 1, 2, 999, 2**31, 2**32 - 1, 2**32, 5 * 2**32 + 7, 2**53, 2**63 - 1]
     ids = spark.createDataFrame([(n,) for n in numbers], "id bigint")
-    rows = ids.select("id", draw(F.col("id"), "latitude", 42).alias("d")).collect()
-    assert {r.id: r.d for r in rows} == {n: by_hand(n, "latitude", 42) for n in numbers}
+    rows = with_draws(ids, ["latitude"], 42).collect()
+    assert {r.id: r.draw_latitude for r in rows} == {n: by_hand(n, "latitude", 42) for n in numbers}
 
 
 @pytest.mark.parametrize("ansi", ["true", "false"])
 def test_draw_never_overflows(spark, with_conf, ansi):
     with_conf(spark__sql__ansi__enabled=ansi)
     low, high = (
-        spark.range(0, 2**62, 2**62 // 50_000)
-        .select(draw(F.col("id"), "x", 7).alias("d"))
-        .agg(F.min("d"), F.max("d"))
+        with_draws(spark.range(0, 2**62, 2**62 // 50_000), ["x"], 7)
+        .agg(F.min("draw_x"), F.max("draw_x"))
         .first()
     )
     assert 0 <= low < high < 2**32
@@ -39,7 +39,7 @@ def test_draw_never_overflows(spark, with_conf, ansi):
 def test_same_rows_for_any_partitioning_and_other_rows_for_another_seed(spark):
     def total(partitions, seed):
         ids = spark.range(0, 20_000, 1, partitions)
-        return ids.select(draw(F.col("id"), "x", seed).alias("d")).agg(F.sum("d")).first()[0]
+        return with_draws(ids, ["x"], seed).agg(F.sum("draw_x")).first()[0]
 
     assert total(2, 1) == total(4, 1) == total(8, 1)
     assert total(4, 1) != total(4, 2)
@@ -47,7 +47,8 @@ def test_same_rows_for_any_partitioning_and_other_rows_for_another_seed(spark):
 
 def test_uniform_looks_uniform_and_columns_independent(spark):
     names = ["a", "b", "c"]
-    df = spark.range(200_000).select(*[uniform(F.col("id"), name, 3).alias(name) for name in names])
+    drawn = with_draws(spark.range(200_000), names, 3)
+    df = drawn.select(*[unit(F.col(f"draw_{name}")).alias(name) for name in names])
     stats = df.agg(
         *[F.avg(name).alias(f"avg_{name}") for name in names],
         *[F.var_pop(name).alias(f"var_{name}") for name in names],
@@ -66,8 +67,8 @@ def test_uniform_looks_uniform_and_columns_independent(spark):
 
 def test_deciles_hold_a_tenth_each(spark):
     tenths = (
-        spark.range(200_000)
-        .groupBy(F.floor(uniform(F.col("id"), "t", 9) * 10).alias("tenth"))
+        with_draws(spark.range(200_000), ["t"], 9)
+        .groupBy(F.floor(unit(F.col("draw_t")) * 10).alias("tenth"))
         .count()
         .collect()
     )
