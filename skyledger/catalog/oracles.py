@@ -269,7 +269,7 @@ ORACLES: dict[str, str] = {
     "batch_lookup": f"WITH {_STORED_LINES}\nSELECT * FROM stored WHERE batch_id = {q.BATCH}",
     "time_range": f"SELECT * FROM events WHERE ts >= TIMESTAMP '{q.RANGE[0]}' AND ts < TIMESTAMP '{q.RANGE[1]}'",
     "geo_box": f"WITH {_stored(EVENT_IDS)}\nSELECT *, CAST(least(floor((latitude + 90) / 30), 5) * 12 + "
-    "least(floor((longitude + 180) / 30), 11) AS INT) AS cell FROM stored "
+    "least(floor((longitude + 180) / 30), 11) AS INT) AS cell_30 FROM stored "
     f"WHERE latitude BETWEEN {_BOX['south']} AND {_BOX['north']} AND longitude BETWEEN {_BOX['west']} AND {_BOX['east']}",
     "load_plan": LOAD_PLAN,
     "load_plan_legacy": LOAD_PLAN_LEGACY,

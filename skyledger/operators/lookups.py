@@ -2,6 +2,7 @@
 
 from datetime import date, datetime
 from decimal import Decimal
+import re
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -76,15 +77,12 @@ def cells_in_box(
     ]
 
 
-def by_box(
-    df: DataFrame,
-    south: float,
-    north: float,
-    west: float,
-    east: float,
-    degrees: int = CELL_DEGREES,
-    cell_col: str = "cell",
-) -> DataFrame:
+def cell_column(degrees: int) -> str:
+    """Name of the cell column; it carries the cell size, so a lookup cannot mistake it."""
+    return f"cell_{degrees}"
+
+
+def by_box(df: DataFrame, south: float, north: float, west: float, east: float) -> DataFrame:
     """Rows inside a box, both ends included; other cells' directories are pruned."""
 
     def within(name: str, low: float, high: float) -> Column:
@@ -94,6 +92,7 @@ def by_box(
         return F.col(name).between(low, high)
 
     found = df.where(within("latitude", south, north) & within("longitude", west, east))
-    if cell_col in df.columns:
-        found = found.where(F.col(cell_col).isin(cells_in_box(south, north, west, east, degrees)))
+    for name in df.columns:
+        if sized := re.fullmatch(r"cell_(\d+)", name):
+            found = found.where(F.col(name).isin(cells_in_box(south, north, west, east, int(sized[1]))))
     return found

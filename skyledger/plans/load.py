@@ -70,12 +70,19 @@ def _load_record(table: str, requested: int, written: int, started: float) -> di
 
 
 def finalize(
-    spark: SparkSession, table: str, records_processed: int, statistics: bool = True
+    spark: SparkSession,
+    table: str,
+    records_processed: int,
+    statistics: bool = True,
+    columns: list[str] | None = None,
 ) -> DataFrame:
-    """Refresh the table's statistics and return its summary as one row."""
+    """Refresh the table's statistics and return its summary as one row.
+
+    ``columns`` limits the column statistics to those named.
+    """
     started = time.monotonic()
     if statistics:
-        tables.analyze(spark, table)
+        tables.analyze(spark, table, columns)
     row = summary(spark.table(table), with_size=True).first()
     return spark.createDataFrame(
         [

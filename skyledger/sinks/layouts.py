@@ -11,7 +11,7 @@ there, so it can be repeated.
 from pyspark.sql import DataFrame, functions as F
 
 from skyledger.functions.text import table_identifier
-from skyledger.operators.lookups import CELL_DEGREES, cell_of, day_of
+from skyledger.operators.lookups import CELL_DEGREES, cell_column, cell_of, day_of
 
 
 def bucket_by_batch(df: DataFrame, table: str, path: str, buckets: int = 16) -> DataFrame:
@@ -44,12 +44,13 @@ def partition_by_day(
 
 def partition_by_cell(df: DataFrame, path: str, degrees: int = CELL_DEGREES) -> DataFrame:
     """A directory per grid cell, rows ordered by position inside each file."""
+    cell = cell_column(degrees)
     (
-        df.withColumn("cell", cell_of(F.col("latitude"), F.col("longitude"), degrees))
-        .hint("rebalance", "cell")
-        .sortWithinPartitions("cell", "latitude", "longitude")
+        df.withColumn(cell, cell_of(F.col("latitude"), F.col("longitude"), degrees))
+        .hint("rebalance", cell)
+        .sortWithinPartitions(cell, "latitude", "longitude")
         .write.mode("overwrite")
-        .partitionBy("cell")
+        .partitionBy(cell)
         .parquet(path)
     )
     return df.sparkSession.read.parquet(path)

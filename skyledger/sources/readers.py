@@ -43,13 +43,14 @@ def catalog_columns(spark: SparkSession, table: str) -> DataFrame:
 def csv_rows(spark: SparkSession, path: str, schema: T.StructType = schemas.SAMPLE_CSV) -> DataFrame:
     """A CSV with a header line, read under a declared schema in one pass.
 
-    Nothing is inferred, and a line that does not match the schema fails the read
-    instead of turning into NULLs. Quoted fields may hold commas but not line
-    breaks, which keeps large files splittable.
+    Nothing is inferred. A header with other names, or a line that does not match the
+    types, fails the read instead of turning into NULLs. Quoted fields may hold commas
+    but not line breaks, which keeps large files splittable.
     """
     return (
         spark.read.schema(schema)
         .option("header", True)
+        .option("enforceSchema", False)
         .option("mode", "FAILFAST")
         .csv(path)
     )

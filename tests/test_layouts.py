@@ -94,20 +94,21 @@ def test_day_pruning_holds_in_another_session_zone(spark, readings, tmp_path, wi
     assert found.count() > 0
 
 
-def test_cell_layout(spark, readings, tmp_path):
-    stored = layouts.partition_by_cell(readings, str(tmp_path / "cells"))
+@pytest.mark.parametrize("degrees", [30, 10])
+def test_cell_layout(spark, readings, tmp_path, degrees):
+    stored = layouts.partition_by_cell(readings, str(tmp_path / "cells"), degrees)
     box = (40.0, 59.5, -20.25, 29.0)
     found = lookups.by_box(stored, *box)
     assert same(found, lookups.by_box(readings, *box), "id", "latitude")
     assert found.count() > 20_000
     assert files_read(found) < files_read(stored)
     plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [cell" in plan.replace("isnotnull(cell", "cell")
+    assert f"PartitionFilters: [cell_{degrees}" in plan.replace("isnotnull(cell", "cell")
     assert "GreaterThanOrEqual(latitude" in plan
 
 
 @pytest.mark.parametrize(
-    "write, label", [(layouts.partition_by_day, "event_date=2024-02-05"), (layouts.partition_by_cell, "cell=53")]
+    "write, label", [(layouts.partition_by_day, "event_date=2024-02-05"), (layouts.partition_by_cell, "cell_30=53")]
 )
 def test_a_hot_key_is_spread_over_several_tasks(spark, readings, tmp_path, with_conf, write, label):
     with_conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB")
