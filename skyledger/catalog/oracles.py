@@ -1,8 +1,8 @@
 """SQL counterparts of the queries, for another engine to run on the same tables.
 
-Each gives the same columns and rows as the query of the same name. The only query
-without one is ``table_size``: bytes on disk are not in the tables. For the sketched
-profile the exact one stands next to it.
+Each gives the same columns and rows as the query of the same name. Two queries have
+none: ``table_size``, because bytes on disk are not in the tables, and the sketched
+profile, which is approximate and has the exact one next to it.
 """
 
 from skyledger import schemas
@@ -254,6 +254,11 @@ ORACLES: dict[str, str] = {
     "load_summary": f"WITH {_STORED_LINES}\n{_summary('stored', 'event_time', TENTHS, 10)}",
     "events_summary": _summary("events", "ts", HUNDREDTHS, 1),
     "column_profile": COLUMN_PROFILE,
+    "stored_keys": "SELECT 'load' AS source, count(*) AS rows, count(*) AS keys, 0 AS repeated_keys, "
+    "0 AS rows_without_key FROM lineitem UNION ALL "
+    "SELECT 'lineitem', CAST(sum(held) AS BIGINT), count(l_orderkey), count(*) FILTER (held > 1 AND l_orderkey IS NOT NULL), "
+    "CAST(coalesce(sum(held) FILTER (l_orderkey IS NULL), 0) AS BIGINT) "
+    "FROM (SELECT l_orderkey, count(*) AS held FROM lineitem GROUP BY l_orderkey)",
     "table_roundtrip": f"WITH {_STORED_LINES}\nSELECT *, true AS loaded_at_filled FROM stored",
     "finalized_load": f"WITH {_STORED_LINES}\nSELECT record_count AS records_processed, record_count, "
     "CAST(avg_temperature AS DOUBLE) AS avg_temperature, true AS timed, true AS sized "

@@ -13,7 +13,7 @@ from skyledger import schemas
 from skyledger.functions.numbers import rounded_mean, size_text
 from skyledger.operators import coerce, lookups
 from skyledger.operators.people import people_counts, with_payload
-from skyledger.operators.summary import data_size, profile, summary
+from skyledger.operators.summary import data_size, key_check, profile, summary
 from skyledger.operators.weather import weather, weather_stored
 from skyledger.plans import load, people, planning, report
 from skyledger.sinks import layouts, shared, tables
@@ -103,6 +103,16 @@ def column_profile_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile(_read(spark, sf_dir, "lineitem"))
 
 
+def stored_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of a load, all unique, and of line items, which share theirs."""
+    lines = _read(spark, sf_dir, "lineitem")
+    return (
+        key_check(_stored(spark, sf_dir))
+        .withColumn("source", F.lit("load"))
+        .unionByName(key_check(lines, "l_orderkey").withColumn("source", F.lit("lineitem")))
+    )
+
+
 def table_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared.new_path(spark, "sized")
     _stored(spark, sf_dir).write.parquet(path)
@@ -340,6 +350,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "events_summary": events_summary,
     "column_profile": column_profile,
     "column_profile_sketched": column_profile_sketched,
+    "stored_keys": stored_keys,
     "table_size": table_size,
     "table_roundtrip": table_roundtrip,
     "finalized_load": finalized_load,

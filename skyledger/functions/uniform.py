@@ -57,12 +57,13 @@ def scaled_decimal(
 
     Same value as casting the double ``unit * span + offset`` to the decimal, at
     less than half the cost: a double-to-decimal cast goes through decimal text,
-    this stays in bigint until the last step. ``span * 10**scale`` must be below 2**31.
+    this stays in bigint until the last step. The span and offset together, counted in
+    the decimal's last place, must be below 2**31.
     """
-    unit = 10**scale
-    if span * unit >= 2**31:
-        raise ValueError(f"span {span} at scale {scale} does not fit 64-bit arithmetic")
-    exact = drawn * F.lit(span * unit) + F.lit(offset * unit * STEPS)
+    parts = 10**scale
+    if (span + abs(offset)) * parts >= 2**31:
+        raise ValueError(f"{span} from {offset} at scale {scale} does not fit 64-bit arithmetic")
+    exact = drawn * F.lit(span * parts) + F.lit(offset * parts * STEPS)
     magnitude = F.shiftright(F.abs(exact) + F.lit(STEPS // 2), 32)
     signed = F.when(exact < 0, -magnitude).otherwise(magnitude)
     step = F.lit(Decimal(1).scaleb(-scale))

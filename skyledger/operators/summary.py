@@ -54,6 +54,22 @@ def data_size(df: DataFrame) -> DataFrame:
     ).withColumn("table_size", size_text(F.col("size_bytes")))
 
 
+def key_check(df: DataFrame, key: str = "id") -> DataFrame:
+    """One row: rows, distinct keys, keys held by several rows, rows without a key.
+
+    Stands in for a primary key, which file tables do not enforce. Exact, so each
+    distinct key is shuffled once; repeats are combined in the task first.
+    """
+    repeats = df.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("held"))
+    held, keyed = F.col("held"), F.col("key").isNotNull()
+    return repeats.agg(
+        F.coalesce(F.sum(held), F.lit(0)).alias("rows"),
+        F.count("key").alias("keys"),
+        F.count_if(keyed & (held > 1)).alias("repeated_keys"),
+        F.coalesce(F.sum(F.when(~keyed, held)), F.lit(0)).alias("rows_without_key"),
+    )
+
+
 def profile(df: DataFrame, exact: bool = False) -> DataFrame:
     """Per column: position, type, rows, nulls, distinct values, least and greatest.
 

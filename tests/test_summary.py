@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 import pytest
 
 from skyledger.functions.numbers import rounded_mean, size_text
-from skyledger.operators.summary import data_size, profile, summary
+from skyledger.operators.summary import data_size, key_check, profile, summary
 
 SHAPE = "event_time timestamp_ntz, temperature decimal(3,1)"
 
@@ -154,3 +154,10 @@ def test_sketched_distinct_counts_are_close(spark):
     near = {r.column_name: r.distinct_values for r in profile(df).collect()}
     assert exact == {"v": 50_000, "id": 200_000}
     assert all(abs(near[name] / exact[name] - 1) < 0.08 for name in exact)
+
+
+def test_key_check(spark):
+    df = spark.createDataFrame([(1,), (2,), (2,), (3,), (3,), (3,), (None,), (None,)], "id int")
+    assert key_check(df).first().asDict() == {"rows": 8, "keys": 3, "repeated_keys": 2, "rows_without_key": 2}
+    assert tuple(key_check(spark.range(1000)).first()) == (1000, 1000, 0, 0)
+    assert tuple(key_check(spark.range(0)).first()) == (0, 0, 0, 0)

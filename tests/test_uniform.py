@@ -89,3 +89,5 @@ def test_scaled_decimal_rounds_half_away_from_zero(spark):
 def test_scaled_decimal_refuses_spans_it_cannot_hold(spark):
     with pytest.raises(ValueError):
         scaled_decimal(F.col("d"), 5000, 0, 12, 6)
+    with pytest.raises(ValueError):
+        scaled_decimal(F.col("d"), 1000, 2000, 12, 6)
