@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from skyledger import schemas
 from skyledger.functions.numbers import rounded_mean, size_text
+from skyledger.functions.times import time_literal
 from skyledger.operators import coerce, lookups
 from skyledger.operators.people import people_counts, with_payload
 from skyledger.operators.summary import data_size, key_check, profile, summary
@@ -32,7 +33,7 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def _load_time() -> Column:
-    return F.lit(str(LOAD_TIME)).cast("timestamp_ntz")
+    return time_literal(LOAD_TIME, T.TimestampNTZType())
 
 
 def _ids(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,11 +1,13 @@
 """Lookups that match the stored layouts, so the scan reads only what it must."""
 
-from datetime import date, datetime
+from datetime import datetime
 from decimal import Decimal
 import re
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from skyledger.functions.times import day_of, time_literal
+
 CELL_DEGREES = 30
 
 
@@ -14,20 +16,10 @@ def by_batch(df: DataFrame, batch_id: int) -> DataFrame:
     return df.where(F.col("batch_id") == batch_id)
 
 
-def day_of(time: Column, kind: T.DataType) -> Column:
-    """Calendar day of a timestamp; the UTC day for timestamps with a zone.
-
-    Independent of the session's zone, so a reader prunes the days the writer made.
-    """
-    if isinstance(kind, T.TimestampType):
-        return F.date_from_unix_date(F.floor(F.unix_seconds(time) / 86400).cast("int"))
-    return F.to_date(time)
-
-
 def by_time(
     df: DataFrame,
-    start: datetime | date,
-    end: datetime | date,
+    start: datetime | str,
+    end: datetime | str,
     time_col: str = "event_time",
     date_col: str = "event_date",
 ) -> DataFrame:
@@ -37,7 +29,7 @@ def by_time(
     directories and row groups outside it by their statistics.
     """
     kind = df.schema[time_col].dataType
-    lower, upper = F.lit(start).cast(kind), F.lit(end).cast(kind)
+    lower, upper = time_literal(start, kind), time_literal(end, kind)
     found = df.where((F.col(time_col) >= lower) & (F.col(time_col) < upper))
     if date_col in df.columns:
         found = found.where(F.col(date_col).between(day_of(lower, kind), day_of(upper, kind)))

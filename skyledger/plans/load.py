@@ -6,10 +6,11 @@ from decimal import Decimal
 import logging
 import time
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from skyledger import schemas
 from skyledger.functions.text import table_identifier
+from skyledger.functions.times import time_literal
 from skyledger.operators.summary import summary
 from skyledger.operators.weather import weather, weather_stored
 from skyledger.plans.report import run_report
@@ -33,7 +34,7 @@ def load_weather(
     Running it again after a failure gives the same table.
     """
     tables.create_table(spark, table)
-    at = None if load_time is None else F.lit(load_time)
+    at = None if load_time is None else time_literal(load_time, T.TimestampType())
     generated = weather_stored(row_ids(spark, rows, partitions), seed, at)
     started = time.monotonic()
     written = tables.counting_rows(generated, lambda df: tables.append(df, table))

@@ -11,7 +11,8 @@ there, so it can be repeated.
 from pyspark.sql import DataFrame, functions as F
 
 from skyledger.functions.text import table_identifier
-from skyledger.operators.lookups import CELL_DEGREES, cell_column, cell_of, day_of
+from skyledger.functions.times import day_of
+from skyledger.operators.lookups import CELL_DEGREES, cell_column, cell_of
 
 
 def bucket_by_batch(df: DataFrame, table: str, path: str, buckets: int = 16) -> DataFrame:

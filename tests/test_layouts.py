@@ -1,4 +1,4 @@
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 from decimal import Decimal
 import glob
 
@@ -134,6 +134,23 @@ def test_writing_a_layout_again_replaces_it(spark, readings, tmp_path):
     assert layouts.partition_by_cell(readings.where("id <= 100"), path).count() == 100
 
 
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Tokyo", "America/New_York"])
+def test_plain_times_are_compared_as_written(spark, tmp_path, with_conf, zone):
+    with_conf(spark__sql__session__timeZone=zone)
+    hours = spark.range(96).select("id", F.expr("timestamp_ntz'2024-03-09 00:00:00' + make_dt_interval(0, id)").alias("ts"))
+    stored = layouts.partition_by_day(hours, str(tmp_path / "t"), "ts")
+    found = lookups.by_time(stored, datetime(2024, 3, 10), datetime(2024, 3, 11, 2), "ts")
+    assert sorted(r.id for r in found.collect()) == list(range(24, 50))
+    with pytest.raises(ValueError):
+        lookups.by_time(stored, datetime(2024, 3, 10, tzinfo=timezone.utc), datetime(2024, 3, 11), "ts")
+
+
+def test_moments_with_a_zone(spark, readings, with_conf):
+    with_conf(spark__sql__session__timeZone="Asia/Tokyo")
+    hot = datetime(2024, 2, 5, tzinfo=timezone.utc)
+    assert lookups.by_time(readings, hot, hot + timedelta(microseconds=1)).count() >= 20_000
+
+
 def test_cells(spark):
     points = [(-90.0, -180.0), (90.0, 180.0), (0.0, 0.0), (-0.000001, -0.000001), (89.999999, 179.999999), (30.0, 60.0)]
     df = spark.createDataFrame(points, "latitude double, longitude double").select(
