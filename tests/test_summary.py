@@ -153,7 +153,7 @@ def test_sketched_distinct_counts_are_close(spark):
     exact = {r.column_name: r.distinct_values for r in profile(df, exact=True).collect()}
     near = {r.column_name: r.distinct_values for r in profile(df).collect()}
     assert exact == {"v": 50_000, "id": 200_000}
-    assert all(abs(near[name] / exact[name] - 1) < 0.08 for name in exact)
+    assert all(abs(near[name] / exact[name] - 1) < 0.15 for name in exact)
 
 
 def test_key_check(spark):

@@ -201,3 +201,20 @@ def test_all_layouts_of_a_table(spark, table, tmp_path):
     for layout in (made.by_batch, made.by_day, made.by_cell):
         assert layout.select("id").distinct().count() == layout.count() == 5_000
     assert spark.table(f"{table}_by_batch").where("batch_id = 3").count() == 5
+
+
+def test_a_counted_write_that_fails_raises(spark, tmp_path):
+    path = str(tmp_path / "t")
+    bad = spark.range(10).select(F.when(F.col("id") == 7, F.raise_error(F.lit("row seven"))).otherwise("x").alias("x"))
+    with pytest.raises(Exception, match="row seven"):
+        tables.counting_rows(bad, lambda df: df.write.parquet(path))
+    assert not (tmp_path / "t" / "_SUCCESS").exists()
+
+
+def test_a_failed_rerun_keeps_the_runs_earlier_rows(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    tables.write_run(spark.range(100), path, "one")
+    bad = spark.range(10).select(F.when(F.col("id") == 7, F.raise_error(F.lit("row seven")).cast("bigint")).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="row seven"):
+        tables.write_run(bad, path, "one")
+    assert spark.read.parquet(path).count() == 100
