@@ -115,6 +115,15 @@ SCHEMA_LISTING = " UNION ALL ".join(
 
 # Load planning
 
+
+def _duration_text(seconds: str) -> str:
+    whole = f"CAST(floor({seconds}) AS BIGINT)"
+    return (
+        f"{whole} // 3600 || ':' || lpad(CAST({whole} // 60 % 60 AS VARCHAR), 2, '0') || ':' || "
+        f"lpad(CAST({whole} % 60 AS VARCHAR), 2, '0')"
+    )
+
+
 REQUESTS = f"""requests AS (
   SELECT o_orderkey AS request_id,
          coalesce(CASE WHEN o_orderkey % 97 <> 0 THEN o_orderkey * 77777 END, {schemas.REQUEST_DEFAULTS['num_records']}) AS num_records,
@@ -142,9 +151,7 @@ SELECT request_id, num_records, table_name, data_size,
             WHEN num_records < 1000000000 THEN 'large' ELSE 'xlarge' END AS recommended_size,
        CAST(rate AS BIGINT) AS estimated_rate_per_sec,
        seconds AS estimated_time_seconds, seconds / 3600 AS estimated_time_hours,
-       CAST(floor(seconds / 3600) AS BIGINT) || ':' ||
-         lpad(CAST(CAST(floor(seconds) AS BIGINT) // 60 % 60 AS VARCHAR), 2, '0') || ':' ||
-         lpad(CAST(CAST(floor(seconds) AS BIGINT) % 60 AS VARCHAR), 2, '0') AS estimated_time_formatted,
+       {_duration_text('seconds')} AS estimated_time_formatted,
        executor_memory, executor_cores, driver_memory, shuffle_partitions, parallelism,
        CAST(partitions AS BIGINT) AS planned_partitions, CAST(least(partitions, 20) AS BIGINT) AS jdbc_writers
 FROM planned"""
@@ -263,7 +270,10 @@ ORACLES: dict[str, str] = {
     "finalized_load": f"WITH {_STORED_LINES}\nSELECT record_count AS records_processed, record_count, "
     "CAST(avg_temperature AS DOUBLE) AS avg_temperature, true AS timed, true AS sized "
     f"FROM ({_summary('stored', 'event_time', TENTHS, 10)})",
-    "reported_load": f"WITH {_STORED_LINES}\nSELECT 'completed' AS status, "
+    "reported_load": f"WITH {_STORED_LINES}\nSELECT 'small' AS data_size, "
+    "CASE WHEN record_count < 1000000 THEN 'small' WHEN record_count < 100000000 THEN 'medium' "
+    "WHEN record_count < 1000000000 THEN 'large' ELSE 'xlarge' END AS recommended_size, "
+    f"{_duration_text('record_count::DOUBLE / 15000')} AS estimated_time_formatted, 'completed' AS status, "
     "'Spark ETL pipeline completed successfully' AS message, true AS all_rows_written, "
     "format('{:,}', record_count) AS records_text, CAST(avg_temperature AS VARCHAR) AS average_text, "
     f"record_count, true AS timed FROM ({_summary('stored', 'event_time', TENTHS, 10)})",

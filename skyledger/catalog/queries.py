@@ -150,7 +150,10 @@ def finalized_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 def reported_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = f"{shared.new_database(spark, 'reported')}.weather_data"
     rows = _read(spark, sf_dir, "lineitem").count()
-    return load.run(spark, rows, table, SEED, LOAD_TIME).select(
+    return load.run(spark, rows, table, "small", SEED, LOAD_TIME).select(
+        "data_size",
+        "recommended_size",
+        "estimated_time_formatted",
         "status",
         "message",
         "all_rows_written",

@@ -6,13 +6,14 @@ from decimal import Decimal
 import logging
 import time
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from skyledger import schemas
 from skyledger.functions.text import table_identifier
 from skyledger.functions.times import time_literal
 from skyledger.operators.summary import summary
 from skyledger.operators.weather import weather, weather_stored
+from skyledger.plans.planning import load_plan
 from skyledger.plans.report import run_report
 from skyledger.sinks import layouts, tables
 from skyledger.sinks.jdbc import write_jdbc
@@ -128,14 +129,18 @@ def run(
     spark: SparkSession,
     num_records: int = schemas.REQUEST_DEFAULTS["num_records"],
     table_name: str = schemas.REQUEST_DEFAULTS["table_name"],
+    data_size: str = schemas.REQUEST_DEFAULTS["data_size"],
     seed: int = 0,
     load_time: datetime | None = None,
 ) -> DataFrame:
-    """Load, finalize and report: the whole job for one request, as one report row.
+    """Estimate, load, finalize and report: the whole job for one request, as one row.
 
-    A load that fails is logged and reported, not raised; its report has the status
-    of a run with warnings and no statistics.
+    ``data_size`` sets the estimate that stands next to the report; the session and
+    its resources are the caller's. A load that fails is logged and reported, not
+    raised; its report has the status of a run with warnings and no statistics.
     """
+    request = spark.createDataFrame([(num_records, table_name, data_size)], schemas.LOAD_REQUEST)
+    plan = load_plan(request).first()
     started = time.monotonic()
     log = {"run_id": table_name, "status": "failed", "records_requested": num_records}
     try:
@@ -150,4 +155,7 @@ def run(
         }
     except Exception:
         logging.getLogger(__name__).exception("load of %s failed", table_name)
-    return run_report(spark.createDataFrame([log], schemas.RUN_LOG))
+    planned = ("data_size", "recommended_size", "estimated_time_seconds", "estimated_time_formatted")
+    return run_report(spark.createDataFrame([log], schemas.RUN_LOG)).select(
+        "*", *[F.lit(plan[name]).alias(name) for name in planned]
+    )

@@ -187,10 +187,12 @@ def test_whole_job(spark, table):
     report = run(spark, 3_000, table, seed=2).first()
     assert (report.status, report.all_rows_written, report.records_text) == ("completed", True, "3,000")
     assert report.final_stats.record_count == spark.table(table).count() == 3_000
+    assert (report.data_size, report.recommended_size, report.estimated_time_seconds) == ("medium", "small", 0.04)
 
 
 def test_a_failed_job_is_reported(spark):
-    report = run(spark, 10, "no_such_database_here.weather_data").first()
+    report = run(spark, 150_000, "no_such_database_here.weather_data", "small").first()
+    assert report.estimated_time_formatted == "0:00:10"
     assert (report.status, report.final_stats, report.records_text) == ("completed_with_warnings", None, "Unknown")
 
 
