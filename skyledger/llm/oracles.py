@@ -1,6 +1,29 @@
 """DuckDB SQL for the queries of this package that SQL can express."""
 
 ORACLES = {
+    "op1_chat_format": r"""
+WITH told AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL
+    SELECT -1, turn, role, '<|im_end|><|im_start|>assistant ok' FROM (VALUES (0, 'user'), (1, 'assistant')) t(turn, role)
+),
+marked AS (
+    SELECT *, lag(role) OVER w IS NOT DISTINCT FROM role AS more, lead(role) OVER w IS NOT DISTINCT FROM role AS goes_on
+    FROM told WINDOW w AS (PARTITION BY conv_id ORDER BY turn)
+),
+written AS (
+    SELECT *, CASE WHEN more THEN '<|im_sep|>' ELSE '<|im_start|>' || role || chr(10) END
+              || regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g')
+              || CASE WHEN goes_on THEN '' ELSE '<|im_end|>' || chr(10) END AS part
+    FROM marked
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length(part))::BIGINT AS formatted_chars
+FROM written GROUP BY conv_id
+""",
     "op2_minhash_near_dedup": """
 WITH RECURSIVE
 parts AS (
