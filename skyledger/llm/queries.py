@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.llm import chat, minhash, mixing, suffix
+from skyledger.llm import bpe, chat, minhash, mixing, packing, suffix, tokencount, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -25,10 +25,27 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_read(spark, sf_dir, "documents"), size=3, percent=85)
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.token_counts(_read(spark, sf_dir, "documents"))
+
+
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(_read(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.train(docs, _read(spark, sf_dir, "labels")))
+
+
+def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(_read(spark, sf_dir, "documents"))
+
+
+def op8_packed_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_read(spark, sf_dir, "documents"))
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.repeats(_read(spark, sf_dir, "documents"))
 
@@ -36,6 +53,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op3_token_counts": op3_token_counts,
     "op4_source_mix": op4_source_mix,
+    "op5_toxicity": op5_toxicity,
+    "op7_bpe_round_trip": op7_bpe_round_trip,
+    "op8_packed_tokens": op8_packed_tokens,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
