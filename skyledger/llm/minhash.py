@@ -3,9 +3,10 @@
 A document's set is its distinct word shingles. One hash function deals the set
 into bins and each bin keeps its minimum; empty bins borrow by optimal
 densification. Bands of bins are bucket keys, and each bucket proposes a star:
-its least document against the others. Stars are confirmed on the full sets.
-Where a bucket still holds unconnected documents, the pairs across its
-components are confirmed too, so links are lost only where all bands differ.
+one document, the hub, against the others, so pairs grow with the rows of
+buckets and not with the squares of their sizes. Stars are confirmed on the full
+sets. A bucket that still holds several components proposes more stars around
+other hubs, round after round, until a round joins nothing.
 """
 
 from collections.abc import Iterator
@@ -21,7 +22,9 @@ from skyledger.llm.shingles import WordHashes, mixed, shingle_hashes, word_hashe
 
 BINS = 128
 ROWS = 4
-SIGNED = "id long, n_shingles long, h1 long, h2 long, bands array<long>"
+#: Least bins that a linked pair of similarity p shares: BINS * p, less so many standard deviations.
+SLACK = 5
+SIGNED = "id long, n_shingles long, h1 long, h2 long, bands array<long>, low array<byte>"
 
 
 def _probes() -> np.ndarray:
@@ -30,8 +33,8 @@ def _probes() -> np.ndarray:
     return np.argsort(mixed(order + np.uint64(0x5851F42D4C957F2D)).reshape(BINS, BINS), axis=1)
 
 
-def signature(shingles: np.ndarray, probes: np.ndarray) -> np.ndarray:
-    """Band keys of a non-empty sorted set of hashes."""
+def signature(shingles: np.ndarray, probes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Band keys, and the low byte of each bin, of a non-empty sorted set of hashes."""
     width = np.uint64(64 - (BINS - 1).bit_length())
     bins = np.arange(BINS, dtype=np.uint64)
     at = np.minimum(np.searchsorted(shingles, bins << width), len(shingles) - 1)
@@ -46,7 +49,7 @@ def signature(shingles: np.ndarray, probes: np.ndarray) -> np.ndarray:
     keys = np.arange(len(rows), dtype=np.uint64)
     for i in range(ROWS):
         keys = mixed(keys * np.uint64(0x9E3779B97F4A7C15) + rows[:, i])
-    return keys.view(np.int64)
+    return keys.view(np.int64), least.astype(np.uint8).view(np.int8)
 
 
 def _digest(shingles: np.ndarray) -> tuple[int, int]:
@@ -58,18 +61,20 @@ def _signer(size: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, probes = WordHashes(), _probes()
         for batch in batches:
-            n, h1, h2, bands = [], [], [], []
+            n, h1, h2, bands, low = [], [], [], [], []
             for text in batch.column(1):
                 found = shingle_hashes(word_hashes(text.as_py(), cache), size)
                 a, b = _digest(found)
                 n.append(len(found))
                 h1.append(a)
                 h2.append(b)
-                bands.append(signature(found, probes) if len(found) else [])
+                keys, bytes_ = signature(found, probes) if len(found) else ([], [])
+                bands.append(keys)
+                low.append(bytes_)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()),
-                 pa.array(bands, pa.list_(pa.int64()))],
-                ["id", "n_shingles", "h1", "h2", "bands"],
+                 pa.array(bands, pa.list_(pa.int64())), pa.array(low, pa.list_(pa.int8()))],
+                ["id", "n_shingles", "h1", "h2", "bands", "low"],
             )
 
     return sign
@@ -91,18 +96,35 @@ def _setter(size: int):
     return sets
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the similarity."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    asked = nodes.join(ends, "id").select(F.col("id").alias("want"), F.col("h1").alias("w1"), F.col("h2").alias("w2"))
-    sets = (
+def _sets(docs: DataFrame, nodes: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """``id`` and the full set of every asked document."""
+    asked = nodes.join(ids, "id").select(F.col("id").alias("want"), F.col("h1").alias("w1"), F.col("h2").alias("w2"))
+    return (
         docs.join(asked, docs["id"] == F.col("want"), "left_semi")
         .mapInArrow(_setter(size), "id long, h1 long, h2 long, shingles array<long>")
         .join(asked, (F.col("id") == F.col("want")) & (F.col("h1") == F.col("w1")) & (F.col("h2") == F.col("w2")))
-        .groupBy("id")
-        .agg(F.first("shingles").alias("shingles"))
+        .dropDuplicates(["id"])
+        .select("id", "shingles")
+    )
+
+
+def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sizes allow the similarity and whose bins do not speak against it."""
+    share = percent / 100
+    least = int(BINS * share - SLACK * (BINS * share * (1 - share)) ** 0.5)
+    side = lambda x: nodes.select(*(F.col(c).alias(f"{c}_{x}") for c in ("id", "n_shingles", "low")))
+    same = F.size(F.filter(F.zip_with("low_a", "low_b", lambda x, y: x == y), lambda x: x))
+    sizes = F.least("n_shingles_a", "n_shingles_b") * 100 >= F.greatest("n_shingles_a", "n_shingles_b") * percent
+    return (
+        pairs.join(side("a"), F.col("a") == F.col("id_a"))
+        .join(side("b"), F.col("b") == F.col("id_b"))
+        .where(sizes & (same >= least))
+        .select("a", "b")
     )
-    sets = settled(sets)
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the similarity."""
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
@@ -115,6 +137,54 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, p
     )
 
 
+def _linked(
+    nodes: DataFrame, copies: DataFrame, docs: DataFrame, size: int, percent: int
+) -> DataFrame:
+    """``node`` and ``component`` of all documents that have a link."""
+    dealt = nodes.select("id", F.explode("bands").alias("bucket"))
+    crowds = dealt.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1").select("bucket")
+    shared = settled(dealt.join(crowds, "bucket"))
+    sets = None
+    tested = None
+    reached = settled(components(copies, "a", "b"))
+    turn = 0
+    while True:
+        placed = shared.join(reached, shared["id"] == reached["node"], "left").select(
+            "bucket", "id", F.coalesce("component", "id").alias("component")
+        )
+        # the hub: the least id first, then others by a hash of the round
+        order = F.struct((F.xxhash64("id", F.lit(turn)) if turn else F.col("id")).alias("rank"), F.col("id").alias("id"))
+        hubs = (
+            placed.groupBy("bucket")
+            .agg(
+                F.min(F.struct(order.alias("o"), F.col("component").alias("c"))).alias("hub"),
+                F.min("component").alias("low"),
+                F.max("component").alias("high"),
+            )
+            .where("low <> high")
+            .select("bucket", F.col("hub.o.id").alias("hub"), F.col("hub.c").alias("home"))
+        )
+        pairs = (
+            placed.join(hubs, "bucket")
+            .where("component <> home")
+            .select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b"))
+            .distinct()
+        )
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = settled(pairs)
+        likely = settled(_likely(pairs, nodes, percent))
+        if sets is None:
+            sets = settled(_sets(docs, nodes, shared.select("id").distinct(), size))
+        found = settled(_confirmed(likely, sets, percent))
+        if found.isEmpty():
+            return reached
+        tested = pairs if tested is None else tested.union(pairs)
+        known = reached.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        reached = settled(components(known.union(found), "a", "b"))
+        turn += 1
+
+
 def near_duplicates(
     docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -144,45 +214,9 @@ def near_duplicates(
     chosen = classes.groupBy(F.col("first").alias("id")).agg(F.min(F.struct("h1", "h2")).alias("h"))
     nodes = settled(
         some.join(chosen.select("id", "h.h1", "h.h2"), ["id", "h1", "h2"]).dropDuplicates(["id"])
-        .select("id", "n_shingles", "h1", "h2", "bands")
+        .select("id", "n_shingles", "h1", "h2", "bands", "low")
     )
-
-    dealt = nodes.select("id", F.explode("bands").alias("bucket"))
-    hubs = dealt.groupBy("bucket").agg(F.min("id").alias("hub"), F.count("*").alias("members")).where("members > 1")
-    shared = settled(dealt.join(hubs.select("bucket", "hub"), "bucket"))
-    stars = settled(shared.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct())
-    links = settled(_confirmed(stars, texts, nodes, size, percent).union(copies))
-    reached = settled(components(links, "a", "b"))
-
-    # pairs across the components that a bucket's star left apart
-    placed = shared.join(reached, shared["id"] == reached["node"], "left").select(
-        "bucket", "id", F.coalesce("component", "id").alias("component")
-    )
-    apart = (
-        placed.groupBy("bucket")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"))
-        .where("low <> high AND members > 2")
-        .select("bucket")
-    )
-    held = placed.join(apart, "bucket").join(nodes.select("id", "n_shingles", "bands"), "id")
-    left = held.select("bucket", *(F.col(c).alias(f"{c}_a") for c in ("id", "component", "n_shingles", "bands")))
-    right = held.select("bucket", *(F.col(c).alias(f"{c}_b") for c in ("id", "component", "n_shingles", "bands")))
-    across = (
-        left.join(
-            right,
-            (left["bucket"] == right["bucket"])
-            & (F.col("component_a") < F.col("component_b"))
-            & (F.least("n_shingles_a", "n_shingles_b") * 100 >= F.greatest("n_shingles_a", "n_shingles_b") * percent)
-            & (F.array_intersect("bands_a", "bands_b")[0] == left["bucket"]),
-        )
-        .select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"))
-        .join(stars, ["a", "b"], "left_anti")
-    )
-    across = settled(across)
-    if not across.isEmpty():
-        more = _confirmed(across, texts, nodes, size, percent)
-        reached = settled(components(links.union(more), "a", "b"))
-
+    reached = _linked(nodes, copies, texts, size, percent)
     return (
         signed.select("id", "n_shingles")
         .join(reached, signed["id"] == reached["node"], "left")
