@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.llm import bpe, chat, minhash, mixing, packing, suffix, tokencount, toxicity
+from skyledger.llm import bpe, chat, minhash, mixing, packing, quality, suffix, tokencount, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -38,6 +38,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, toxicity.train(docs, _read(spark, sf_dir, "labels")))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(_read(spark, sf_dir, "documents"))
+
+
 def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_read(spark, sf_dir, "documents"))
 
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": op3_token_counts,
     "op4_source_mix": op4_source_mix,
     "op5_toxicity": op5_toxicity,
+    "op6_quality_rules": op6_quality_rules,
     "op7_bpe_round_trip": op7_bpe_round_trip,
     "op8_packed_tokens": op8_packed_tokens,
     "op10_suffix_dedup": op10_suffix_dedup,
