@@ -16,9 +16,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from skyledger.llm.components import components
 from skyledger.llm.settle import settled
 from skyledger.llm.shingles import WordHashes, mixed, shingle_hashes, word_hashes
+from skyledger.llm.stars import joined_by_stars
 
 BINS = 128
 ROWS = 4
@@ -137,54 +137,6 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _linked(
-    nodes: DataFrame, copies: DataFrame, docs: DataFrame, size: int, percent: int
-) -> DataFrame:
-    """``node`` and ``component`` of all documents that have a link."""
-    dealt = nodes.select("id", F.explode("bands").alias("bucket"))
-    crowds = dealt.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1").select("bucket")
-    shared = settled(dealt.join(crowds, "bucket"))
-    sets = None
-    tested = None
-    reached = settled(components(copies, "a", "b"))
-    turn = 0
-    while True:
-        placed = shared.join(reached, shared["id"] == reached["node"], "left").select(
-            "bucket", "id", F.coalesce("component", "id").alias("component")
-        )
-        # the hub: the least id first, then others by a hash of the round
-        order = F.struct((F.xxhash64("id", F.lit(turn)) if turn else F.col("id")).alias("rank"), F.col("id").alias("id"))
-        hubs = (
-            placed.groupBy("bucket")
-            .agg(
-                F.min(F.struct(order.alias("o"), F.col("component").alias("c"))).alias("hub"),
-                F.min("component").alias("low"),
-                F.max("component").alias("high"),
-            )
-            .where("low <> high")
-            .select("bucket", F.col("hub.o.id").alias("hub"), F.col("hub.c").alias("home"))
-        )
-        pairs = (
-            placed.join(hubs, "bucket")
-            .where("component <> home")
-            .select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b"))
-            .distinct()
-        )
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = settled(pairs)
-        likely = settled(_likely(pairs, nodes, percent))
-        if sets is None:
-            sets = settled(_sets(docs, nodes, shared.select("id").distinct(), size))
-        found = settled(_confirmed(likely, sets, percent))
-        if found.isEmpty():
-            return reached
-        tested = pairs if tested is None else tested.union(pairs)
-        known = reached.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        reached = settled(components(known.union(found), "a", "b"))
-        turn += 1
-
-
 def near_duplicates(
     docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -216,7 +168,14 @@ def near_duplicates(
         some.join(chosen.select("id", "h.h1", "h.h2"), ["id", "h1", "h2"]).dropDuplicates(["id"])
         .select("id", "n_shingles", "h1", "h2", "bands", "low")
     )
-    reached = _linked(nodes, copies, texts, size, percent)
+    sets: list[DataFrame] = []
+
+    def confirm(pairs: DataFrame, candidates: DataFrame) -> DataFrame:
+        if not sets:
+            sets.append(settled(_sets(texts, nodes, candidates, size)))
+        return _confirmed(settled(_likely(pairs, nodes, percent)), sets[0], percent)
+
+    reached = joined_by_stars(nodes.select("id", F.explode("bands").alias("bucket")), copies, confirm)
     return (
         signed.select("id", "n_shingles")
         .join(reached, signed["id"] == reached["node"], "left")

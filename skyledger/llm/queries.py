@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.llm import bpe, chat, minhash, mixing, packing, quality, suffix, tokencount, toxicity
+from skyledger.llm import bpe, chat, lattice, minhash, mixing, packing, quality, suffix, tokencount, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -50,6 +50,10 @@ def op8_packed_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_read(spark, sf_dir, "documents"))
 
 
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_duplicate_vectors(_read(spark, sf_dir, "embeddings"))
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.repeats(_read(spark, sf_dir, "documents"))
 
@@ -63,5 +67,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_rules": op6_quality_rules,
     "op7_bpe_round_trip": op7_bpe_round_trip,
     "op8_packed_tokens": op8_packed_tokens,
+    "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
