@@ -4,12 +4,17 @@ Each stage takes all that its predecessor kept, as written to Parquet and read
 again, and all but the last return the columns of ``documents``.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyledger.llm import minhash, suffix
+from skyledger.llm import bpe, minhash, mixing, quality, suffix
 from skyledger.sinks.shared import new_path
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules or the robust outlier rule reject go."""
+    return quality.passing(docs)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: five-word shingles, similarity 0.8 or more."""
     return minhash.drop_near_duplicates(docs, size=5, percent=80)
@@ -17,16 +22,37 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 100 bytes or more that occur earlier are cut out of the texts; the length column follows."""
-    return suffix.drop_repeats(docs).selectExpr("* EXCEPT (n_chars)", "CAST(length(text) AS BIGINT) AS n_chars").select(docs.columns)
+    cut = suffix.drop_repeats(docs)
+    return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix by source weights: a document has a row for each time it is taken."""
+    return mixing.mixed_documents(docs)
+
+
+def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every text, and whether they decode to it."""
+    coded = bpe.encoded(docs.select("doc_id", "lang", "source", "text"))
+    back = bpe.decoded(coded)
+    same = F.col("data") == F.coalesce("text", F.lit("")).cast("binary")
+    return back.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("decodes"))
 
 
-STAGES = [("near_dedup", near_dedup), ("suffix_dedup", suffix_dedup)]
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup),
+    ("suffix_dedup", suffix_dedup),
+    ("source_mix", source_mix),
+    ("bpe_tokens", bpe_tokens),
+]
 
+#: SQL cannot express the estimates, the draws and the merges of the stages.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over ``documents``, each written to the shared folder and read again."""
+    """The stages over ``documents``, each but the last written to the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         path = new_path(spark, name)

@@ -195,7 +195,7 @@ def _judged(measured: DataFrame, fitted: DataFrame) -> DataFrame:
     found = estimates(rows.join(_sent(enough), "__group", "left_semi"))
     placed = _with_distance(grouped(measured).join(_sent(found), "__group", "left"))
     far = F.coalesce(F.col("__d") > CUTOFF, F.lit(False))
-    return placed.withColumn("kept", ~F.col("base_failed") & ~far)
+    return placed.withColumn("kept", F.when(F.col("base_failed"), F.lit(False)).otherwise(~far))
 
 
 def judged(
@@ -223,5 +223,6 @@ def passing(docs: DataFrame, lang_col: str = "lang", source_col: str = "source",
     """The rows of ``docs`` that ``judged`` keeps, with all their columns."""
     clear = docs.select(F.struct("*").alias("__row"), F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), F.col(text_col).alias("text"))
     measured = _measured(clear, "lang", "source", "text")
-    fitted = settled(measured.where("NOT base_failed").select("__own", "__pool", *_Y))
+    # kept before it is filtered: a filter would be pushed into the statistics and repeat them
+    fitted = settled(measured.select("base_failed", "__own", "__pool", *_Y)).where("NOT base_failed")
     return _judged(measured, fitted).where("kept").select("__row.*")
