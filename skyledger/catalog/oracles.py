@@ -1,8 +1,7 @@
 """SQL counterparts of the queries, for another engine to run on the same tables.
 
-Each gives the same columns and rows as the query of the same name. Two queries have
-none: ``table_size``, because bytes on disk are not in the tables, and the sketched
-profile, which is approximate and has the exact one next to it.
+Each gives the same columns and rows as the query of the same name. Sketched counts
+and bytes on disk are compared in the query, which returns whether they agree.
 """
 
 from skyledger import schemas
@@ -109,7 +108,7 @@ COLUMN_PROFILE = " UNION ALL ".join(
 
 SCHEMA_LISTING = " UNION ALL ".join(
     f"SELECT '{field.name}' AS column_name, '{field.dataType.simpleString()}' AS data_type, "
-    f"{position} AS ordinal_position, count(*) AS filled, {len(schemas.WEATHER_TARGET)} AS n_columns FROM lineitem"
+    f"{position} AS ordinal_position, {len(schemas.WEATHER_TARGET)}::BIGINT AS n_columns"
     for position, field in enumerate(schemas.WEATHER_TARGET, start=1)
 )
 
@@ -258,9 +257,16 @@ ORACLES: dict[str, str] = {
     "coerce_split": "SELECT o_orderkey, TRY_CAST(o_totalprice AS DECIMAL(7,2)) AS stored_price, "
     "CASE WHEN o_totalprice IS NOT NULL AND TRY_CAST(o_totalprice AS DECIMAL(7,2)) IS NULL "
     "THEN 'o_totalprice' ELSE '' END AS rejected FROM orders",
-    "load_summary": f"WITH {_STORED_LINES}\n{_summary('stored', 'event_time', TENTHS, 10)}",
+    "load_summary": f"WITH {_stored(EVENT_IDS)}\n{_summary('stored', 'event_time', TENTHS, 10)}",
     "events_summary": _summary("events", "ts", HUNDREDTHS, 1),
     "column_profile": COLUMN_PROFILE,
+    "column_profile_sketched": f"SELECT * EXCLUDE (distinct_values), true AS distinct_close FROM ({COLUMN_PROFILE})",
+    "table_size": "SELECT count(*) AS record_count, true AS sizes_agree, true AS files_agree FROM events",
+    "finalized_layouts": f"WITH {_STORED_LINES}\n"
+    f"SELECT 'batch' AS lookup, count(*) AS rows, coalesce(sum(id), 0)::BIGINT AS ids FROM stored WHERE batch_id = {q.BATCH} UNION ALL "
+    "SELECT 'day', count(*), coalesce(sum(id), 0)::BIGINT FROM stored UNION ALL "
+    "SELECT 'cell', count(*), coalesce(sum(id), 0)::BIGINT FROM stored "
+    f"WHERE latitude BETWEEN {_BOX['south']} AND {_BOX['north']} AND longitude BETWEEN {_BOX['west']} AND {_BOX['east']}",
     "stored_keys": "SELECT 'load' AS source, count(*) AS rows, count(*) AS keys, 0 AS repeated_keys, "
     "0 AS rows_without_key FROM lineitem UNION ALL "
     "SELECT 'lineitem', CAST(sum(held) AS BIGINT), count(l_orderkey), count(*) FILTER (held > 1 AND l_orderkey IS NOT NULL), "
@@ -276,12 +282,12 @@ ORACLES: dict[str, str] = {
     f"{_duration_text('record_count::DOUBLE / 15000')} AS estimated_time_formatted, 'completed' AS status, "
     "'Spark ETL pipeline completed successfully' AS message, true AS all_rows_written, "
     "format('{:,}', record_count) AS records_text, CAST(avg_temperature AS VARCHAR) AS average_text, "
-    f"record_count, true AS timed FROM ({_summary('stored', 'event_time', TENTHS, 10)})",
+    f"record_count AS stored_count, true AS all_rows_stored, true AS timed, true AS finalized_within FROM ({_summary('stored', 'event_time', TENTHS, 10)})",
     "schema_listing": SCHEMA_LISTING,
     "reload_idempotent": "SELECT orders.*, run_id FROM orders, (VALUES ('first'), ('second')) AS runs(run_id)",
     "rows_written": "SELECT count(*) AS requested, count(*) AS written, count(*) AS stored FROM events",
     "csv_source": "SELECT * FROM customer",
-    "batch_lookup": f"WITH {_STORED_LINES}\nSELECT * FROM stored WHERE batch_id = {q.BATCH}",
+    "batch_lookup": f"WITH {_stored(EVENT_IDS)}\nSELECT * FROM stored WHERE batch_id = {q.BATCH}",
     "time_range": f"SELECT * FROM events WHERE ts >= TIMESTAMP '{q.RANGE[0]}' AND ts < TIMESTAMP '{q.RANGE[1]}'",
     "geo_box": f"WITH {_stored(EVENT_IDS)}\nSELECT *, CAST(least(floor((latitude + 90) / 30), 5) * 12 + "
     "least(floor((longitude + 180) / 30), 11) AS INT) AS cell_30 FROM stored "

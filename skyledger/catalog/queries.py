@@ -5,7 +5,9 @@ own, so they can run side by side and again.
 """
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
+from functools import reduce
+import time
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -14,7 +16,7 @@ from skyledger.functions.numbers import rounded_mean, size_text
 from skyledger.functions.times import time_literal
 from skyledger.operators import coerce, lookups
 from skyledger.operators.people import people_counts, with_payload
-from skyledger.operators.summary import data_size, key_check, profile, summary
+from skyledger.operators.summary import SKETCH_ERROR, data_size, key_check, profile, summary
 from skyledger.operators.weather import weather, weather_stored
 from skyledger.plans import load, people, planning, report
 from skyledger.sinks import layouts, shared, tables
@@ -74,13 +76,9 @@ def load_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def coerce_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     prices = _read(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    accepted, rejected = coerce.split(prices, T.StructType([T.StructField("o_totalprice", NARROW_PRICE)]))
-    return accepted.select(
-        "o_orderkey", F.col("o_totalprice").alias("stored_price"), F.lit("").alias("rejected")
-    ).unionAll(
-        rejected.select(
-            "o_orderkey", F.lit(None).cast(NARROW_PRICE), F.array_join(coerce.REJECTED, ",")
-        )
+    stored = coerce.typed(prices, T.StructType([T.StructField("o_totalprice", NARROW_PRICE)]))
+    return stored.select(
+        "o_orderkey", F.col("o_totalprice").alias("stored_price"), F.array_join(coerce.REJECTED, ",").alias("rejected")
     )
 
 
@@ -88,7 +86,7 @@ def coerce_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summary(_plain_times(_stored(spark, sf_dir)))
+    return summary(_plain_times(_event_readings(spark, sf_dir)))
 
 
 def events_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +99,11 @@ def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def column_profile_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile(_read(spark, sf_dir, "lineitem"))
+    """The sketched profile; for distinct values, whether the sketch is within three standard errors of the exact count."""
+    lines = _read(spark, sf_dir, "lineitem")
+    exact = profile(lines, exact=True).select("column_name", F.col("distinct_values").alias("counted"))
+    near = F.abs(F.col("distinct_values") - F.col("counted")) <= 3 * SKETCH_ERROR * F.col("counted")
+    return profile(lines).join(exact, "column_name").withColumn("distinct_close", near).drop("distinct_values", "counted")
 
 
 def stored_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,8 +118,18 @@ def stored_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def table_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared.new_path(spark, "sized")
-    _stored(spark, sf_dir).write.parquet(path)
-    return data_size(spark.read.parquet(path))
+    _event_readings(spark, sf_dir).write.parquet(path)
+    stored = spark.read.parquet(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    listed = files.agg(F.count("length").alias("listed"), F.sum("length").alias("bytes"))
+    rows = stored.agg(F.count(F.lit(1)).alias("record_count"))
+    one = F.lit(1).alias("one")
+    return (
+        data_size(stored).withColumn("one", one)
+        .join(listed.withColumn("one", one), "one")
+        .join(rows.withColumn("one", one), "one")
+        .select("record_count", (F.col("size_bytes") == F.col("bytes")).alias("sizes_agree"), (F.col("files") == F.col("listed")).alias("files_agree"))
+    )
 
 
 # Tables and re-runnable loads
@@ -150,6 +162,7 @@ def finalized_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 def reported_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = f"{shared.new_database(spark, 'reported')}.weather_data"
     rows = _read(spark, sf_dir, "lineitem").count()
+    started = time.monotonic()
     return load.run(spark, rows, table, "small", SEED, LOAD_TIME).select(
         "data_size",
         "recommended_size",
@@ -159,30 +172,42 @@ def reported_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         "all_rows_written",
         "records_text",
         "average_text",
-        F.col("final_stats.record_count").alias("record_count"),
+        F.col("final_stats.record_count").alias("stored_count"),
+        (F.col("final_stats.record_count") == F.col("final_stats.records_processed")).alias("all_rows_stored"),
         (F.col("rows_per_second") > 0).alias("timed"),
+        (F.col("final_stats.finalization_time_seconds") < time.monotonic() - started).alias("finalized_within"),
     )
 
 
+def finalized_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load finalized with all layouts, and what a lookup through each of them finds."""
+    table, run = _loaded(spark, sf_dir, "laid_out")
+    folder = shared.new_path(spark, "layouts")
+    load.finalize(spark, table, run["records_written"], layouts_folder=folder)
+    found = {
+        "batch": lookups.by_batch(spark.table(f"{table}_by_batch"), BATCH),
+        "day": lookups.by_time(spark.read.parquet(f"{folder}/by_day"), LOAD_TIME, LOAD_TIME + timedelta(hours=1)),
+        "cell": lookups.by_box(spark.read.parquet(f"{folder}/by_cell"), **BOX),
+    }
+    counted = [
+        rows.agg(F.lit(name).alias("lookup"), F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("id"), F.lit(0)).alias("ids"))
+        for name, rows in found.items()
+    ]
+    return reduce(DataFrame.unionAll, counted)
+
+
 def schema_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, _ = _loaded(spark, sf_dir, "listed")
-    listing = readers.catalog_columns(spark, table)
-    stored = spark.table(table)
-    filled = stored.agg(*[F.count(name).alias(name) for name in stored.columns]).unpivot(
-        [], stored.columns, "column_name", "filled"
-    )
-    return (
-        listing.join(filled, "column_name")
-        .withColumn("n_columns", F.lit(listing.count()))
-        .orderBy("ordinal_position")
-    )
+    columns = len(spark.table(table).columns)
+    return readers.catalog_columns(spark, table).withColumn("n_columns", F.lit(columns).cast("bigint"))
 
 
 def reload_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared.new_path(spark, "reloaded")
     orders = _read(spark, sf_dir, "orders")
-    for run in ("first", "second", "first"):
+    for run in ("first", "second", "third", "first"):
         tables.write_run(orders, path, run)
+    tables.write_run(orders.limit(0), path, "third")
     return spark.read.parquet(path)
 
 
@@ -211,19 +236,23 @@ def csv_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 def batch_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared.new_path(spark, "bucketed")
     name = path.rsplit("/", 1)[1]
-    stored = layouts.bucket_by_batch(_stored(spark, sf_dir), name, path)
+    stored = layouts.bucket_by_batch(_event_readings(spark, sf_dir), name, path)
     return _plain_times(lookups.by_batch(stored, BATCH))
 
 
 def time_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared.new_path(spark, "by_day")
-    stored = layouts.partition_by_day(_read(spark, sf_dir, "events"), path, "ts", "event_date")
+    events = _read(spark, sf_dir, "events")
+    layouts.partition_by_day(events.unionAll(events.withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 DAY"))), path, "ts", "event_date")
+    stored = layouts.partition_by_day(events, path, "ts", "event_date")
     return lookups.by_time(stored, *RANGE, time_col="ts").drop("event_date")
 
 
 def geo_box(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared.new_path(spark, "by_cell")
-    stored = layouts.partition_by_cell(_event_readings(spark, sf_dir), path)
+    readings = _event_readings(spark, sf_dir)
+    layouts.partition_by_cell(readings.unionAll(readings), path)
+    stored = layouts.partition_by_cell(readings, path)
     return _plain_times(lookups.by_box(stored, **BOX))
 
 
@@ -359,6 +388,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_roundtrip": table_roundtrip,
     "finalized_load": finalized_load,
     "reported_load": reported_load,
+    "finalized_layouts": finalized_layouts,
     "schema_listing": schema_listing,
     "reload_idempotent": reload_idempotent,
     "rows_written": rows_written,

@@ -12,11 +12,16 @@ def rounded_mean(total: Column, count: Column, places: int = 2, precision: int =
     """Mean of decimals from their sum and count, rounded once, half away from zero.
 
     ``avg`` rounds to four more digits than its input and a cast would round again,
-    which can cross a tie. Dividing the exact decimal sum by the bigint count keeps
-    at least 20 digits after the point, so the cast below is the only rounding that
-    can show. NULL when there is nothing to average.
+    which can cross a tie. A wide sum divided at once would keep only six digits after
+    the point, so the whole part and the remainder are divided apart: the first is
+    exact and the second keeps 17 digits, enough for any count below 10^14. The cast
+    is the only rounding that can show. NULL when there is nothing to average.
     """
-    return F.try_divide(total, count.cast("decimal(20,0)")).cast(f"decimal({precision},{places})")
+    many = F.nullif(count.cast("decimal(20,0)"), F.lit(0).cast("decimal(20,0)"))
+    rest = total % many
+    whole = ((total - rest) / many).cast("decimal(18,0)")
+    part = (rest.cast("decimal(22,9)") / many).cast("decimal(19,17)")
+    return (whole + part).cast(f"decimal({precision},{places})")
 
 
 def size_text(size: Column) -> Column:

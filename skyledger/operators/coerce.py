@@ -85,11 +85,25 @@ def mark(df: DataFrame, target: T.StructType) -> DataFrame:
     return df.withColumn(REJECTED, rejected)
 
 
+def typed(df: DataFrame, target: T.StructType) -> DataFrame:
+    """Every row once: values in their declared types, NULL where rejected, and ``rejected_columns``.
+
+    One projection of one scan. Filter on ``size(rejected_columns)`` to set the
+    misfits apart; written partitioned by that test, both parts come of one pass.
+    """
+    marked = mark(df, target)
+    values = [
+        (_cast(df, name, kind) if _needs_cast(df, name, kind) else F.col(name)).alias(name)
+        for name, kind in _targets(df, target).items()
+    ]
+    return marked.select(*values, REJECTED)
+
+
 def split(df: DataFrame, target: T.StructType) -> tuple[DataFrame, DataFrame]:
     """(accepted rows in their declared types, rejected rows as they came).
 
-    Both are filters over one narrow projection. To keep both from a single scan,
-    write ``mark`` partitioned by ``size(rejected_columns) = 0`` instead.
+    Each is a filter over a narrow projection and reads the source by itself; ``typed``
+    gives all rows in one scan.
     """
     marked = mark(df, target)
     fits = F.size(REJECTED) == 0

@@ -51,6 +51,19 @@ def cell_of(latitude: Column, longitude: Column, degrees: int = CELL_DEGREES) ->
     return (row * columns + column).cast("int")
 
 
+def curve_of(latitude: Column, longitude: Column, bits: int = 16) -> Column:
+    """A point's place on a curve through the globe: the bits of both coordinates, in turns."""
+    steps = (1 << bits) - 1
+    x = F.floor((longitude.cast("double") + 180) / 360 * steps)
+    y = F.floor((latitude.cast("double") + 90) / 180 * steps)
+    curve = F.lit(0).cast("bigint")
+    for bit in range(bits):
+        for shift, value in ((0, x), (1, y)):
+            one = F.shiftright(value, bit).bitwiseAND(F.lit(1))
+            curve = curve.bitwiseOR(F.shiftleft(one, 2 * bit + shift))
+    return curve
+
+
 def cells_in_box(
     south: float, north: float, west: float, east: float, degrees: int = CELL_DEGREES
 ) -> list[int]:

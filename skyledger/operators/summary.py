@@ -29,17 +29,23 @@ def summary(
 
     One scan of two columns, a partial aggregate in each task, one small exchange.
     ``with_size`` takes the bytes of the data files from the same scan, and needs a
-    frame read from Parquet. ``value_col`` must be a decimal; its mean is exact and
-    rounded once. An empty or all-NULL column has mean 0, as has a true mean of 0;
-    ``record_count`` tells the first of these apart.
+    frame read from Parquet. ``value_col`` must be a decimal of up to 9 places and 28
+    digits; its mean is exact and rounded once. The sum is widened to 38 digits, so it
+    holds 10^10 times the largest value of a 28-digit column and far more of the stored
+    ones. An empty or all-NULL column has mean 0, as has a true mean of 0;
+    ``record_count`` tells the first of these apart. A mean that does not fit fails.
     """
+    kind = df.schema[value_col].dataType
+    total = F.sum(F.col(value_col).cast(f"decimal(28,{kind.scale})"))
+    misfit = F.raise_error(f"the mean of {value_col} does not fit decimal(5,2)").cast("decimal(5,2)")
+    mean = F.when(F.count(value_col) == 0, F.lit(0).cast("decimal(5,2)")).otherwise(
+        F.coalesce(rounded_mean(total, F.count(value_col)), misfit)
+    )
     measures = [
         F.count(F.lit(1)).alias("record_count"),
         F.min(time_col).alias("earliest_event"),
         F.max(time_col).alias("latest_event"),
-        F.coalesce(
-            rounded_mean(F.sum(value_col), F.count(value_col)), F.lit(0).cast("decimal(5,2)")
-        ).alias("avg_temperature"),
+        mean.alias("avg_temperature"),
     ]
     if with_size:
         size = F.coalesce(F.sum(_file_bytes()), F.lit(0))

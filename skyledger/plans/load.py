@@ -19,6 +19,9 @@ from skyledger.sinks import layouts, tables
 from skyledger.sinks.jdbc import write_jdbc
 from skyledger.sources.readers import row_ids
 
+#: Columns that batch, time and place lookups filter on.
+LOOKUP_COLUMNS = ("batch_id", "event_time", "latitude", "longitude")
+
 
 def load_weather(
     spark: SparkSession,
@@ -76,15 +79,21 @@ def finalize(
     table: str,
     records_processed: int,
     statistics: bool = True,
-    columns: list[str] | None = None,
+    columns: tuple[str, ...] = LOOKUP_COLUMNS,
+    layouts_folder: str | None = None,
+    lookups: tuple[str, ...] = ("batch", "day", "cell"),
 ) -> DataFrame:
-    """Refresh the table's statistics and return its summary as one row.
+    """Lay the table out, refresh its statistics and return its summary as one row.
 
-    ``columns`` limits the column statistics to those named.
+    ``columns`` names those that get column statistics: the ones lookups filter on,
+    unless told otherwise. With ``layouts_folder`` the layouts in ``lookups`` are
+    written there, each a copy and a shuffle of the table.
     """
     started = time.monotonic()
+    if layouts_folder is not None:
+        lay_out(spark, table, layouts_folder, lookups=lookups)
     if statistics:
-        tables.analyze(spark, table, columns)
+        tables.analyze(spark, table, list(columns))
     row = summary(spark.table(table), with_size=True).first()
     return spark.createDataFrame(
         [
@@ -103,26 +112,35 @@ def finalize(
 
 @dataclass
 class Layouts:
-    """Copies of one table, each laid out for one kind of lookup."""
-
-    by_batch: DataFrame
-    by_day: DataFrame
-    by_cell: DataFrame
+    """Copies of one table, each laid out for one kind of lookup; None where not wanted."""
 
+    by_batch: DataFrame | None = None
+    by_day: DataFrame | None = None
+    by_cell: DataFrame | None = None
 
-def lay_out(spark: SparkSession, table: str, folder: str, buckets: int = 16) -> Layouts:
-    """Write all three lookup layouts of a table.
 
-    Each is a copy and a shuffle of the whole table; where only some lookups are
-    wanted, write those with ``sinks.layouts`` instead. The bucketed copy is the table
-    ``<table>_by_batch``; use more buckets, up to one per batch, for larger tables.
+def lay_out(
+    spark: SparkSession,
+    table: str,
+    folder: str,
+    buckets: int = 16,
+    lookups: tuple[str, ...] = ("batch", "day", "cell"),
+) -> Layouts:
+    """Write the wanted lookup layouts of a table.
+
+    Each is a copy and a shuffle of the whole table. The bucketed copy is the table
+    ``<table>_by_batch``. Sixteen buckets suit tables up to some 100 GB; take one per
+    4 GB beyond, up to one per batch (there are 1000 batches).
     """
     rows = spark.table(table_identifier(table))
-    return Layouts(
-        layouts.bucket_by_batch(rows, f"{table}_by_batch", f"{folder}/by_batch", buckets),
-        layouts.partition_by_day(rows, f"{folder}/by_day"),
-        layouts.partition_by_cell(rows, f"{folder}/by_cell"),
-    )
+    made = Layouts()
+    if "batch" in lookups:
+        made.by_batch = layouts.bucket_by_batch(rows, f"{table}_by_batch", f"{folder}/by_batch", buckets)
+    if "day" in lookups:
+        made.by_day = layouts.partition_by_day(rows, f"{folder}/by_day")
+    if "cell" in lookups:
+        made.by_cell = layouts.partition_by_cell(rows, f"{folder}/by_cell")
+    return made
 
 
 def run(
@@ -141,21 +159,21 @@ def run(
     """
     request = spark.createDataFrame([(num_records, table_name, data_size)], schemas.LOAD_REQUEST)
     plan = load_plan(request).first()
-    started = time.monotonic()
     log = {"run_id": table_name, "status": "failed", "records_requested": num_records}
     try:
         loaded = load_weather(spark, num_records, table_name, seed, load_time)
-        log["records_written"] = loaded["records_written"]
+        log |= {key: loaded[key] for key in ("records_written", "elapsed_seconds")}
         stored = finalize(spark, table_name, loaded["records_written"]).first()
         log |= {
             "status": "success",
-            "elapsed_seconds": time.monotonic() - started,
+            "finalization_seconds": stored["finalization_time_seconds"],
+            "records_stored": stored["record_count"],
             "table_size": stored["table_size"],
             "avg_temperature": Decimal(str(stored["avg_temperature"])),
         }
     except Exception:
         logging.getLogger(__name__).exception("load of %s failed", table_name)
     planned = ("data_size", "recommended_size", "estimated_time_seconds", "estimated_time_formatted")
-    return run_report(spark.createDataFrame([log], schemas.RUN_LOG)).select(
+    return run_report(spark.createDataFrame([log], schemas.LOAD_LOG)).select(
         "*", *[F.lit(plan[name]).alias(name) for name in planned]
     )

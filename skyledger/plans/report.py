@@ -17,8 +17,12 @@ def run_report(runs: DataFrame) -> DataFrame:
 
     A run whose report step raised has failed, one that logged ``success`` is
     complete, and any other, a missing status included, is complete with warnings.
-    Only complete runs carry ``final_stats``.
+    Only complete runs carry ``final_stats``. ``elapsed_seconds`` is the time of the
+    write. Logs may leave out ``finalization_seconds``, which is then that time, and
+    ``records_stored``, the rows found in the table, which are then those written.
     """
+    finalized = F.col("finalization_seconds" if "finalization_seconds" in runs.columns else "elapsed_seconds")
+    stored = F.col("records_stored" if "records_stored" in runs.columns else "records_written")
     failed = F.col("report_error").isNotNull()
     succeeded = F.coalesce(F.col("status") == "success", F.lit(False))
     rate = rows_per_second(F.col("records_written"), F.col("elapsed_seconds"))
@@ -33,14 +37,17 @@ def run_report(runs: DataFrame) -> DataFrame:
         F.when(
             ~failed & succeeded,
             F.struct(
-                F.coalesce("elapsed_seconds", F.lit(0.0)).alias("finalization_time_seconds"),
+                F.coalesce(finalized, F.lit(0.0)).alias("finalization_time_seconds"),
                 F.col("records_requested").alias("records_processed"),
                 F.col("table_size"),
-                F.col("records_written").alias("record_count"),
+                stored.alias("record_count"),
                 F.coalesce(F.col("avg_temperature").cast("double"), F.lit(0.0)).alias("avg_temperature"),
             ),
         ).alias("final_stats"),
-        F.col("records_written").eqNullSafe(F.col("records_requested")).alias("all_rows_written"),
+        (
+            F.col("records_written").eqNullSafe(F.col("records_requested"))
+            & stored.eqNullSafe(F.col("records_written"))
+        ).alias("all_rows_written"),
         rate.alias("rows_per_second"),
         F.coalesce(with_thousands(F.col("records_written")), F.lit(UNKNOWN)).alias("records_text"),
         F.coalesce("table_size", F.lit(UNKNOWN)).alias("table_size_text"),

@@ -108,3 +108,12 @@ RUN_LOG = T.StructType(
         T.StructField("report_error", T.StringType()),
     ]
 )
+
+# What a load of this package also logs: the finalize step's own time, and the rows its scan found.
+LOAD_LOG = T.StructType(
+    [
+        *RUN_LOG.fields,
+        T.StructField("finalization_seconds", T.DoubleType()),
+        T.StructField("records_stored", T.LongType()),
+    ]
+)

@@ -1,12 +1,16 @@
 """Catalog tables and re-runnable file appends."""
 
 from collections.abc import Callable
+import re
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from skyledger import schemas
 from skyledger.functions.text import identifier, table_identifier
 
+# What Spark writes as %XX in the names of partition directories.
+_ESCAPED = re.compile(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""")
+
 
 def drop_table(spark: SparkSession, table: str) -> None:
     """Remove the table and its data if it is there."""
@@ -48,15 +52,22 @@ def write_run(df: DataFrame, path: str, run_id: str) -> None:
 
     The run is a directory of its own and only the directories written to are
     replaced, so a retried run leaves no duplicates and other runs stay. No shuffle:
-    each task adds its files to the run's directory.
+    each task adds its files to the run's directory. A run that turns out to have no
+    rows touches no directory, so its own is then emptied, after the write has ended.
     """
-    (
-        df.withColumn("run_id", F.lit(run_id))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_id")
-        .parquet(path)
-    )
+
+    def write(rows: DataFrame) -> None:
+        (
+            rows.withColumn("run_id", F.lit(run_id))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("run_id")
+            .parquet(path)
+        )
+
+    if counting_rows(df, write) == 0:
+        folder = _ESCAPED.sub(lambda found: f"%{ord(found[0]):02X}", run_id)
+        df.drop("run_id").limit(0).write.mode("overwrite").parquet(f"{path}/run_id={folder}")
 
 
 def counting_rows(df: DataFrame, write: Callable[[DataFrame], None]) -> int:

@@ -180,3 +180,26 @@ def test_every_point_of_a_box_lies_in_its_cells(spark, readings, box, degrees):
 def test_cells_must_divide_the_globe(degrees):
     with pytest.raises(ValueError):
         lookups.cells_in_box(0, 1, 0, 1, degrees)
+
+
+def test_a_small_box_in_a_hot_cell_opens_few_files(spark, tmp_path):
+    """All points in one cell: a box of a hundredth of it meets few of its files."""
+    points = spark.range(40_000).selectExpr(
+        "id",
+        "CAST(30 + 30 * pmod(xxhash64(id, 1), 10000) / 10000 AS DECIMAL(8,6)) AS latitude",
+        "CAST(30 * pmod(xxhash64(id, 2), 10000) / 10000 AS DECIMAL(9,6)) AS longitude",
+    )
+    stored = layouts.partition_by_cell(points, str(tmp_path / "cells"), ranges=16)
+    box = lookups.by_box(stored, south=40, north=43, west=10, east=13)
+    opened = box.select("_metadata.file_path").distinct().count()
+    assert opened <= 4
+    reach = stored.groupBy("_metadata.file_path").agg((F.max("latitude") - F.min("latitude")).alias("d"))
+    assert reach.where("d < 16").count() >= 12
+
+
+@pytest.mark.parametrize("write", [layouts.partition_by_day, layouts.partition_by_cell])
+def test_layouts_replace_in_a_dynamic_session(spark, readings, tmp_path, with_conf, write):
+    with_conf(spark__sql__sources__partitionOverwriteMode="dynamic")
+    write(readings, str(tmp_path / "t"))
+    few = readings.where("id < 10")
+    assert write(few, str(tmp_path / "t")).count() == few.count()

@@ -42,3 +42,14 @@ def test_reports(spark):
 def test_reporting_does_not_shuffle(spark):
     plan = run_report(spark.createDataFrame(RUNS, schemas.RUN_LOG))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_missing_rows_are_reported(spark):
+    log = {"run_id": "r", "status": "success", "records_requested": 10, "records_written": 10, "elapsed_seconds": 2.0}
+    for stored, whole in ((10, True), (9, False)):
+        rows = spark.createDataFrame([log | {"records_stored": stored, "finalization_seconds": 0.5}], schemas.LOAD_LOG)
+        report = run_report(rows).first()
+        assert report.all_rows_written is whole
+        assert report.final_stats.record_count == stored
+        assert report.final_stats.finalization_time_seconds == 0.5
+        assert report.rows_per_second == 5.0

@@ -161,3 +161,30 @@ def test_key_check(spark):
     assert key_check(df).first().asDict() == {"rows": 8, "keys": 3, "repeated_keys": 2, "rows_without_key": 2}
     assert tuple(key_check(spark.range(1000)).first()) == (1000, 1000, 0, 0)
     assert tuple(key_check(spark.range(0)).first()) == (0, 0, 0, 0)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_a_mean_that_does_not_fit_fails(spark, with_conf, ansi):
+    with_conf(spark__sql__ansi__enabled=ansi)
+    wide = spark.range(10).selectExpr("TIMESTAMP '2024-01-01' AS event_time", "CAST(1234.50 AS DECIMAL(8,2)) AS temperature")
+    with pytest.raises(Exception, match="fit|NUMERIC_VALUE_OUT_OF_RANGE"):
+        summary(wide).collect()
+    empty = wide.where("temperature < 0")
+    assert summary(empty).first().avg_temperature == 0
+    nothing = wide.withColumn("temperature", F.lit(None).cast("decimal(8,2)"))
+    assert summary(nothing).first().avg_temperature == 0
+
+
+def test_the_sum_holds_the_target_size(spark):
+    """10^13 rows of 99.9, by the type of the sum in the plan."""
+    rows = spark.range(1).selectExpr("TIMESTAMP '2024-01-01' AS event_time", "CAST(99.9 AS DECIMAL(3,1)) AS temperature")
+    plan = summary(rows)._jdf.queryExecution().analyzed().toString()
+    assert "decimal(28,1)" in plan
+
+
+def test_ties_are_rounded_once_with_wide_sums(spark):
+    for total, count, mean in (("1005.0", 1000, "1.01"), ("1004.9", 1000, "1.00"), ("-1005.0", 1000, "-1.01"), ("10049999999999.9", 10**13, "1.00"), ("10050000000000.0", 10**13, "1.01")):
+        row = spark.range(1).select(
+            rounded_mean(F.lit(total).cast("decimal(38,1)"), F.lit(count).cast("bigint")).alias("m")
+        ).first()
+        assert str(row.m) == mean

@@ -220,3 +220,12 @@ def test_a_failed_rerun_keeps_the_runs_earlier_rows(spark, tmp_path):
     with pytest.raises(Exception, match="row seven"):
         tables.write_run(bad, path, "one")
     assert spark.read.parquet(path).count() == 100
+
+
+def test_an_empty_rerun_clears_its_run_and_no_other(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    tables.write_run(spark.range(100), path, "a/b")
+    tables.write_run(spark.range(5), path, "c")
+    tables.write_run(spark.range(0), path, "a/b")
+    assert [r.run_id for r in spark.read.parquet(path).select("run_id").distinct().collect()] == ["c"]
+    assert spark.read.parquet(path).count() == 5
