@@ -163,17 +163,20 @@ def near_duplicates(
         .join(classes.where("copies > 1").select("h1", "h2", "first"), ["h1", "h2"])
         .select(F.col("first").alias("a"), F.col("id").alias("b"))
     )
-    chosen = classes.groupBy(F.col("first").alias("id")).agg(F.min(F.struct("h1", "h2")).alias("h"))
+    chosen = classes.groupBy(F.col("first").alias("of")).agg(F.min(F.struct("h1", "h2")).alias("h"))
+    same = (F.col("id") == F.col("of")) & (F.col("h1") == F.col("h.h1")) & (F.col("h2") == F.col("h.h2"))
     nodes = settled(
-        some.join(chosen.select("id", "h.h1", "h.h2"), ["id", "h1", "h2"]).dropDuplicates(["id"])
+        some.join(chosen, F.col("id") == F.col("of")).where(same).dropDuplicates(["id"])
         .select("id", "n_shingles", "h1", "h2", "bands", "low")
     )
-    sets: list[DataFrame] = []
+    held: list[DataFrame] = []
 
     def confirm(pairs: DataFrame, candidates: DataFrame) -> DataFrame:
-        if not sets:
-            sets.append(settled(_sets(texts, nodes, candidates, size)))
-        return _confirmed(settled(_likely(pairs, nodes, percent)), sets[0], percent)
+        if not held:
+            held.append(settled(nodes.join(candidates, "id").select("id", "n_shingles", "low")))
+            held.append(settled(_sets(texts, nodes, candidates, size)))
+        brief, sets = held
+        return _confirmed(settled(_likely(pairs, brief, percent)), sets, percent)
 
     reached = joined_by_stars(nodes.select("id", F.explode("bands").alias("bucket")), copies, confirm)
     return (

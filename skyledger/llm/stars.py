@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, functions as F
 from skyledger.llm.components import components
 from skyledger.llm.settle import settled
 
+#: Hubs that a bucket with several components proposes in each round after the first.
+HUBS = 4
+
 
 def joined_by_stars(
     dealt: DataFrame, copies: DataFrame, confirm: Callable[[DataFrame, DataFrame], DataFrame]
@@ -31,17 +34,20 @@ def joined_by_stars(
         placed = shared.join(reached, shared["id"] == reached["node"], "left").select(
             "bucket", "id", F.coalesce("component", "id").alias("component")
         )
-        # the hub: the least id first, then others by a hash of the round
-        order = F.struct((F.xxhash64("id", F.lit(turn)) if turn else F.col("id")).alias("rank"), F.col("id").alias("id"))
+        # the hub: the least id first, then some others by hashes of the round
+        ranks = [F.xxhash64("id", F.lit(turn), F.lit(k)) for k in range(HUBS)] if turn else [F.col("id")]
+        member = lambda rank: F.struct(rank.alias("rank"), F.col("id").alias("hub"), F.col("component").alias("home"))
         hubs = (
             placed.groupBy("bucket")
             .agg(
-                F.min(F.struct(order.alias("o"), F.col("component").alias("c"))).alias("hub"),
+                *(F.min(member(rank)).alias(f"hub{k}") for k, rank in enumerate(ranks)),
                 F.min("component").alias("low"),
                 F.max("component").alias("high"),
             )
             .where("low <> high")
-            .select("bucket", F.col("hub.o.id").alias("hub"), F.col("hub.c").alias("home"))
+            .select("bucket", F.explode(F.array(*(F.struct(f"hub{k}.hub", f"hub{k}.home") for k in range(len(ranks))))).alias("h"))
+            .select("bucket", "h.hub", "h.home")
+            .distinct()
         )
         pairs = (
             placed.join(hubs, "bucket")
