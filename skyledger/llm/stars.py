@@ -45,9 +45,8 @@ def joined_by_stars(
                 F.max("component").alias("high"),
             )
             .where("low <> high")
-            .select("bucket", F.explode(F.array(*(F.struct(f"hub{k}.hub", f"hub{k}.home") for k in range(len(ranks))))).alias("h"))
+            .select("bucket", F.explode(F.array_distinct(F.array(*(F.struct(f"hub{k}.hub", f"hub{k}.home") for k in range(len(ranks)))))).alias("h"))
             .select("bucket", "h.hub", "h.home")
-            .distinct()
         )
         pairs = (
             placed.join(hubs, "bucket")
