@@ -1,4 +1,8 @@
-"""DuckDB SQL for the queries of this package that SQL can express."""
+"""DuckDB SQL for the queries of this package that SQL can express.
+
+Suffix dedup has none: all windows of a table as rows take SQL minutes. The others
+rest on hashes, merges or estimates; tests hold them against brute force.
+"""
 
 ORACLES = {
     "op1_chat_format": r"""
@@ -37,13 +41,13 @@ shingles AS (
 ),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
 common AS (
-    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared
     FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
     GROUP BY ALL
 ),
 links AS (
     SELECT x, y FROM common JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
-    WHERE 100 * both >= 85 * (a.n + b.n - both)
+    WHERE 100 * shared >= 85 * (a.n + b.n - shared)
 ),
 ends AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
 reach AS (
@@ -55,5 +59,27 @@ least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(component_id, d.doc_id) AS component_id,
        coalesce(component_id, d.doc_id) = d.doc_id AS kept
 FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)
+""",
+    "op9_embedding_near_dedup": """
+WITH RECURSIVE
+vectors AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+ends AS (
+    SELECT a.vec_id AS x, b.vec_id AS y FROM vectors a, vectors b
+    WHERE a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95
+),
+reach AS (
+    SELECT DISTINCT x AS vec_id, x AS other FROM ends
+    UNION
+    SELECT reach.vec_id, ends.y FROM reach JOIN ends ON ends.x = reach.other
+),
+least AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id),
+counts AS (SELECT x AS vec_id, count(*) AS n FROM ends GROUP BY x)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(component_id, vec_id) AS component_id,
+       coalesce(component_id, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN counts USING (vec_id) LEFT JOIN least USING (vec_id)
 """,
 }
