@@ -479,7 +479,7 @@ def drop_repeats(docs: DataFrame, limit: int = LIMIT, id_col: str = "doc_id", te
 
     As ``repeats``, but a character that a cut would split stays whole.
     """
-    spans = repeat_spans(docs, limit, id_col, text_col)
+    spans = repeat_spans(docs, limit, id_col, text_col).select(F.col("spans_of").alias("__of"), F.col("spans").alias("__spans"))
 
     def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = None
@@ -497,5 +497,5 @@ def drop_repeats(docs: DataFrame, limit: int = LIMIT, id_col: str = "doc_id", te
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
 
     key = F.coalesce(docs[id_col].cast("long"), F.lit(-(2**63)))
-    joined = docs.join(spans.hint("shuffle_hash"), key == F.col("spans_of"), "left").select(docs["*"], "spans")
+    joined = docs.join(spans.hint("shuffle_hash"), key == F.col("__of"), "left").select(docs["*"], "__spans")
     return joined.mapInArrow(cleaned, docs.schema)
