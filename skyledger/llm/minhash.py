@@ -16,7 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from skyledger.llm.settle import settled
+from skyledger.llm.settle import sent_if_small, settled
 from skyledger.llm.shingles import WordHashes, mixed, shingle_hashes, word_hashes
 from skyledger.llm.stars import joined_by_stars
 
@@ -24,6 +24,8 @@ BINS = 128
 ROWS = 4
 #: Least bins that a linked pair of similarity p shares: BINS * p, less so many standard deviations.
 SLACK = 5
+#: Ids up to which they are sent to all tasks, 3 MB at most; more are joined by a shuffle.
+SENT = 1 << 17
 SIGNED = "id long, n_shingles long, h1 long, h2 long, bands array<long>, low array<byte>"
 
 
@@ -98,7 +100,9 @@ def _setter(size: int):
 
 def _sets(docs: DataFrame, nodes: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     """``id`` and the full set of every asked document."""
-    asked = nodes.join(ids, "id").select(F.col("id").alias("want"), F.col("h1").alias("w1"), F.col("h2").alias("w2"))
+    asked = sent_if_small(
+        nodes.join(ids, "id").select(F.col("id").alias("want"), F.col("h1").alias("w1"), F.col("h2").alias("w2")), SENT
+    )
     return (
         docs.join(asked, docs["id"] == F.col("want"), "left_semi")
         .mapInArrow(_setter(size), "id long, h1 long, h2 long, shingles array<long>")
@@ -125,8 +129,10 @@ def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the similarity."""
-    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
+    ends = sent_if_small(pairs.select(F.explode(F.array("a", "b")).alias("end")).distinct(), SENT)
+    asked = sets.join(ends, sets["id"] == ends["end"], "left_semi")
+    left = asked.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
+    right = asked.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
     return (
         pairs.join(left, "a")

@@ -1,6 +1,6 @@
 """Cutting lineage in the folder that all executors share."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from skyledger.sinks.shared import shared_folder
 
@@ -16,3 +16,9 @@ def settled(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()
+
+
+def sent_if_small(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, settled, and marked for broadcast if it has no more than ``rows`` rows; else joined by a shuffle."""
+    kept = settled(df)
+    return F.broadcast(kept) if kept.limit(rows + 1).count() <= rows else kept
