@@ -33,10 +33,8 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and whether they decode to it."""
-    coded = bpe.encoded(docs.select("doc_id", "lang", "source", "text"))
-    back = bpe.decoded(coded)
-    same = F.col("data") == F.coalesce("text", F.lit("")).cast("binary")
-    return back.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("decodes"))
+    coded = bpe.encoded(docs.select("doc_id", "lang", "source", "text"), check_col="decodes")
+    return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "decodes")
 
 
 STAGES = [

@@ -265,28 +265,33 @@ def encoded(
     pattern: str = public_tokenizers.PATTERN,
     text_col: str = "text",
     ids_col: str = "ids",
+    check_col: str | None = None,
 ) -> DataFrame:
     """``docs`` with ``ids_col``, the token ids of the whole text, after (or instead of) its columns.
 
     ``ranks_path`` is a .tiktoken file on the driver, which sends its ranks with
     the tasks. Null texts have no ids: an empty array. No special tokens.
+    ``check_col``, if named, says whether the ids decode to the text again.
     """
     shared = _spread(docs, ranks_path, pattern)
-    kept = [c for c in docs.columns if c != ids_col]
+    made = [ids_col] if check_col is None else [ids_col, check_col]
+    kept = [c for c in docs.columns if c not in made]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(shared.value)
         for batch in batches:
-            ids = []
+            ids, same = [], []
             for group in rounds(t.as_py() for t in batch.column(batch.num_columns - 1)):
-                ids += codec.encode(group)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(ids, pa.list_(pa.int32()))], [*batch.schema.names[:-1], ids_col]
-            )
+                coded = codec.encode(group)
+                ids += coded
+                if check_col is not None:
+                    same += [a == b.encode("utf-8") for a, b in zip(codec.decode(coded), group)]
+            columns = [pa.array(ids, pa.list_(pa.int32())), pa.array(same, pa.bool_())][: len(made)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], [*batch.schema.names[:-1], *made])
 
     asked = docs.select(*kept, F.col(text_col).alias("__text"))
-    schema = docs.select(*kept).withColumn(ids_col, F.array().cast("array<int>")).schema
-    return asked.mapInArrow(encode, schema)
+    types = dict(zip(made, (F.array().cast("array<int>"), F.lit(True))))
+    return asked.mapInArrow(encode, docs.select(*kept).withColumns(types).schema)
 
 
 def decoded(

@@ -46,6 +46,8 @@ def test_round_trip(spark):
     coded = bpe.encoded(docs)
     assert coded.columns == ["doc_id", "text", "ids"]
     assert bpe.decoded(coded).where("data <> CAST(coalesce(text, '') AS BINARY)").count() == 0
+    checked = bpe.encoded(docs, check_col="decodes")
+    assert checked.columns == ["doc_id", "text", "ids", "decodes"] and checked.where("NOT decodes").count() == 0
     assert bpe.round_trip(docs.limit(0)).count() == 0
 
 
