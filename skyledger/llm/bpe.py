@@ -129,23 +129,23 @@ def contracted_by_heap(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i : ends[i]]] for i in range(len(word)) if alive[i]]
 
 
-class Tables:
-    """What a partition needs, made once on the driver: ranks, merge table, and the class of recent letters."""
+def tables(ranks: dict[bytes, int], pattern: str) -> tuple[dict[bytes, int], str, str, pa.Table]:
+    """What a partition needs, made once on the driver: ranks, pattern, the class of recent letters, merge table.
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks, self.pattern, self.recent = ranks, pattern, recent_letters()
-        self.merges = merge_rows(ranks)
+    Plain values, so that workers can read the broadcast without this package.
+    """
+    return ranks, pattern, recent_letters(), merge_rows(ranks)
 
 
 class Codec:
     """A partition's database, and the words met so far with their ids."""
 
-    def __init__(self, tables: Tables):
-        self.ranks = ranks = tables.ranks
-        self.splitter = Splitter(tables.pattern, tables.recent)
+    def __init__(self, ranks: dict[bytes, int], pattern: str, recent: str, merges: pa.Table):
+        self.ranks = ranks
+        self.splitter = Splitter(pattern, recent)
         self.by_byte = np.array([ranks.get(bytes([i]), -1) for i in range(256)], np.int32)
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "500MB"})
-        self._fill("merges", tables.merges)
+        self._fill("merges", merges)
         self._fill(
             "vocabulary",
             pa.table({"token": pa.array(ranks.values(), pa.int32()), "hex": pa.array([t.hex() for t in ranks], pa.string())}),
@@ -256,7 +256,7 @@ def rounds(texts: Iterator[str | None]) -> Iterator[list[str]]:
 
 def _spread(docs: DataFrame, ranks_path: str | None, pattern: str):
     ranks = read_ranks(ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    return docs.sparkSession.sparkContext.broadcast(Tables(ranks, pattern))
+    return docs.sparkSession.sparkContext.broadcast(tables(ranks, pattern))
 
 
 def encoded(
@@ -278,7 +278,7 @@ def encoded(
     kept = [c for c in docs.columns if c not in made]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(shared.value)
+        codec = Codec(*shared.value)
         for batch in batches:
             ids, same = [], []
             for group in rounds(t.as_py() for t in batch.column(batch.num_columns - 1)):
@@ -306,7 +306,7 @@ def decoded(
     kept = [c for c in coded.columns if c != data_col]
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(shared.value)
+        codec = Codec(*shared.value)
         for batch in batches:
             ids = [np.array(i.as_py() or [], np.int32) for i in batch.column(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays(
@@ -335,7 +335,7 @@ def round_trip(
     shared = _spread(docs, ranks_path, pattern)
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(shared.value)
+        codec = Codec(*shared.value)
         names = [str(i) for i in range(max(codec.ranks.values()) + 1)]
         for batch in batches:
             n, coded, plain = [], [], []
