@@ -123,12 +123,12 @@ def table_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
     listed = files.agg(F.count("length").alias("listed"), F.sum("length").alias("bytes"))
     rows = stored.agg(F.count(F.lit(1)).alias("record_count"))
-    one = F.lit(1).alias("one")
-    return (
-        data_size(stored).withColumn("one", one)
-        .join(listed.withColumn("one", one), "one")
-        .join(rows.withColumn("one", one), "one")
-        .select("record_count", (F.col("size_bytes") == F.col("bytes")).alias("sizes_agree"), (F.col("files") == F.col("listed")).alias("files_agree"))
+    parts = (data_size(stored).drop("table_size"), listed, rows)
+    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return together.agg(*(F.max(name).alias(name) for name in together.columns)).select(
+        "record_count",
+        (F.col("size_bytes") == F.col("bytes")).alias("sizes_agree"),
+        (F.col("files") == F.col("listed")).alias("files_agree"),
     )
 
 

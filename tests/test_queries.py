@@ -49,7 +49,7 @@ def test_every_query_has_sql_but_the_ones_sql_cannot_say():
 
 def test_flagship(spark):
     row = spark_entry.entry(spark).first()
-    assert row.record_count == spark.read.parquet(str(SF_DIR / "lineitem.parquet")).count()
+    assert row.record_count == spark.read.parquet(str(SF_DIR / "events.parquet")).count()
 
 
 def test_no_query_uses_python_workers(spark):
