@@ -22,7 +22,9 @@ from skyledger.llm.pretokens import Splitter, recent_letters
 #: Bytes of text that one round of queries takes.
 _ROUND_BYTES = 1 << 21
 #: Words kept in a partition's database.
-_KEPT = 1 << 19
+_KEPT = 1 << 18
+#: Words that one recursive query takes; its steps hold some 50 rows a word.
+_FRESH = 1 << 14
 #: Longer words take one merge a round for too many rounds; a heap finds the same merges.
 _LONG = 96
 
@@ -144,7 +146,7 @@ class Codec:
         self.ranks = ranks
         self.splitter = Splitter(pattern, recent)
         self.by_byte = np.array([ranks.get(bytes([i]), -1) for i in range(256)], np.int32)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "500MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB"})
         self._fill("merges", merges)
         self._fill(
             "vocabulary",
@@ -218,8 +220,8 @@ class Codec:
                 known[piece] = len(known)
                 fresh.append(piece)
             uses.append(np.fromiter(map(known.__getitem__, pieces), np.int32, len(pieces)))
-        if fresh:
-            self._learn(fresh)
+        for at in range(0, len(fresh), _FRESH):
+            self._learn(fresh[at : at + _FRESH])
         return [self.ids.take(pa.array(use)).flatten().to_numpy() for use in uses]
 
     def decode(self, ids: list[np.ndarray]) -> list[bytes]:
