@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from skyledger.llm.settle import settled
 from skyledger.llm.shingles import mixed
-from skyledger.llm.stars import joined_by_stars
+from skyledger.llm.stars import across, joined_by_stars
 
 #: A pair of cosine 0.95 shares a cell of one table in about a third of cases, of 24 tables in all but 1 of 10,000.
 TABLES = 24
@@ -169,8 +169,15 @@ def near_duplicate_vectors(
         same = F.size("unit_a") == F.size("unit_b")
         return pairs.join(side("a"), "a").join(side("b"), "b").where(same & (dot >= cosine)).select("a", "b")
 
+    def near(table: pa.Table, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        units = np.stack(table["unit"].to_numpy())
+        return units[left] @ units[right].T >= cosine
+
+    def rest(crowds: DataFrame) -> DataFrame:
+        return across(crowds, nodes.select("id", "unit"), near)
+
     dealt = nodes.select("id", F.explode(F.array_distinct("cells")).alias("bucket"))
-    reached = settled(joined_by_stars(dealt, copies, confirm))
+    reached = settled(joined_by_stars(dealt, copies, confirm, rest))
 
     # all links lie inside components; blocks of a component meet pair by pair
     members = nodes.join(reached, nodes["id"] == reached["node"]).select("component", "id", "copies", "unit")

@@ -6,7 +6,9 @@ densification. Bands of bins are bucket keys, and each bucket proposes a star:
 one document, the hub, against the others, so pairs grow with the rows of
 buckets and not with the squares of their sizes. Stars are confirmed on the full
 sets. A bucket that still holds several components proposes more stars around
-other hubs, round after round, until a round joins nothing.
+other hubs, round after round, until a round joins nothing. Members of buckets
+that hold several components even then are compared by a prefix filter, which
+misses no link: linked sets share one of their rarest shingles.
 """
 
 from collections.abc import Iterator
@@ -18,12 +20,16 @@ from pyspark.sql import DataFrame, functions as F
 
 from skyledger.llm.settle import sent_if_small, settled
 from skyledger.llm.shingles import WordHashes, mixed, shingle_hashes, word_hashes
-from skyledger.llm.stars import joined_by_stars
+from skyledger.llm.stars import across, joined_by_stars
 
 BINS = 128
 ROWS = 4
 #: Least bins that a linked pair of similarity p shares: BINS * p, less so many standard deviations.
 SLACK = 5
+#: Slots in which shingles are counted, to put rare ones first. Any order misses no link, so slots may be shared.
+SLOTS = 1 << 18
+#: Shingles looked at together where blocks of sets meet.
+COLUMNS = 4096
 #: Ids up to which they are sent to all tasks, 3 MB at most; more are joined by a shuffle.
 SENT = 1 << 17
 SIGNED = "id long, n_shingles long, h1 long, h2 long, bands array<long>, low array<byte>"
@@ -127,6 +133,54 @@ def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _prefixes(sets: DataFrame, homes: DataFrame, percent: int) -> DataFrame:
+    """Rows (bucket, id, component): the rarest shingles of each set, as many as linked sets must share one of."""
+    asked = settled(sets.join(homes, "id").select("id", "component", "shingles"))
+    slot = F.col("shingle").bitwiseAND(F.lit(SLOTS - 1)).cast("int")
+    counted = asked.select(F.explode("shingles").alias("shingle")).groupBy(slot.alias("slot")).agg(F.count("*").alias("n"))
+    found = counted.toArrow()  # SLOTS rows at most
+    counts = np.zeros(SLOTS, np.int64)
+    counts[found["slot"].to_numpy()] = found["n"].to_numpy()
+    shared = sets.sparkSession.sparkContext.broadcast(counts)
+
+    def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = shared.value
+        for batch in batches:
+            for i, home, value in zip(batch.column(0), batch.column(1), batch.column(2)):
+                shingles = value.values.to_numpy()
+                n = len(shingles) + -len(shingles) * percent // 100 + 1
+                rarest = shingles[np.lexsort((shingles, counts[shingles & (SLOTS - 1)]))[:n]]
+                same = lambda x: pa.array(np.full(n, x.as_py(), np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(rarest), same(i), same(home)], ["bucket", "id", "component"])
+
+    return asked.mapInArrow(prefix, "bucket long, id long, component long")
+
+
+def _alike(percent: int):
+    """Which rows of a table with ``shingles`` reach the similarity, for two lists of rows."""
+
+    def near(table: pa.Table, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        sets = table["shingles"].to_numpy()
+        held = [sets[i] for i in (*left, *right)]
+        n = np.array([len(s) for s in held])
+        name, times = np.unique(np.concatenate(held), return_inverse=True, return_counts=True)[1:]
+        # shingles of one set alone are in no intersection; the others become columns, some at a time
+        column = np.where(times > 1, np.cumsum(times > 1) - 1, -1)[name]
+        row = np.repeat(np.arange(len(held)), n)[column >= 0]
+        column = column[column >= 0]
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        both = np.zeros((len(left), len(right)), np.int64)
+        for at in range(0, int((times > 1).sum()), COLUMNS):
+            some = slice(*np.searchsorted(column, (at, at + COLUMNS)))
+            has = np.zeros((len(held), COLUMNS), np.float32)
+            has[row[some], column[some] - at] = 1
+            both += (has[: len(left)] @ has[len(left) :].T).astype(np.int64)
+        return (both > 0) & (both * 100 >= percent * (n[: len(left)][:, None] + n[len(left) :] - both))
+
+    return near
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the similarity."""
     ends = sent_if_small(pairs.select(F.explode(F.array("a", "b")).alias("end")).distinct(), SENT)
@@ -184,7 +238,12 @@ def near_duplicates(
         brief, sets = held
         return _confirmed(settled(_likely(pairs, brief, percent)), sets, percent)
 
-    reached = joined_by_stars(nodes.select("id", F.explode("bands").alias("bucket")), copies, confirm)
+    def rest(crowds: DataFrame) -> DataFrame:
+        sets = held[1]
+        keyed = settled(_prefixes(sets, settled(crowds.select("id", "component").distinct()), percent))
+        return across(keyed, sets, _alike(percent), merged=True)
+
+    reached = joined_by_stars(nodes.select("id", F.explode("bands").alias("bucket")), copies, confirm, rest)
     return (
         signed.select("id", "n_shingles")
         .join(reached, signed["id"] == reached["node"], "left")

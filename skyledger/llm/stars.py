@@ -2,6 +2,8 @@
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from skyledger.llm.components import components
@@ -9,10 +11,78 @@ from skyledger.llm.settle import settled
 
 #: Hubs that a bucket with several components proposes in each round after the first.
 HUBS = 4
+#: Members up to which the pairs of a crowd are listed; larger crowds meet block against block.
+FEW = 16
+#: Members of a large crowd compared at once with as many others.
+BLOCK = 256
+
+
+def _meeting(near: Callable[[pa.Table, np.ndarray, np.ndarray], np.ndarray]):
+    def meet(key: tuple, table: pa.Table) -> pa.Table:
+        """Links to other components between two blocks of a crowd, or inside one; one joins two components as well as all."""
+        low, high = key[1].as_py(), key[2].as_py()
+        ids, home, block = (table[c].to_numpy() for c in ("id", "component", "block"))
+        right = np.flatnonzero(block == high)
+        rows = np.flatnonzero(block == low)
+        found = [np.empty((2, 0), np.int64)]
+        for at in range(0, len(rows), BLOCK):
+            part = rows[at : at + BLOCK]
+            fits = near(table, part, right) & (home[part][:, None] != home[right])
+            i, j = np.nonzero(fits)
+            pair = np.stack((part[i], right[j]))
+            found.append(ids[pair[:, np.unique(np.sort(home[pair], axis=0), axis=1, return_index=True)[1]]])
+        a, b = np.sort(np.concatenate(found, axis=1), axis=0)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return meet
+
+
+def across(
+    crowds: DataFrame, seen: DataFrame, near: Callable[[pa.Table, np.ndarray, np.ndarray], np.ndarray], merged: bool = False
+) -> DataFrame:
+    """Pairs (a, b) of different components that share a crowd, from rows (bucket, id, component).
+
+    Pairs of small crowds are listed, FEW / 2 for each row at most. Large ones
+    meet block against block and give links, one for each two components of two
+    blocks: ``near(table, left, right)`` tells them, a matrix over rows of a
+    table with the columns of ``seen`` (id, ...). Where ``merged``, large crowds
+    that share members are one, so that no two members meet twice.
+    """
+    sizes = (
+        crowds.groupBy(F.col("bucket").alias("of"))
+        .agg(F.count("*").alias("members"), F.min("component").alias("least"), F.max("component").alias("most"))
+        .where("least <> most")
+        .select("of", "members")
+    )
+    held = settled(crowds.join(sizes, crowds["bucket"] == sizes["of"]).drop("of"))
+    few = held.where(f"members <= {FEW}")
+    left, right = (few.select("bucket", F.col("id").alias(x), F.col("component").alias(f"of_{x}")) for x in "ab")
+    listed = left.join(right, "bucket").where("a < b AND of_a <> of_b").select("a", "b")
+    many = held.where(f"members > {FEW}")
+    if merged:
+        hubs = many.groupBy(F.col("bucket").alias("of")).agg(F.min("id").alias("hub"))
+        one = components(many.join(hubs, many["bucket"] == hubs["of"]).select("id", "hub"), "id", "hub")
+        one = settled(one.select("node", F.col("component").alias("bucket")))
+        crowd = one.groupBy(F.col("bucket").alias("of")).agg(F.count("*").alias("members"))
+        named = many.select("id", "component").distinct().join(one, F.col("id") == F.col("node")).drop("node")
+        many = named.join(crowd, named["bucket"] == crowd["of"]).drop("of")
+    met = (
+        many.join(seen, "id")
+        .withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
+        .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+        .groupBy("bucket", "low", "high")
+        .applyInArrow(_meeting(near), "a long, b long")
+    )
+    return listed.union(met).distinct()
 
 
 def joined_by_stars(
-    dealt: DataFrame, copies: DataFrame, confirm: Callable[[DataFrame, DataFrame], DataFrame]
+    dealt: DataFrame,
+    copies: DataFrame,
+    confirm: Callable[[DataFrame, DataFrame], DataFrame],
+    rest: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
     """``node`` and ``component`` of everything that has a link, from rows (id, bucket).
 
@@ -21,8 +91,11 @@ def joined_by_stars(
     of their sizes. ``confirm(pairs, candidates)`` returns the pairs (a, b) that
     are links; ``candidates`` holds the ids of all members of shared buckets and
     stays the same. Buckets that still hold several components propose other
-    hubs, round after round, until a round joins nothing. ``copies`` are links
-    (a, b) known before.
+    hubs, round after round, until a round joins nothing. What is left then,
+    rows (bucket, id, component) of buckets of more than two members in several
+    components, goes to ``rest``, which returns pairs (a, b) that hold all links
+    across these components that share a bucket. ``copies`` are links (a, b)
+    known before.
     """
     crowds = dealt.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1").select("bucket")
     shared = settled(dealt.join(crowds, "bucket"))
@@ -58,9 +131,25 @@ def joined_by_stars(
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = settled(pairs)
         found = settled(confirm(pairs, candidates))
-        if found.isEmpty():
-            return reached
         tested = pairs if tested is None else tested.union(pairs)
+        done = found.isEmpty()
+        if done:
+            # a star tests all pairs of a bucket of two
+            spread = (
+                placed.groupBy(F.col("bucket").alias("of"))
+                .agg(F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high"))
+                .where("low <> high AND members > 2")
+                .select("of")
+            )
+            left = settled(placed.join(spread, placed["bucket"] == spread["of"]).drop("of"))
+            if left.isEmpty():
+                return reached
+            pairs = settled(rest(left).join(tested, ["a", "b"], "left_anti"))
+            found = settled(confirm(pairs, candidates))
+            if found.isEmpty():
+                return reached
         known = reached.select(F.col("node").alias("a"), F.col("component").alias("b"))
         reached = settled(components(known.union(found), "a", "b"))
+        if done:
+            return reached
         turn += 1

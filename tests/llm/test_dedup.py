@@ -127,3 +127,31 @@ def test_nearest_lattice_points():
     own = ((x - points) ** 2).sum(1)
     for root in lattice._roots():
         assert (((x - points - root) ** 2).sum(1) >= own - 1e-9).all()
+
+
+def test_true_pairs_hidden_in_a_crowd_below_the_threshold(spark):
+    """Thousands of texts that share buckets and hardly ever link; a few true pairs among them are still found."""
+    rng = random.Random(11)
+    template = [f"t{i}" for i in range(300)]
+    places = [rng.sample(range(1, 299, 3), 7) for _ in range(2000)]
+    pairs = [(200 + 71 * k, 1990 - 13 * k) for k in range(6)]
+    for a, b in pairs:  # both differ from the template at the same places, but from each other too
+        places[b] = places[a]
+    rows = [(i, [f"u{i}" if k in at else w for k, w in enumerate(template)]) for i, at in enumerate(places)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    sets = word_sets([(i, " ".join(w)) for i, w in rows[::40]], 3)
+    assert not any(alike(sets[a], sets[b], 85) for a in sets for b in sets if a < b)
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs, 3, 85).collect()}
+    assert {i: c for i, c in got.items() if i != c} == {max(p): min(p) for p in pairs}
+
+
+def test_linked_vectors_hidden_in_crowded_cells(spark):
+    rng = np.random.default_rng(8)
+    centre = rng.normal(size=32)
+    crowd = centre + rng.normal(size=(1500, 32)) * 0.29
+    unit = crowd / np.linalg.norm(crowd, axis=1, keepdims=True)
+    close = unit @ unit.T >= 0.95
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(crowd)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.component_id for r in lattice.near_duplicate_vectors(df).collect()}
+    root = joined(range(len(crowd)), lambda a, b: close[a, b])
+    assert got == root
