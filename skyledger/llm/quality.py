@@ -18,7 +18,7 @@ STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with the columns STATS, and ``base_failed``; a null text is empty. Equal names are replaced."""
+    """``docs`` with the columns STATS, ``base_failed``; a null text is empty. Equal names are replaced."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda line: line.rlike(WORD))
     words = F.col("__words")
@@ -61,11 +61,10 @@ def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 #: Noise of each coordinate that is never held against a text, as a standard deviation.
 FLOORS = (0.08, 0.3, 0.2, 0.2)
-#: Share of a group's rows that the estimate concentrates on, and what corrects its scale for four coordinates.
-SHARE, CONSISTENCY = 0.75, 1.486
 #: Squared distance that one of a million normal vectors of four coordinates exceeds.
 CUTOFF = 33.4
-STEPS = 3
+#: Fall of the logarithm of the determinant below which a step changes nothing.
+FALL = 1e-3
 #: Rows below which a language and source are judged with the other small ones of the language, and these kept unjudged.
 LEAST_ROWS = 50
 #: Groups up to which their estimates are sent to all tasks; some 300 bytes each.
@@ -94,20 +93,30 @@ def _sent(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(SENT_GROUPS + 1).count() <= SENT_GROUPS else df
 
 
-def _with_factor(moments: DataFrame, scale: float) -> DataFrame:
-    """Centre and Cholesky factor of covariance plus noise floor, from exact sums; lengths in units of 1."""
-    n = F.col("n").cast("double")
-    mean = {i: F.col(f"s{i}").cast("double") / n for i in range(_P)}
+def _consistency(share: Column) -> Column:
+    """What makes the covariance of the nearest ``share`` of normal rows that of all of them, for four coordinates."""
+    most = F.least(share, F.lit(1 - 1e-9))
+    # half the squared distance within which the share lies, by Newton's steps
+    step = lambda x, _: F.least(F.lit(40.0), x - (1 - F.exp(-x) * (1 + x) - most) / (x * F.exp(-x)))
+    within = lambda x: share / (1 - F.exp(-x) * (1 + x + x * x / 2))
+    return F.when(share >= 1, F.lit(1.0)).otherwise(F.aggregate(F.sequence(F.lit(1), F.lit(6)), F.lit(1.7), step, within))
+
+
+def _with_factor(moments: DataFrame) -> DataFrame:
+    """Centre and Cholesky factor of covariance plus noise floor, and ``__det``, the logarithm of its root determinant."""
+    n = F.col("n")
+    mean = {i: F.col(f"s{i}") / n for i in range(_P)}
     out = moments.withColumns({_C[i]: mean[i] for i in range(_P)})
     for i in range(_P):
         for j in range(i + 1):
-            value = (F.col(f"s{i}{j}").cast("double") / n - F.col(_C[i]) * F.col(_C[j])) * scale / _UNIT**2
+            value = (F.col(f"s{i}{j}") / n - F.col(_C[i]) * F.col(_C[j])) * F.col("__scale") / _UNIT**2
             if i == j:
                 value = F.greatest(value, F.lit(0.0)) + FLOORS[i] ** 2
             value = reduce(lambda v, k: v - F.col(_L[i, k]) * F.col(_L[j, k]), range(j), value)  # noqa: B023
             value = F.sqrt(F.greatest(value, F.lit(1e-12))) if i == j else value / F.col(_L[j, j])
             out = out.withColumn(_L[i, j], value)
-    return settled(out.select("__group", *_C, *_L.values()))
+    det = reduce(lambda a, b: a + b, (F.log(_L[i, i]) for i in range(_P)))
+    return settled(out.select("__group", *_C, *_L.values(), det.alias("__det")))
 
 
 def _with_distance(rows: DataFrame) -> DataFrame:
@@ -120,12 +129,15 @@ def _with_distance(rows: DataFrame) -> DataFrame:
 
 
 def _moments(rows: DataFrame) -> DataFrame:
+    """Sums over the inner rows and, by the part of it that counts, the last bin; exact until the two are put together."""
     exact = lambda c: F.sum(c.cast("decimal(38,0)"))
-    return rows.groupBy("__group").agg(
-        F.count("*").alias("n"),
-        *(exact(F.col(_Y[i])).alias(f"s{i}") for i in range(_P)),
-        *(exact(F.col(_Y[i]) * F.col(_Y[j])).alias(f"s{i}{j}") for i, j in _L),
-    )
+    sums = {"n": F.lit(1)} | {f"s{i}": F.col(_Y[i]) for i in range(_P)} | {f"s{i}{j}": F.col(_Y[i]) * F.col(_Y[j]) for i, j in _L}
+    inner = F.col("__bin") < F.col("__last")
+    whole = {f"{k}_in": exact(F.when(inner, v).otherwise(0)) for k, v in sums.items()}
+    edge = {f"{k}_at": exact(F.when(inner, 0).otherwise(v)) for k, v in sums.items()}
+    both = lambda k: (F.col(f"{k}_in").cast("double") + F.col(f"{k}_at").cast("double") * F.col("__part")).alias(k)
+    summed = rows.groupBy("__group", "__part", "__scale").agg(*(c.alias(k) for k, c in (whole | edge).items()))
+    return settled(summed).select("__group", "__scale", *(both(k) for k in sums))
 
 
 def _medians(rows: DataFrame) -> DataFrame:
@@ -136,41 +148,52 @@ def _medians(rows: DataFrame) -> DataFrame:
     middle = counted.groupBy("__group", "i").agg(F.expr("percentile(v, 0.5, n)").alias("m"))
     start = middle.groupBy("__group").agg(*(F.max(F.when(F.col("i") == i, F.col("m") * step)).alias(_C[i]) for i in range(_P)))
     scale = {name: F.lit(FLOORS[i] if i == j else 0.0) for (i, j), name in _L.items()}
-    return settled(start.withColumns(scale))
+    return settled(start.withColumns(scale).withColumn("__det", F.lit(float("inf"))))
 
 
 def estimates(rows: DataFrame) -> DataFrame:
     """Centre and factor of every ``__group`` of rows with the vector: the minimum-covariance-determinant estimate.
 
-    Each step keeps the SHARE of a group's rows that lie nearest in the metric
-    so far, by a histogram of distances, and takes their mean and covariance;
-    the determinant falls with every step. All sums are partial sums of whole
+    Each step takes mean and covariance of the (n + p + 1) / 2 rows of a group
+    that lie nearest in the metric so far, by a histogram of distances whose
+    last bin counts by the part of it that is wanted, so that tied rows are not
+    taken whole. Steps go on until the determinant of no group falls; the
+    estimate of the least one is kept. All sums are partial sums of whole
     numbers, so the result does not depend on how rows are dealt.
     """
-    now = _medians(rows)
-    for step in range(STEPS):
+    best = now = _medians(rows)
+    while True:
         placed = _with_distance(rows.join(_sent(now), "__group")).withColumn("__bin", F.floor(F.log1p("__d") * 64))
         bins = placed.groupBy("__group", "__bin").agg(F.count("*").alias("k"))
+        want = F.least(F.col("all").cast("double"), (F.col("all") + _P + 1) / 2)
         # the bins of a group are few: the logarithm bounds them
         nearest = (
             bins.groupBy("__group")
             .agg(F.sort_array(F.collect_list(F.struct("__bin", "k"))).alias("h"), F.sum("k").alias("all"))
             .select(
                 "__group",
+                _consistency(want / F.col("all")).alias("__scale"),
                 F.aggregate(
                     "h",
-                    F.struct(F.lit(0).cast("long").alias("sum"), F.lit(None).cast("long").alias("bin")),
+                    F.struct(F.lit(0).cast("long").alias("sum"), F.lit(None).cast("long").alias("bin"), F.lit(0.0).alias("part")),
                     lambda a, b: F.struct(
                         (a["sum"] + b["k"]).alias("sum"),
-                        F.when(a["sum"] < F.col("all") * SHARE, b["__bin"]).otherwise(a["bin"]).alias("bin"),
+                        F.when(a["sum"] < want, b["__bin"]).otherwise(a["bin"]).alias("bin"),
+                        F.when(a["sum"] < want, F.least(F.lit(1.0), (want - a["sum"]) / b["k"])).otherwise(a["part"]).alias("part"),
                     ),
-                    lambda a: a["bin"],
-                ).alias("__last"),
+                ).alias("__edge"),
             )
+            .select("__group", "__scale", F.col("__edge.bin").alias("__last"), F.col("__edge.part").alias("__part"))
         )
         inner = placed.join(_sent(settled(nearest)), "__group").where("__bin <= __last")
-        now = _with_factor(_moments(inner), CONSISTENCY if step == STEPS - 1 else 1.0)
-    return now
+        stepped = _with_factor(_moments(inner))
+        before = best.select(F.col("__group").alias("__of"), F.col("__det").alias("__was"))
+        now = settled(
+            stepped.join(before, F.col("__group") == F.col("__of")).where(F.col("__det") < F.col("__was") - FALL).drop("__of", "__was")
+        )
+        if now.isEmpty():
+            return best
+        best = settled(best.join(now, "__group", "left_anti").unionByName(now))
 
 
 def _measured(docs: DataFrame, lang_col: str, source_col: str, text_col: str) -> DataFrame:

@@ -130,6 +130,33 @@ def test_outliers_go_and_clean_documents_stay(spark):
     assert {r.doc_id for r in quality.passing(docs).collect()} == {i for i, k in got.items() if k}
 
 
+def _prose(seed):
+    rng = random.Random(seed)
+    words = [a + b + c for a in ("ri", "sto", "wa", "mo") for b in ("ver", "ne", "lk") for c in ("", "s", "ing", "ed", "er")]
+    return rng, lambda n: " ".join(rng.choices(words, k=n))
+
+
+def _kept(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, source string, text string")
+    judged = quality.judged(docs).collect()
+    assert not any(r.base_failed for r in judged)
+    return {r.doc_id: r.kept for r in judged}
+
+
+def test_junk_of_a_third_and_more(spark):
+    """30 and 45 % of a group, as copies of one text and varied, is rejected; all clean texts stay."""
+    rng, text = _prose(6)
+    junk = lambda n: " ".join(w + "%%%" * rng.randint(1, 2) for w in text(n).split())
+    one = junk(200)
+    rows = []
+    for g, (share, copies) in enumerate([(0.3, True), (0.3, False), (0.45, True), (0.45, False)]):
+        bad = int(400 * share)
+        rows += [(g * 1000 + i, "en", f"s{g}", text(rng.randint(100, 600))) for i in range(400 - bad)]
+        rows += [(g * 1000 + 500 + i, "en", f"s{g}", one if copies else junk(rng.randint(100, 300))) for i in range(bad)]
+    got = _kept(spark, rows)
+    assert all(k == (i % 1000 < 500) for i, k in got.items())
+
+
 def test_odd_documents_in_the_rules(spark):
     docs = odd_documents(spark)
     assert quality.judged(docs).count() == docs.count()
