@@ -14,11 +14,12 @@ from skyledger.llm.settle import settled
 
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]+"
+LINES = "__n_lines"
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with the columns STATS, ``base_failed``; a null text is empty. Equal names are replaced."""
+    """``docs`` with the columns STATS, LINES (lines with words), and ``base_failed``; a null text is empty. Equal names are replaced."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda line: line.rlike(WORD))
     words = F.col("__words")
@@ -51,6 +52,7 @@ def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 "word_chars": F.length(F.array_join("__words", "")).cast("long"),
                 "n_symbols": (F.length(text) - F.length(F.regexp_replace(text, SYMBOLS, ""))).cast("long"),
                 "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
+                LINES: F.size(lines).cast("long"),
                 "n_repeat_words": F.aggregate(covered, F.lit(0), lambda a, n: a + n).cast("long"),
             }
         )
@@ -59,8 +61,9 @@ def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     )
 
 
-#: Noise of each coordinate that is never held against a text, as a standard deviation.
-FLOORS = (0.08, 0.3, 0.2, 0.2)
+#: Noise of each coordinate that is never held against a text, as a standard deviation. The last two lie in 0 to 1, as roots
+#: of shares: a quarter is at 0.5, and beyond the cut-off by itself where a group has none.
+FLOORS = (0.08, 0.3, 0.08, 0.08)
 #: Squared distance that one of a million normal vectors of four coordinates exceeds.
 CUTOFF = 33.4
 #: Fall of the logarithm of the determinant below which a step changes nothing.
@@ -82,7 +85,7 @@ def _vector() -> dict[str, Column]:
     shown = (
         F.log(F.greatest(per_word("word_chars"), F.lit(1e-3))),
         F.log1p(100 * F.col("n_symbols") / F.greatest(F.col("word_chars"), F.lit(1))),
-        F.sqrt(F.least(F.lit(1.0), 20 * per_word("n_dup_lines"))),
+        F.sqrt(F.col("n_dup_lines") / F.greatest(F.col(LINES), F.lit(1))),
         F.sqrt(per_word("n_repeat_words")),
     )
     return {y: F.round(v * _UNIT).cast("long") for y, v in zip(_Y, shown)}

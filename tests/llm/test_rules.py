@@ -157,6 +157,18 @@ def test_junk_of_a_third_and_more(spark):
     assert all(k == (i % 1000 < 500) for i, k in got.items())
 
 
+@pytest.mark.parametrize("width", [10, 20])
+def test_repeated_lines_alone(spark, width):
+    rng, text = _prose(7)
+    lines = lambda n: [text(width) for _ in range(n)]
+    rows = [(i, "en", "a", "\n".join(lines(rng.randint(12, 40)))) for i in range(200)]
+    for i in range(5):
+        some = lines(18)
+        rows.append((900 + i, "en", "a", "\n".join(some + some[:1] * 6)))
+    got = _kept(spark, rows)
+    assert all(k == (i < 900) for i, k in got.items())
+
+
 def test_odd_documents_in_the_rules(spark):
     docs = odd_documents(spark)
     assert quality.judged(docs).count() == docs.count()
