@@ -68,7 +68,7 @@ FLOORS = (0.08, 0.3, 0.08, 0.08)
 CUTOFF = 33.4
 #: Fall of the logarithm of the determinant below which a step changes nothing.
 FALL = 1e-3
-#: Rows below which a language and source are judged with the other small ones of the language, and these kept unjudged.
+#: Rows below which a language and source are judged by the whole language, and a language by the whole corpus.
 LEAST_ROWS = 50
 #: Groups up to which their estimates are sent to all tasks; some 300 bytes each.
 SENT_GROUPS = 10_000
@@ -211,15 +211,23 @@ def _measured(docs: DataFrame, lang_col: str, source_col: str, text_col: str) ->
 
 def _judged(measured: DataFrame, fitted: DataFrame) -> DataFrame:
     """``measured`` with ``kept``, by estimates from the rows of ``fitted``."""
-    sizes = fitted.groupBy("__own").agg(F.count("*").alias("__rows"))
-    big = settled(sizes.where(f"__rows >= {LEAST_ROWS}").select(F.col("__own").alias("__big")))
-    grouped = lambda df: df.join(_sent(big), df["__own"] == F.col("__big"), "left").withColumn(
-        "__group", F.coalesce("__big", "__pool")
+    sizes = settled(fitted.groupBy("__own", "__pool").agg(F.count("*").alias("n")))
+    pools = settled(sizes.groupBy("__pool").agg(F.sum("n").alias("total"), F.min("n").alias("least")).withColumnRenamed("__pool", "of"))
+    own, pool = F.col("n") >= LEAST_ROWS, F.col("total") >= LEAST_ROWS
+    everyone = F.lit("*" if not pools.where(~pool).isEmpty() else None)
+    levels = settled(
+        sizes.join(pools, sizes["__pool"] == pools["of"]).select(
+            F.col("__own").alias("__named"),
+            F.when(own, F.col("__own")).when(pool, F.col("__pool")).otherwise(F.lit("*")).alias("__group"),
+            # the estimates that its rows count in
+            F.array_compact(
+                F.array(F.when(own, F.col("__own")), F.when(pool & (F.col("least") < LEAST_ROWS), F.col("__pool")), everyone)
+            ).alias("__groups"),
+        )
     )
-    rows = settled(grouped(fitted).select("__group", *_Y))
-    enough = settled(rows.groupBy("__group").agg(F.count("*").alias("n")).where(f"n >= {LEAST_ROWS}").select("__group"))
-    found = estimates(rows.join(_sent(enough), "__group", "left_semi"))
-    placed = _with_distance(grouped(measured).join(_sent(found), "__group", "left"))
+    named = lambda df: df.join(_sent(levels), df["__own"] == F.col("__named"), "left")
+    rows = settled(named(fitted).select(F.explode("__groups").alias("__group"), *_Y))
+    placed = _with_distance(named(measured).join(_sent(estimates(rows)), "__group", "left"))
     far = F.coalesce(F.col("__d") > CUTOFF, F.lit(False))
     return placed.withColumn("kept", F.when(F.col("base_failed"), F.lit(False)).otherwise(~far))
 
@@ -232,7 +240,7 @@ def judged(
     Rows that fail the base rules (under 50 words, or more than half of them in
     repeated three-word windows) are rejected and do not count in estimates.
     Null languages and sources are values of their own. Groups under LEAST_ROWS
-    rows are judged together by language, and kept where these are too few.
+    rows are judged by all rows of their language, and by the whole corpus where these are too few.
     Null texts are empty and fail. Ids may be null or repeat. An empty table
     gives no rows.
     """

@@ -169,6 +169,18 @@ def test_repeated_lines_alone(spark, width):
     assert all(k == (i < 900) for i, k in got.items())
 
 
+def test_small_groups_are_judged(spark):
+    """By their language, and by the corpus where it has too few rows."""
+    rng, text = _prose(8)
+    clean = lambda: text(rng.randint(100, 500))
+    junk = lambda: " ".join(w + "%%%" for w in text(150).split())
+    rows = [(i, "en", "big", clean()) for i in range(200)]
+    for at, lang, source in ((1000, "en", "small"), (2000, "fr", "small")):
+        rows += [(at + i, lang, source, clean()) for i in range(15)] + [(at + 500 + i, lang, source, junk()) for i in range(15)]
+    got = _kept(spark, rows)
+    assert all(k == (i % 1000 < 500) for i, k in got.items())
+
+
 def test_odd_documents_in_the_rules(spark):
     docs = odd_documents(spark)
     assert quality.judged(docs).count() == docs.count()
