@@ -81,5 +81,11 @@ counts AS (SELECT x AS vec_id, count(*) AS n FROM ends GROUP BY x)
 SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(component_id, vec_id) AS component_id,
        coalesce(component_id, vec_id) = vec_id AS kept
 FROM embeddings LEFT JOIN counts USING (vec_id) LEFT JOIN least USING (vec_id)
+""",
+    "op13_exact_dedup": r"""
+SELECT doc_id, min(doc_id) OVER equal AS keep_id, count(*) OVER equal AS group_size,
+       row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
+FROM (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+WINDOW equal AS (PARTITION BY t)
 """,
 }

@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.llm import bpe, chat, lattice, minhash, mixing, packing, quality, suffix, tokencount, toxicity
+from skyledger.llm import bpe, chat, lattice, minhash, mixing, packing, quality, recipes, suffix, tokencount, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -58,6 +58,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.repeats(_read(spark, sf_dir, "documents"))
 
 
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recipes.exact_duplicates(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -69,4 +73,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packed_tokens": op8_packed_tokens,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op13_exact_dedup": op13_exact_dedup,
 }
