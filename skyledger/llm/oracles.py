@@ -4,6 +4,24 @@ Suffix dedup has none: all windows of a table as rows take SQL minutes. The othe
 rest on hashes, merges or estimates; tests hold them against brute force.
 """
 
+#: Common table expressions that end in ``tab``, the table of crc32 as one list ``c``, made by its rule.
+_CRC_TABLE = """
+poly AS (
+    SELECT n, n AS v, 0 AS i FROM range(256) t(n)
+    UNION ALL
+    SELECT n, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, i + 1 FROM poly WHERE i < 8
+),
+tab AS (SELECT list(v ORDER BY n) AS c FROM poly WHERE i = 8)"""
+
+
+def _crc(bytes_: str) -> str:
+    """crc32 of a list of bytes, beside ``tab``."""
+    step = "xor(acc >> 8, c[(xor(acc, b) & 255) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295, {bytes_}), lambda acc, b: {step}), 4294967295)"
+
+
+_KEY_BYTES = "list_transform(string_split({key}, ''), lambda ch: unicode(ch)::BIGINT)"
+
 ORACLES = {
     "op1_chat_format": r"""
 WITH told AS (
@@ -87,5 +105,77 @@ SELECT doc_id, min(doc_id) OVER equal AS keep_id, count(*) OVER equal AS group_s
        row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
 FROM (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
 WINDOW equal AS (PARTITION BY t)
+""",
+    "op11_conversation_repair": rf"""
+WITH RECURSIVE {_CRC_TABLE},
+keyed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           {_crc(_KEY_BYTES.format(key="coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')"))} % 20 AS chance
+    FROM conversations, tab
+),
+hurt AS (
+    SELECT conv_id, turn, CASE chance WHEN 4 THEN 'user' ELSE role END AS role,
+           CASE chance WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(CASE chance WHEN 3 THEN [0, 1] ELSE [0] END) AS copy
+    FROM keyed WHERE chance <> 0
+),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM hurt
+),
+judged AS (
+    SELECT *, left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS earlier,
+           CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+                WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
+                WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' END AS fault
+    FROM placed
+),
+counted AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+           count(*) FILTER (fault = 'truncated') AS truncated,
+           count(*) FILTER (earlier IS NOT NULL AND earlier || initial NOT IN ('su', 'ua', 'au')) AS illegal, max(pos) AS last
+    FROM judged GROUP BY conv_id
+),
+follows(s, said, e) AS (VALUES ('0', 's', 's'), ('0', 'u', 'u'), ('s', 'u', 'u'), ('u', 'a', 'a'), ('a', 'u', 'u')),
+inserts(s, e, cost, audit, lines) AS (
+    VALUES ('0', '0', 0, '', ''), ('s', 's', 0, '', ''), ('u', 'u', 0, '', ''), ('a', 'a', 0, '', ''),
+           ('0', 'u', 2, 'I', chr(10) || 'user:'), ('s', 'u', 2, 'I', chr(10) || 'user:'), ('a', 'u', 2, 'I', chr(10) || 'user:'),
+           ('u', 'a', 2, 'I', chr(10) || 'assistant:'), ('0', 'a', 4, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+           ('s', 'a', 4, 'II', chr(10) || 'user:' || chr(10) || 'assistant:')
+),
+ways AS (
+    SELECT j.conv_id, j.pos, f.s, f.e, 3 AS cost, 'D' AS audit, '' AS lines
+    FROM judged j, (SELECT DISTINCT s, s AS e FROM inserts) f
+    UNION ALL
+    SELECT j.conv_id, j.pos, f.s, f.e, CASE WHEN initial = said THEN 0 ELSE 2 END + CASE fault WHEN 'truncated' THEN 1 ELSE 0 END,
+           CASE WHEN initial = said THEN 'K' ELSE 'R' END,
+           chr(10) || CASE WHEN initial = said THEN role WHEN said = 'u' THEN 'user' ELSE 'assistant' END || ':' || text
+    FROM judged j JOIN follows f ON f.said <> 's' OR initial = 's'
+    WHERE coalesce(fault, '') NOT IN ('blank', 'duplicate')
+),
+steps AS (
+    SELECT w.conv_id, w.pos, w.s, i.e, (w.cost + i.cost)::INT AS cost, w.audit || i.audit AS audit, w.lines || i.lines AS lines
+    FROM ways w JOIN inserts i ON i.s = w.e
+),
+best AS (
+    SELECT c.conv_id, 0::BIGINT AS pos, i.e AS state, {{'cost': i.cost::INT, 'audit': i.audit, 'lines': i.lines}} AS way
+    FROM counted c JOIN inserts i ON i.s = '0'
+    UNION ALL
+    SELECT b.conv_id, b.pos + 1, t.e,
+           min({{'cost': b.way.cost + t.cost, 'audit': b.way.audit || t.audit, 'lines': b.way.lines || t.lines}})
+    FROM best b JOIN steps t ON t.conv_id IS NOT DISTINCT FROM b.conv_id AND t.pos = b.pos + 1 AND t.s = b.state
+    GROUP BY b.conv_id, b.pos, t.e
+),
+ended AS (
+    SELECT c.conv_id, min(way) AS way FROM counted c
+    JOIN best b ON b.conv_id IS NOT DISTINCT FROM c.conv_id AND b.pos = c.last AND b.state IN ('0', 'a')
+    GROUP BY c.conv_id
+)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(way.cost, 0)::BIGINT AS cost,
+       coalesce(way.audit, '') AS audit, sha256(coalesce(substr(way.lines, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
 """,
 }

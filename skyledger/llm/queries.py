@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.llm import bpe, chat, lattice, minhash, mixing, packing, quality, recipes, suffix, tokencount, toxicity
+from skyledger.llm import bpe, chat, lattice, minhash, mixing, packing, quality, recipes, repair, suffix, tokencount, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -58,6 +58,12 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.repeats(_read(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit of repairing all conversations after planted damage."""
+    told = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.audited(repair.repaired(repair.damaged(told)), told)
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recipes.exact_duplicates(_read(spark, sf_dir, "documents"))
 
@@ -73,5 +79,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packed_tokens": op8_packed_tokens,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
     "op13_exact_dedup": op13_exact_dedup,
 }
