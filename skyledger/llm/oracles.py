@@ -22,6 +22,9 @@ def _crc(bytes_: str) -> str:
 
 _KEY_BYTES = "list_transform(string_split({key}, ''), lambda ch: unicode(ch)::BIGINT)"
 
+_UTF8 = """flatten(list_transform(string_split({key}, ''), lambda ch: CASE WHEN unicode(ch) < 128 THEN [unicode(ch)::BIGINT]
+    ELSE [192 + unicode(ch)::BIGINT // 64, 128 + unicode(ch)::BIGINT % 64] END))"""
+
 ORACLES = {
     "op1_chat_format": r"""
 WITH told AS (
@@ -177,5 +180,45 @@ SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
 FROM (SELECT DISTINCT conv_id FROM conversations) o
 LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
 LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+""",
+    "op12_spelling_variants": rf"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) AS run FROM documents),
+lowered AS (
+    SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+    FROM runs WHERE length(run) >= 6 GROUP BY ALL
+),
+keyed AS (
+    SELECT run, n, {_crc(_UTF8.format(key="coalesce(doc_id::VARCHAR, '') || ':' || run"))} AS h FROM lowered, tab
+),
+counted AS (
+    SELECT CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+           sum(n)::BIGINT AS n
+    FROM keyed GROUP BY ALL
+),
+words AS (SELECT word, n FROM counted WHERE length(word) >= 6 AND n >= 5),
+cut AS (
+    SELECT word, n, i, left(word, i) || substr(word, i + 2) AS rest
+    FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)
+),
+near AS (
+    SELECT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+    UNION
+    SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+    UNION
+    SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word
+),
+tops AS (SELECT word, count(*) AS n_near, min({{'less': -other_n, 'other': other}}) AS top FROM near GROUP BY word),
+forms AS (
+    SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -top.less >= 5 * n THEN top.other END AS form,
+           CASE WHEN -top.less >= 5 * n THEN -top.less END AS form_n
+    FROM words LEFT JOIN tops USING (word)
+),
+followed AS (
+    SELECT word, word AS root, form AS next FROM forms
+    UNION ALL
+    SELECT s.word, s.next, f.form FROM followed s JOIN forms f ON f.word = s.next
+)
+SELECT word, n, n_near, form, form_n, root FROM forms JOIN (SELECT word, root FROM followed WHERE next IS NULL) USING (word)
 """,
 }

@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.llm import bpe, chat, lattice, minhash, mixing, packing, quality, recipes, repair, suffix, tokencount, toxicity
+from skyledger.llm import bpe, chat, lattice, minhash, mixing, packing, quality, recipes, repair, spelling, suffix, tokencount, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -64,6 +64,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.audited(repair.repaired(repair.damaged(told)), told)
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_read(spark, sf_dir, "documents"))
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recipes.exact_duplicates(_read(spark, sf_dir, "documents"))
 
@@ -80,5 +84,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_exact_dedup": op13_exact_dedup,
 }
