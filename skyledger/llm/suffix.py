@@ -14,12 +14,17 @@ corpus goes. The corpus is split by content so that equal strings always meet:
    gram with very many pieces is dealt by whole windows instead.
 4. The spans meet their documents by id.
 
+A document is an id and, where ids repeat, a hash of the text. Rows that repeat
+both are one document: of these one row stays as it is judged, the others repeat it.
+
 Content is told apart by two independent 64-bit hashes in step 2 and byte by
 byte in step 3.
 """
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 import hashlib
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +37,8 @@ LIMIT = 100
 GRAM = 40
 #: Pieces of one gram beyond which its windows are dealt singly.
 CROWD = 2048
+#: Repeated ids up to which they are sent to all tasks, 1 MB at most.
+SENT = 1 << 17
 _PIECE_BYTES = 1 << 20
 _KEPT_PIECES = 1 << 20
 _LPF_BYTES = 1 << 20
@@ -109,33 +116,36 @@ def _anchored(limit: int, gram: int):
     """Pieces of all documents; repeats within a task's share of the rows are settled here."""
 
     def flush(held: list[tuple]) -> pa.RecordBatch:
-        g, c, d, a, m = (np.concatenate(x) for x in zip(*held))
-        order = np.lexsort((a, d, c, g))
-        g, c, d, a, m = (x[order] for x in (g, c, d, a, m))
+        g, c, d, t, a, m = (np.concatenate(x) for x in zip(*held))
+        order = np.lexsort((a, t, d, c, g))
+        g, c, d, t, a, m = (x[order] for x in (g, c, d, t, a, m))
         again = np.concatenate(([False], (g[1:] == g[:-1]) & (c[1:] == c[:-1])))
+        row = np.concatenate(([False], again[1:] & (d[1:] == d[:-1]) & (t[1:] == t[:-1]) & (a[1:] == a[:-1])))
+        if row.any():  # the same piece of a repeated row
+            g, c, d, t, a, m, again = (x[~row] for x in (g, c, d, t, a, m, again))
         kind = np.where(again, _WHOLE, _OPEN)
         # settled rows travel on, spread over all tasks
-        g = np.where(again, mixed((d * 1_000_003 + a).view(np.uint64)).view(np.int64), g)
+        g = np.where(again, mixed(((d + t) * 1_000_003 + a).view(np.uint64)).view(np.int64), g)
         c = np.where(again, 0, c)
         return pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in (g, c, d, a, (m << 1) | kind)], ["gram", "content", "doc", "first", "size"]
+            [pa.array(x) for x in (g, c, d, t, a, (m << 1) | kind)], ["gram", "content", "doc", "tie", "first", "size"]
         )
 
     def anchor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows, held, count = Windows(limit, gram), [], 0
 
-        def taken(parts: list[bytes], ids: list[int], shifts: list[int]):
+        def taken(parts: list[bytes], ids: list[tuple[int, int]], shifts: list[int]):
             lengths = np.array([len(p) for p in parts])
             ends = np.cumsum(lengths)
             starts = ends - lengths
             g, c, first, m = windows.pieces(np.frombuffer(b"".join(parts), np.uint8), starts, ends)
             at = np.searchsorted(starts, first, side="right") - 1
-            docs = np.array(ids, np.int64)[at]
-            return g, c, docs, first - starts[at] + np.array(shifts, np.int64)[at], m
+            docs, ties = np.array(ids, np.int64)[at].T
+            return g, c, docs, ties, first - starts[at] + np.array(shifts, np.int64)[at], m
 
         for batch in batches:
             parts, ids, shifts, size = [], [], [], 0
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for doc, text in zip(zip(*(c.to_pylist() for c in batch.columns[:2])), batch.column(2)):
                 data = (text.as_py() or "").encode("utf-8")
                 for at in range(0, max(len(data) - limit + 1, 0), _PIECE_BYTES):
                     part = data[at : at + _PIECE_BYTES + limit - 1]
@@ -160,19 +170,20 @@ def _anchored(limit: int, gram: int):
 
 
 def _resolved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (gram, content, doc, first): repeats, and the firsts of grams with several contents.
+    """Of rows sorted by (gram, content, doc, tie, first): repeats, and the firsts of grams with several contents.
 
     A stream with one row of memory: a gram's first piece waits until a second, different one comes.
+    A row like the one before it is the same piece of a repeated row, and goes.
     """
     last = None
     waiting = None  # the only different piece so far of the last gram
     for batch in batches:
-        g, c, d, a, s = (batch.column(i).to_numpy() for i in range(5))
+        g, c, d, t, a, s = (batch.column(i).to_numpy() for i in range(6))
         if not len(g):
             continue
         loose = (s & 1) == _WHOLE
-        whole = [np.stack((g[loose], d[loose], a[loose], s[loose]))]
-        g, c, d, a, s = (x[~loose] for x in (g, c, d, a, s))
+        whole = [np.stack((g[loose], d[loose], t[loose], a[loose], s[loose]))]
+        g, c, d, t, a, s = (x[~loose] for x in (g, c, d, t, a, s))
         found = []
         if len(g):
             same_gram = np.empty(len(g), bool)
@@ -181,9 +192,12 @@ def _resolved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             same[1:] = same_gram[1:] & (c[1:] == c[:-1])
             same_gram[0] = last is not None and last[0] == g[0]
             same[0] = bool(same_gram[0]) and last[1] == c[0]
-            last = (g[-1], c[-1])
-            whole.append(np.stack((g[same], d[same], a[same], s[same] & ~1)))
-            f = np.stack((g, d, a, s))[:, ~same]
+            repeat = same.copy()
+            repeat[1:] &= (d[1:] != d[:-1]) | (t[1:] != t[:-1]) | (a[1:] != a[:-1])
+            repeat[0] = bool(same[0]) and last[2:] != (d[0], t[0], a[0])
+            last = (g[-1], c[-1], d[-1], t[-1], a[-1])
+            whole.append(np.stack((g[repeat], d[repeat], t[repeat], a[repeat], s[repeat] & ~1)))
+            f = np.stack((g, d, t, a, s))[:, ~same]
             if f.shape[1]:
                 carried = bool(same_gram[~same][0])  # its gram came in an earlier batch
                 if waiting is not None and carried:
@@ -199,44 +213,44 @@ def _resolved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     waiting = f[:, -1:]
                 found.append(f[:, np.repeat(many, sizes)])
         out = np.concatenate(whole + found, axis=1)
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], ["gram", "doc", "first", "size"])
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], ["gram", "doc", "tie", "first", "size"])
 
 
 def _cutter(limit: int):
     """The bytes of wanted pieces; of crowded grams each window apart. Rows without bytes are settled repeats."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["gram", "doc", "first", "piece"]
+        names = ["gram", "doc", "tie", "first", "piece"]
         for batch in batches:
-            rows = ([], [], [], [])
-            single: dict[bytes, tuple[int, int]] = {}
+            rows = ([], [], [], [], [])
+            single: dict[bytes, tuple[int, int, int]] = {}
 
-            def put(g, d, a, p):
-                for column, value in zip(rows, (g, d, a, p)):
+            def put(g, d, t, a, p):
+                for column, value in zip(rows, (g, d, t, a, p)):
                     column.append(value)
 
-            for doc, text, wanted in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+            for doc, text, wanted in zip(zip(*(c.to_pylist() for c in batch.columns[:2])), batch.column(2), batch.column(3)):
                 data = (text.as_py() or "").encode("utf-8")
                 for piece in wanted.as_py():
                     first, size = piece["first"], piece["size"] >> 1
                     if not piece["crowded"]:
-                        put(piece["gram"], doc, first, data[first : first + size + limit - 1])
+                        put(piece["gram"], *doc, first, data[first : first + size + limit - 1])
                         continue
                     for at in range(first, first + size):
                         window = data[at : at + limit]
-                        here, known = (doc, at), single.get(window)
+                        here, known = (*doc, at), single.get(window)
                         if known is None or here < known:
                             single[window] = here
                         if known is not None and here != known:
                             put(None, *max(here, known), None)
                     if len(single) > _KEPT_PIECES >> 4:
-                        for window, (d, a) in single.items():
-                            put(hash_of(window), d, a, window)
+                        for window, place in single.items():
+                            put(hash_of(window), *place, window)
                         single.clear()
-            for window, (d, a) in single.items():
-                put(hash_of(window), d, a, window)
+            for window, place in single.items():
+                put(hash_of(window), *place, window)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x, t) for x, t in zip(rows, (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names
+                [pa.array(x, k) for x, k in zip(rows, (*[pa.int64()] * 4, pa.binary()))], names
             )
 
     def hash_of(window: bytes) -> int:
@@ -306,9 +320,9 @@ def longest_previous_factors(data: np.ndarray, starts: np.ndarray, limit: int) -
     return found
 
 
-def _repeats_in(pieces: list[tuple[int, int, bytes]], limit: int) -> list[tuple[int, int, int]]:
-    """(doc, start, end) of the bytes that repeat an earlier one of these pieces."""
-    pieces.sort(key=lambda p: (p[0], p[1]))
+def _repeats_in(pieces: list[tuple[tuple[int, int], int, bytes]], limit: int) -> list[tuple[int, int, int, int]]:
+    """(doc, tie, start, end) of the bytes that repeat an earlier one of these pieces. A piece may be there several times."""
+    pieces = [(*place, piece) for place, piece in sorted({p[:2]: p[2] for p in pieces}.items())]
     lengths = np.array([len(p[2]) for p in pieces])
     ends = np.cumsum(lengths)
     begins = ends - lengths
@@ -324,7 +338,7 @@ def _repeats_in(pieces: list[tuple[int, int, bytes]], limit: int) -> list[tuple[
     out = []
     for run in np.split(hit, cuts):
         doc, first, _ = pieces[owner[run[0]]]
-        out.append((doc, first + int(offset[run[0]]), first + int(offset[run[-1]]) + limit))
+        out.append((*doc, first + int(offset[run[0]]), first + int(offset[run[-1]]) + limit))
     return out
 
 
@@ -332,23 +346,21 @@ def _suffixed(limit: int):
     """Spans of repeats from pieces sorted by gram; several grams share one suffix order."""
 
     def spans(rows) -> pa.RecordBatch:
-        doc, start, end = zip(*rows) if rows else ((), (), ())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(x, pa.int64()) for x in (doc, start, end)], ["doc", "start", "end"]
-        )
+        columns = zip(*rows) if rows else ((), (), (), ())
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], ["doc", "tie", "start", "end"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, last = [], 0, None
         for batch in batches:
             out = []
-            for gram, doc, first, piece in zip(*(c.to_pylist() for c in batch.columns)):
+            for gram, doc, tie, first, piece in zip(*(c.to_pylist() for c in batch.columns)):
                 if piece is None:
-                    out.append((doc, first, first + limit))
+                    out.append((doc, tie, first, first + limit))
                     continue
                 if gram != last and size >= _LPF_BYTES:
                     out += _repeats_in(held, limit)
                     held, size = [], 0
-                held.append((doc, first, piece))
+                held.append(((doc, tie), first, piece))
                 size += len(piece)
                 last = gram
             yield spans(out)
@@ -358,53 +370,118 @@ def _suffixed(limit: int):
     return run
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Ids that are never null, so that both uses of the texts share one shuffle."""
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("key"), F.col(text_col).alias("text"))
+@dataclass
+class Documents:
+    """Rows as documents: ``key`` and ``tie`` tell them apart, ``text``, and the columns of the rows behind them.
+
+    ``copies`` holds (key, tie) of documents that have several rows.
+    """
+
+    rows: DataFrame
+    copies: DataFrame | None
 
 
-def repeat_spans(docs: DataFrame, limit: int = LIMIT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``key`` and ``spans``: an array of start << 31 | length, in bytes, in no order and overlapping, of each document.
+def _documents(docs: DataFrame, id_col: str, text_col: str) -> Documents:
+    """The id is the key, never null, so that both uses of the texts share one shuffle. ``tie`` is 0 unless the id repeats.
 
-    Only documents with repeats have a row. ``key`` is the id, or the least long for a null id.
+    Only ids and hashes are grouped. Ids that repeat are sent to all tasks if they
+    are few; if not, every row has its hash as tie.
     """
+    key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63)))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    hashed = docs.select(key.alias("key"), text.alias("text"))
+    repeated = settled(hashed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select(F.col("key").alias("__again")))
+    if repeated.isEmpty():
+        return Documents(docs.withColumns({"__key": key, "__tie": F.lit(0).cast("long")}), None)
+    few = repeated.limit(SENT + 1).count() <= SENT
+    sent = F.broadcast(repeated) if few else repeated
+    for seed in count():
+        tie = F.xxhash64(F.lit(seed), text)
+        told = hashed.join(sent, F.col("key") == F.col("__again")).select(
+            "key", F.xxhash64(F.lit(seed), "text").alias("tie"), F.xxhash64(F.lit("other"), F.lit(seed), "text").alias("other")
+        )
+        named = settled(told.groupBy("key", "tie").agg(F.count("*").alias("n"), F.min("other").alias("low"), F.max("other").alias("high")))
+        if named.where("low <> high").isEmpty():
+            break
+    copies = named.where("n > 1").select(F.col("key").alias("__c_key"), F.col("tie").alias("__c_tie"))
+    if few:
+        rows = docs.withColumn("__key", key).join(sent, F.col("__key") == F.col("__again"), "left")
+        rows = rows.withColumn("__tie", F.when(F.col("__again").isNotNull(), tie).otherwise(F.lit(0))).drop("__again")
+    else:
+        rows = docs.withColumns({"__key": key, "__tie": tie})
+    return Documents(rows, None if copies.isEmpty() else copies)
+
+
+def _spans(found: Documents, text_col: str, limit: int) -> DataFrame:
+    """``__doc``, ``__tied`` and ``__spans`` of documents with repeats."""
     gram = limit * 2 // 5
-    texts = _keyed(docs, id_col, text_col)
-    pieces = texts.mapInArrow(_anchored(limit, gram), "gram long, content long, doc long, first long, size long")
-    found = settled(
+    texts = found.rows.select(F.col("__key").alias("key"), F.col("__tie").alias("tie"), F.col(text_col).alias("text"))
+    pieces = texts.mapInArrow(_anchored(limit, gram), "gram long, content long, doc long, tie long, first long, size long")
+    resolved = settled(
         pieces.repartition("gram")
-        .sortWithinPartitions("gram", "content", "doc", "first")
-        .mapInArrow(_resolved, "gram long, doc long, first long, size long")
+        .sortWithinPartitions("gram", "content", "doc", "tie", "first")
+        .mapInArrow(_resolved, "gram long, doc long, tie long, first long, size long")
     )
-    whole = found.where(f"size & 1 = {_WHOLE}").select(
-        "doc", F.col("first").alias("start"), (F.shiftright("size", 1) + limit - 1).alias("length")
+    whole = resolved.where(f"size & 1 = {_WHOLE}").select(
+        "doc", "tie", F.col("first").alias("start"), (F.shiftright("size", 1) + limit - 1).alias("length")
     )
-    wanted = found.where(f"size & 1 = {_OPEN}")
+    wanted = resolved.where(f"size & 1 = {_OPEN}")
     crowded = wanted.groupBy(F.col("gram").alias("crowd")).count().where(f"count > {CROWD}")
     asked = (
         wanted.join(crowded, wanted["gram"] == crowded["crowd"], "left")
-        .groupBy(F.col("doc").alias("asked"))
+        .groupBy(F.col("doc").alias("asked"), F.col("tie").alias("asked_tie"))
         .agg(F.collect_list(F.struct("gram", "first", "size", F.col("crowd").isNotNull().alias("crowded"))).alias("wanted"))
     )
     cut = (
-        texts.join(asked.hint("shuffle_hash"), texts["key"] == F.col("asked"))
-        .select("key", "text", "wanted")
-        .mapInArrow(_cutter(limit), "gram long, doc long, first long, piece binary")
+        texts.join(asked.hint("shuffle_hash"), (F.col("key") == F.col("asked")) & (F.col("tie") == F.col("asked_tie")))
+        .select("key", "tie", "text", "wanted")
+        .mapInArrow(_cutter(limit), "gram long, doc long, tie long, first long, piece binary")
     )
-    spread = F.coalesce("gram", F.xxhash64("doc", "first"))
+    spread = F.coalesce("gram", F.xxhash64("doc", "tie", "first"))
     partial = (
         cut.repartition(spread)
-        .sortWithinPartitions("gram", "doc", "first")
-        .mapInArrow(_suffixed(limit), "doc long, start long, end long")
-        .select("doc", "start", (F.col("end") - F.col("start")).alias("length"))
+        .sortWithinPartitions("gram", "doc", "tie", "first")
+        .mapInArrow(_suffixed(limit), "doc long, tie long, start long, end long")
+        .select("doc", "tie", "start", (F.col("end") - F.col("start")).alias("length"))
     )
     return (
         whole.union(partial)
-        .groupBy(F.col("doc").alias("spans_of"))
-        .agg(F.collect_list(F.shiftleft("start", _SPREAD).bitwiseOR(F.col("length"))).alias("spans"))
+        .groupBy("doc", F.col("tie").alias("tied"))
+        .agg(F.collect_list(F.shiftleft("start", _SPREAD).bitwiseOR(F.col("length"))).alias("__spans"))
+        .select(F.col("doc").alias("__doc"), F.col("tied").alias("__tied"), "__spans")
     )
 
 
+def _with_spans(docs: DataFrame, limit: int, id_col: str, text_col: str, kept: list[str]) -> DataFrame:
+    """Columns ``kept`` of every row, its text among them, and ``__spans``: packed start and length, in bytes.
+
+    Of rows that are one document, all but one repeat it whole.
+    """
+    found = _documents(docs, id_col, text_col)
+    spans = _spans(found, text_col, limit).hint("shuffle_hash")
+    held = [*kept, "__key", "__tie"]
+    same = (F.col("__key") == F.col("__doc")) & (F.col("__tie") == F.col("__tied"))
+    out = [*kept, F.col("__spans")]
+    if found.copies is None:
+        return found.rows.select(held).join(spans, same, "left").select(out)
+    copy = (F.col("__key") == F.col("__c_key")) & (F.col("__tie") == F.col("__c_tie"))
+    rows = found.rows.select(held)
+    alone = rows.join(found.copies, copy, "left_anti")
+    # numbered once they are written, so the numbers stay
+    several = settled(rows.join(found.copies, copy, "left_semi")).withColumn("__row", F.monotonically_increasing_id())
+    first = several.groupBy("__key", "__tie").agg(F.min("__row").alias("__first")).select("__first")
+    whole = F.octet_length(text_col).cast("long")
+    judged = (
+        several.join(first, F.col("__row") == F.col("__first"), "left")
+        .join(spans, same, "left")
+        .withColumn(
+            "__spans",
+            F.when(F.col("__first").isNotNull(), F.col("__spans")).otherwise(F.when(whole >= limit, F.array(whole))),
+        )
+    )
+    return alone.join(spans, same, "left").select(out).union(judged.select(out))
+
+
 def merged_spans(packed: list[int] | None) -> list[tuple[int, int]]:
     """Maximal (start, end) runs of packed spans."""
     if not packed:
@@ -436,20 +513,16 @@ def whole_characters(data: bytes, runs: list[tuple[int, int]]) -> list[tuple[int
     return out
 
 
-def _with_spans(docs: DataFrame, limit: int, id_col: str, text_col: str) -> DataFrame:
-    texts = _keyed(docs, id_col, text_col)
-    spans = repeat_spans(docs, limit, id_col, text_col)
-    return texts.join(spans.hint("shuffle_hash"), texts["key"] == F.col("spans_of"), "left").select("key", "text", "spans")
-
-
 def repeats(docs: DataFrame, limit: int = LIMIT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept_sha256`` of every row.
 
     A byte is removed when some ``limit``-byte string over it also starts
     earlier: in a document with a smaller id, or earlier in the same one.
     Strings are judged on the input and never cross documents. Null and empty
-    texts have no bytes. Null ids count as the least id. Rows that repeat an id
-    count as one document: what is found for one is removed from all.
+    texts have no bytes. Null ids count as the least id. Rows that repeat an id are
+    documents of their own, in the order of a hash of their texts; of rows that
+    repeat id and text one is the first. Other columns are not looked at. An empty
+    table gives no rows.
     """
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -463,14 +536,14 @@ def repeats(docs: DataFrame, limit: int = LIMIT, id_col: str = "doc_id", text_co
             n, gone, spans, kept = zip(*rows) if rows else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(x, pa.int64()) for x in (n, gone, spans)), pa.array(kept, pa.string())],
-                ["key", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+                ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
             )
 
-    schema = "key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return (
-        _with_spans(docs, limit, id_col, text_col)
-        .mapInArrow(measured, schema)
-        .select(F.expr(f"nullif(key, {-(2**63 - 1)} - 1)").alias(id_col), *(c.split()[0] for c in schema.split(", ")[1:]))
+        _with_spans(rows, limit, "id", "text", rows.columns)
+        .mapInArrow(measured, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+        .withColumnRenamed("id", id_col)
     )
 
 
@@ -479,7 +552,6 @@ def drop_repeats(docs: DataFrame, limit: int = LIMIT, id_col: str = "doc_id", te
 
     As ``repeats``, but a character that a cut would split stays whole.
     """
-    spans = repeat_spans(docs, limit, id_col, text_col).select(F.col("spans_of").alias("__of"), F.col("spans").alias("__spans"))
 
     def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = None
@@ -496,6 +568,4 @@ def drop_repeats(docs: DataFrame, limit: int = LIMIT, id_col: str = "doc_id", te
             columns[at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
 
-    key = F.coalesce(docs[id_col].cast("long"), F.lit(-(2**63)))
-    joined = docs.join(spans.hint("shuffle_hash"), key == F.col("__of"), "left").select(docs["*"], "__spans")
-    return joined.mapInArrow(cleaned, docs.schema)
+    return _with_spans(docs, limit, id_col, text_col, docs.columns).mapInArrow(cleaned, docs.schema)

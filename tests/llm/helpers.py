@@ -63,10 +63,10 @@ def alike(a, b, percent):
     return bool(a and b) and 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def repeats_by_hand(rows, limit):
-    """Digest of op10 from a set of all strings seen, in order of id and place."""
-    seen, out = set(), {}
-    for i, text in sorted(rows, key=lambda r: r[0]):
+def repeats_in_order(texts, limit):
+    """Digest of op10 of texts in their order, from a set of all strings seen."""
+    seen, out = set(), []
+    for text in texts:
         data = (text or "").encode()
         gone = bytearray(len(data))
         for p in range(len(data) - limit + 1):
@@ -76,10 +76,16 @@ def repeats_by_hand(rows, limit):
             seen.add(window)
         kept = bytes(x for x, g in zip(data, gone) if not g)
         runs = sum(g and (k == 0 or not gone[k - 1]) for k, g in enumerate(gone))
-        out[i] = (len(data), sum(gone), runs, hashlib.sha256(kept).hexdigest())
+        out.append((len(data), sum(gone), runs, hashlib.sha256(kept).hexdigest()))
     return out
 
 
+def repeats_by_hand(rows, limit):
+    """The same by id, in order of ids."""
+    rows = sorted(rows, key=lambda r: r[0])
+    return dict(zip((i for i, _ in rows), repeats_in_order([t for _, t in rows], limit)))
+
+
 def statistics_by_hand(text):
     from collections import Counter
 

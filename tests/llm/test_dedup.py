@@ -8,7 +8,7 @@ import pytest
 
 from skyledger.llm import lattice, minhash, suffix
 from skyledger.llm.components import components
-from tests.llm.helpers import SF, alike, joined, odd_documents, repeats_by_hand, word_sets
+from tests.llm.helpers import SF, alike, joined, odd_documents, repeats_by_hand, repeats_in_order, word_sets
 
 
 @pytest.mark.parametrize("size, percent", [(3, 85), (5, 80)])
@@ -66,16 +66,40 @@ def test_repeats(spark):
     assert left.columns == docs.columns and left.count() == docs.count()
 
 
-def test_odd_documents_in_suffix_dedup(spark):
-    docs = odd_documents(spark).where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
-    assert {r.doc_id: tuple(r)[1:] for r in suffix.repeats(docs).collect()} == repeats_by_hand(rows, 100)
+def by_rows(docs):
+    """Digest of op10 of every row: ids in order, null ids first, then by the hash that tells rows of one id apart."""
+    rows = docs.selectExpr("doc_id", "text", "xxhash64(0, coalesce(text, '')) AS tie").collect()
+    rows.sort(key=lambda r: (-(2**63) if r.doc_id is None else r.doc_id, r.tie))
+    return sorted(((r.doc_id, *d) for r, d in zip(rows, repeats_in_order([r.text for r in rows], 100))), key=repr)
+
+
+@pytest.mark.parametrize("sent, crowd", [(1 << 17, 2048), (0, 2048), (1 << 17, 1)])
+def test_odd_documents_in_suffix_dedup(spark, monkeypatch, sent, crowd):
+    """Repeated rows, repeated ids with other texts, null ids: each row is judged, whether ids that repeat are few or many."""
+    monkeypatch.setattr(suffix, "SENT", sent)
+    monkeypatch.setattr(suffix, "CROWD", crowd)
     whole = odd_documents(spark)
+    got = sorted(map(tuple, suffix.repeats(whole).collect()), key=repr)
+    assert got == by_rows(whole)
     left = suffix.drop_repeats(whole)
     assert left.schema == whole.schema and left.count() == whole.count()
     assert suffix.repeats(whole.limit(0)).count() == 0
 
 
+def test_rows_that_share_an_id_in_suffix_dedup(spark):
+    """One of repeated rows keeps its text; texts of one id, of one length or not, leave each other alone."""
+    random.seed(8)
+    text = lambda n: " ".join(f"{random.random()}" for _ in range(n))[: n * 18]
+    a, b, c = text(23), text(23), text(60)
+    rows = [(1, a), (1, a), (2, b), (2, text(23)), (3, c + c), (3, "x" + c[:150]), (None, c[:300]), (None, text(30)), (None, None), (None, None)]
+    rows += [(7, a[:50] + b), (8, "short"), (8, "short")]
+    docs = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id long, text string, place int").repartition(4)
+    assert sorted(map(tuple, suffix.repeats(docs).collect()), key=repr) == by_rows(docs)
+    left = {r.place: r.text for r in suffix.drop_repeats(docs).collect()}
+    assert sorted((left[0], left[1])) == ["", a] and left[2] == b and left[7] == rows[7][1] and left[8] is None
+    assert left[11] == left[12] == "short"
+
+
 def test_a_crowded_gram(spark, monkeypatch):
     """Grams beyond the bound are dealt by windows, with the same result."""
     monkeypatch.setattr(suffix, "CROWD", 3)
