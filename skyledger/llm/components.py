@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from skyledger.llm.settle import settled
+from skyledger.llm.settle import released, settled
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -25,7 +25,7 @@ def _small_star(links: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame, left: str, right: str) -> DataFrame:
-    """``node`` and ``component`` (the least node reachable) for each node that has a link.
+    """``node`` and ``component`` (the least node reachable) for each node that has a link, settled.
 
     Alternating large and small stars until nothing moves: each round is a
     partial aggregation and a join on node ids, so a node with many links is
@@ -41,8 +41,12 @@ def components(links: DataFrame, left: str, right: str) -> DataFrame:
     while True:
         mark = now.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
         if mark == seen or mark[0] == 0:
-            return now.select(F.col("hi").alias("node"), F.col("lo").alias("component")).union(
-                now.select("lo", "lo").distinct()
+            out = settled(
+                now.select(F.col("hi").alias("node"), F.col("lo").alias("component")).union(now.select("lo", "lo").distinct())
             )
+            released(now)
+            return out
         seen = mark
-        now = settled(_small_star(_large_star(now)))
+        moved = settled(_small_star(_large_star(now)))
+        released(now)
+        now = moved

@@ -16,7 +16,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from skyledger.llm.settle import settled
+from skyledger.llm.nodes import joined_ids, met_by_class, named_classes
+from skyledger.llm.settle import released, settled
 from skyledger.llm.shingles import mixed
 from skyledger.llm.stars import across, joined_by_stars
 
@@ -88,32 +89,39 @@ def cells(units: np.ndarray, tables: int = TABLES, scale: float = SCALE, probes:
     return np.stack(out, axis=1) if out else np.empty((len(units), 0), np.int64)
 
 
+def _unit(value: pa.Scalar) -> np.ndarray | None:
+    """A vector of length 1 in double precision; None of what has no direction."""
+    if not value.is_valid or value.values.null_count or not len(value.values):
+        return None
+    vector = value.values.to_numpy(zero_copy_only=False).astype(np.float64)
+    top = np.abs(vector).max()
+    if not np.isfinite(top) or top == 0:
+        return None
+    vector = vector / top
+    return vector / np.sqrt((vector * vector).sum())
+
+
 def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Unit vector, digest and cells of the usable vectors of a batch."""
+    """Unit vector, digest and cells of each row, null where it links with nothing."""
     for batch in batches:
         by_size: dict[int, list[tuple[int, np.ndarray]]] = {}
+        rest = []
         for i, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-            if i is None or not value.is_valid or value.values.null_count or not len(value.values):
-                continue
-            vector = value.values.to_numpy(zero_copy_only=False).astype(np.float64)
-            top = np.abs(vector).max()
-            if not np.isfinite(top) or top == 0:
-                continue
-            vector = vector / top
-            by_size.setdefault(len(vector), []).append((i, vector / np.sqrt((vector * vector).sum())))
+            unit = None if i is None else _unit(value)
+            if unit is None:
+                rest.append(i)
+            else:
+                by_size.setdefault(len(unit), []).append((i, unit))
+        names = ["id", "h1", "h2", "unit", "cells"]
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(rest, pa.int64()), *(pa.nulls(len(rest), kind) for kind in kinds[1:])], names
+        )
         for held in by_size.values():
             units = np.stack([v for _, v in held])
             digests = [np.frombuffer(xxhash.xxh3_128_digest(v.tobytes()), np.int64) for v in units]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([i for i, _ in held], pa.int64()),
-                    pa.array([int(d[0]) for d in digests], pa.int64()),
-                    pa.array([int(d[1]) for d in digests], pa.int64()),
-                    pa.array(list(units), pa.list_(pa.float64())),
-                    pa.array(list(cells(units)), pa.list_(pa.int64())),
-                ],
-                ["id", "h1", "h2", "unit", "cells"],
-            )
+            columns = ([i for i, _ in held], [int(d[0]) for d in digests], [int(d[1]) for d in digests], list(units), list(cells(units)))
+            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds)], names)
 
 
 def _counter(cosine: float):
@@ -147,27 +155,26 @@ def near_duplicate_vectors(
     more. ``component_id`` is the least id reachable by links, ``kept`` says that
     it is the row's own. Null and zero vectors, those with null or non-finite
     components, and rows with a null id link with nothing and are kept. Vectors
-    of different lengths are never linked. Rows that repeat an id count as one
-    vector, the one with the least digest. Other columns are not looked at.
-    An empty table gives no rows.
+    of different lengths are never linked. Rows that repeat an id are vectors of
+    their own that belong together; ``n_links`` counts rows. Other columns are not
+    looked at. An empty table gives no rows.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
-    placed = settled(
-        rows.mapInArrow(_placed, "id long, h1 long, h2 long, unit array<double>, cells array<long>")
+    placed = settled(rows.mapInArrow(_placed, "id long, h1 long, h2 long, unit array<double>, cells array<long>"))
+    equal = placed.select("id", "h1", "h2")
+    usable = placed.where("h1 IS NOT NULL")
+    classes, copies = named_classes(usable.select("id", "h1", "h2"))
+    held_by_first = usable.select(F.col("id").alias("of"), F.col("h1").alias("s1"), F.col("h2").alias("s2"), "unit", "cells")
+    same = (F.col("of") == F.col("first")) & (F.col("s1") == F.col("h1")) & (F.col("s2") == F.col("h2"))
+    nodes = settled(
+        classes.join(held_by_first, same).dropDuplicates(["node"]).select(F.col("node").alias("id"), "copies", "unit", "cells")
     )
-    single = settled(placed.groupBy("id").agg(F.min(F.struct("h1", "h2")).alias("h")).select("id", "h.h1", "h.h2"))
-    classes = settled(single.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.count("*").alias("copies")))
-    copies = settled(
-        single.join(classes.where("copies > 1").drop("copies"), ["h1", "h2"]).select(F.col("first").alias("a"), F.col("id").alias("b"))
-    )
-    named = classes.withColumnRenamed("first", "id")
-    nodes = settled(placed.join(named, ["id", "h1", "h2"]).dropDuplicates(["id"]).select("id", "copies", "unit", "cells"))
 
-    def confirm(pairs: DataFrame, candidates: DataFrame) -> DataFrame:
+    def confirm(pairs: DataFrame, candidates: DataFrame, last: bool) -> DataFrame:
         side = lambda x: nodes.select(F.col("id").alias(x), F.col("unit").alias(f"unit_{x}"))
         dot = F.aggregate(F.zip_with("unit_a", "unit_b", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
         same = F.size("unit_a") == F.size("unit_b")
-        return pairs.join(side("a"), "a").join(side("b"), "b").where(same & (dot >= cosine)).select("a", "b")
+        return settled(pairs.join(side("a"), "a").join(side("b"), "b").where(same & (dot >= cosine)).select("a", "b"))
 
     def near(table: pa.Table, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         units = np.stack(table["unit"].to_numpy())
@@ -177,10 +184,10 @@ def near_duplicate_vectors(
         return across(crowds, nodes.select("id", "unit"), near)
 
     dealt = nodes.select("id", F.explode(F.array_distinct("cells")).alias("bucket"))
-    reached = settled(joined_by_stars(dealt, copies, confirm, rest))
+    found = joined_by_stars(dealt, copies, confirm, rest)
 
     # all links lie inside components; blocks of a component meet pair by pair
-    members = nodes.join(reached, nodes["id"] == reached["node"]).select("component", "id", "copies", "unit")
+    members = nodes.join(found, nodes["id"] == found["node"]).select("component", "id", "copies", "unit")
     sizes = members.groupBy(F.col("component").alias("of")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     blocked = members.join(sizes, F.col("component") == F.col("of")).withColumn(
         "block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
@@ -191,21 +198,19 @@ def near_duplicate_vectors(
     counted = (
         met.groupBy("component", "low", "high")
         .applyInArrow(_counter(cosine), "id long, links long")
-        .groupBy(F.col("id").alias("first"))
+        .groupBy(F.col("id").alias("counted"))
         .agg(F.sum("links").alias("links"))
     )
-    per_class = classes.join(counted, "first", "left").withColumn(
-        "n_links", F.coalesce("links", F.lit(0)) + F.col("copies") - 1
+    n_links = F.coalesce("links", F.lit(0)) + F.col("copies") - 1
+    per_class = settled(
+        classes.join(counted, F.col("node") == F.col("counted"), "left").select("h1", "h2", n_links.alias("n_links"))
     )
-    per_id = single.join(per_class.select("h1", "h2", "n_links"), ["h1", "h2"]).select(F.col("id").alias("of"), "n_links")
-    ids = rows.select("id")
-    return (
-        ids.join(per_id, ids["id"] == per_id["of"], "left")
-        .join(reached, ids["id"] == reached["node"], "left")
-        .select(
-            F.col("id").alias(id_col),
-            F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-            F.coalesce("component", "id").alias("component_id"),
-            F.coalesce("component", "id").eqNullSafe(F.col("id")).alias("kept"),
-        )
+    reached = joined_ids(found, classes)
+    released(nodes, classes)
+    linked = met_by_class(equal, per_class.where("n_links > 0"), "left")
+    return linked.join(reached, F.col("id") == F.col("node"), "left").select(
+        F.col("id").alias(id_col),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        F.coalesce("component", "id").alias("component_id"),
+        F.coalesce("component", "id").eqNullSafe(F.col("id")).alias("kept"),
     )

@@ -18,8 +18,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from skyledger.llm.settle import sent_if_small, settled
+from skyledger.llm.settle import released, sent_if_small, settled
 from skyledger.llm.shingles import WordHashes, mixed, shingle_hashes, word_hashes
+from skyledger.llm.nodes import joined_ids, named_classes
 from skyledger.llm.stars import across, joined_by_stars
 
 BINS = 128
@@ -98,24 +99,26 @@ def _setter(size: int):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([i.as_py()], pa.int64()), pa.array([a], pa.int64()), pa.array([b], pa.int64()),
                      pa.array([found.view(np.int64)], pa.list_(pa.int64()))],
-                    ["id", "h1", "h2", "shingles"],
+                    ["of", "h1", "h2", "shingles"],
                 )
 
     return sets
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """``id`` and the full set of every asked document."""
-    asked = sent_if_small(
-        nodes.join(ids, "id").select(F.col("id").alias("want"), F.col("h1").alias("w1"), F.col("h2").alias("w2")), SENT
+    """``id`` and the full set of every asked node, settled."""
+    asked, kept = sent_if_small(
+        nodes.join(ids, "id").select("id", F.col("first").alias("want"), F.col("h1").alias("w1"), F.col("h2").alias("w2")), SENT
     )
-    return (
-        docs.join(asked, docs["id"] == F.col("want"), "left_semi")
-        .mapInArrow(_setter(size), "id long, h1 long, h2 long, shingles array<long>")
-        .join(asked, (F.col("id") == F.col("want")) & (F.col("h1") == F.col("w1")) & (F.col("h2") == F.col("w2")))
+    wanted = docs.withColumnRenamed("id", "of").join(asked, F.col("of") == F.col("want"), "left_semi")
+    out = settled(
+        wanted.mapInArrow(_setter(size), "of long, h1 long, h2 long, shingles array<long>")
+        .join(asked, (F.col("of") == F.col("want")) & (F.col("h1") == F.col("w1")) & (F.col("h2") == F.col("w2")))
         .dropDuplicates(["id"])
         .select("id", "shingles")
     )
+    released(kept)
+    return out
 
 
 def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -134,7 +137,7 @@ def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def _prefixes(sets: DataFrame, homes: DataFrame, percent: int) -> DataFrame:
-    """Rows (bucket, id, component): the rarest shingles of each set, as many as linked sets must share one of."""
+    """Rows (bucket, id, component), settled: the rarest shingles of each set, as many as linked sets must share one of."""
     asked = settled(sets.join(homes, "id").select("id", "component", "shingles"))
     slot = F.col("shingle").bitwiseAND(F.lit(SLOTS - 1)).cast("int")
     counted = asked.select(F.explode("shingles").alias("shingle")).groupBy(slot.alias("slot")).agg(F.count("*").alias("n"))
@@ -153,7 +156,9 @@ def _prefixes(sets: DataFrame, homes: DataFrame, percent: int) -> DataFrame:
                 same = lambda x: pa.array(np.full(n, x.as_py(), np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(rarest), same(i), same(home)], ["bucket", "id", "component"])
 
-    return asked.mapInArrow(prefix, "bucket long, id long, component long")
+    out = settled(asked.mapInArrow(prefix, "bucket long, id long, component long"))
+    released(asked)
+    return out
 
 
 def _alike(percent: int):
@@ -182,19 +187,21 @@ def _alike(percent: int):
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the similarity."""
-    ends = sent_if_small(pairs.select(F.explode(F.array("a", "b")).alias("end")).distinct(), SENT)
+    """The pairs (a, b) whose full sets reach the similarity, settled."""
+    ends, kept = sent_if_small(pairs.select(F.explode(F.array("a", "b")).alias("end")).distinct(), SENT)
     asked = sets.join(ends, sets["id"] == ends["end"], "left_semi")
     left = asked.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     right = asked.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
-    return (
+    out = settled(
         pairs.join(left, "a")
         .join(right, "b")
         .withColumn("both", both)
         .where(F.col("both") * 100 >= percent * (F.size("sa") + F.size("sb") - F.col("both")))
         .select("a", "b")
     )
+    released(kept)
+    return out
 
 
 def near_duplicates(
@@ -209,41 +216,45 @@ def near_duplicates(
 
     Null, empty and blank texts have no set, link with nothing and are kept.
     Rows with a null id link with nothing, have a null component and are kept.
-    Rows that repeat an id belong together: equal texts of any of them link,
-    near texts only of the one with the least set hash. Other columns are not
-    looked at. An empty table gives no rows.
+    Rows that repeat an id are documents of their own that belong together. Other
+    columns are not looked at. An empty table gives no rows.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     signed = settled(texts.mapInArrow(_signer(size), SIGNED))
     some = signed.where("n_shingles > 0 AND id IS NOT NULL")
-
-    classes = some.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.count("*").alias("copies"))
-    copies = (
-        some.select("id", "h1", "h2")
-        .join(classes.where("copies > 1").select("h1", "h2", "first"), ["h1", "h2"])
-        .select(F.col("first").alias("a"), F.col("id").alias("b"))
-    )
-    chosen = classes.groupBy(F.col("first").alias("of")).agg(F.min(F.struct("h1", "h2")).alias("h"))
-    same = (F.col("id") == F.col("of")) & (F.col("h1") == F.col("h.h1")) & (F.col("h2") == F.col("h.h2"))
+    classes, copies = named_classes(some.select("id", "h1", "h2"))
+    same = (F.col("of") == F.col("first")) & (F.col("s1") == F.col("h1")) & (F.col("s2") == F.col("h2"))
+    held_by_first = some.select(F.col("id").alias("of"), F.col("h1").alias("s1"), F.col("h2").alias("s2"), "n_shingles", "bands", "low")
     nodes = settled(
-        some.join(chosen, F.col("id") == F.col("of")).where(same).dropDuplicates(["id"])
-        .select("id", "n_shingles", "h1", "h2", "bands", "low")
-    )
+        classes.join(held_by_first, same)
+        .dropDuplicates(["node"])
+        .select(F.col("node").alias("id"), "first", "n_shingles", "h1", "h2", "bands", "low")
+    )
     held: list[DataFrame] = []
 
-    def confirm(pairs: DataFrame, candidates: DataFrame) -> DataFrame:
+    def confirm(pairs: DataFrame, candidates: DataFrame, last: bool) -> DataFrame:
         if not held:
             held.append(settled(nodes.join(candidates, "id").select("id", "n_shingles", "low")))
-            held.append(settled(_sets(texts, nodes, candidates, size)))
+            held.append(_sets(texts, nodes, candidates, size))
         brief, sets = held
-        return _confirmed(settled(_likely(pairs, brief, percent)), sets, percent)
+        if last:
+            return _confirmed(pairs, sets, percent)
+        likely = settled(_likely(pairs, brief, percent))
+        out = _confirmed(likely, sets, percent)
+        released(likely)
+        return out
 
     def rest(crowds: DataFrame) -> DataFrame:
         sets = held[1]
-        keyed = settled(_prefixes(sets, settled(crowds.select("id", "component").distinct()), percent))
-        return across(keyed, sets, _alike(percent), merged=True)
+        homes = settled(crowds.select("id", "component").distinct())
+        keyed = _prefixes(sets, homes, percent)
+        out = across(keyed, sets, _alike(percent), merged=True)
+        released(keyed, homes)
+        return out
 
     reached = joined_by_stars(nodes.select("id", F.explode("bands").alias("bucket")), copies, confirm, rest)
+    reached = joined_ids(reached, classes)
+    released(nodes, classes, *held)
     return (
         signed.select("id", "n_shingles")
         .join(reached, signed["id"] == reached["node"], "left")

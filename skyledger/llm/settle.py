@@ -4,21 +4,42 @@ from pyspark.sql import DataFrame, functions as F
 
 from skyledger.sinks.shared import shared_folder
 
+#: Shuffle files of a step go when it ends, as its result is in the shared folder by then.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def settled(df: DataFrame) -> DataFrame:
     """``df`` computed now and kept in the shared checkpoint folder, so lost executors lose nothing.
 
-    Spark removes the files when the result is no longer referenced, where
-    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on.
+    Its files stay until ``released``, or, where
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on, until the result is no
+    longer referenced.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint()
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        return df.select("*").checkpoint()  # a new plan, made under the setting
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
+def released(*frames: DataFrame) -> None:
+    """Remove the files of settled frames. Neither they nor what was made of them may be computed again."""
+    for df in frames:
+        file = df._jdf.queryExecution().logical().rdd().getCheckpointFile()
+        if file.isDefined():
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(file.get())
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def sent_if_small(df: DataFrame, rows: int) -> DataFrame:
-    """``df``, settled, and marked for broadcast if it has no more than ``rows`` rows; else joined by a shuffle."""
+def sent_if_small(df: DataFrame, rows: int) -> tuple[DataFrame, DataFrame]:
+    """``df``, marked for broadcast if it has no more than ``rows`` rows, else joined by a shuffle; and what to release."""
     kept = settled(df)
-    return F.broadcast(kept) if kept.limit(rows + 1).count() <= rows else kept
+    return (F.broadcast(kept) if kept.limit(rows + 1).count() <= rows else kept), kept

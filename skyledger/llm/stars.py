@@ -1,13 +1,14 @@
 """Links found through buckets that propose stars, in rounds."""
 
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from skyledger.llm.components import components
-from skyledger.llm.settle import settled
+from skyledger.llm.settle import released, settled
 
 #: Hubs that a bucket with several components proposes in each round after the first.
 HUBS = 4
@@ -40,7 +41,7 @@ def _meeting(near: Callable[[pa.Table, np.ndarray, np.ndarray], np.ndarray]):
 def across(
     crowds: DataFrame, seen: DataFrame, near: Callable[[pa.Table, np.ndarray, np.ndarray], np.ndarray], merged: bool = False
 ) -> DataFrame:
-    """Pairs (a, b) of different components that share a crowd, from rows (bucket, id, component).
+    """Pairs (a, b) of different components that share a crowd, settled, from rows (bucket, id, component).
 
     Pairs of small crowds are listed, FEW / 2 for each row at most. Large ones
     meet block against block and give links, one for each two components of two
@@ -55,14 +56,26 @@ def across(
         .select("of", "members")
     )
     held = settled(crowds.join(sizes, crowds["bucket"] == sizes["of"]).drop("of"))
-    few = held.where(f"members <= {FEW}")
-    left, right = (few.select("bucket", F.col("id").alias(x), F.col("component").alias(f"of_{x}")) for x in "ab")
-    listed = left.join(right, "bucket").where("a < b AND of_a <> of_b").select("a", "b")
+    # crowds of the same members are one; pairs are listed inside the row of a crowd
+    few = (
+        held.where(f"members <= {FEW}")
+        .groupBy("bucket")
+        .agg(F.sort_array(F.collect_list(F.struct("id", "component"))).alias("all"))
+        .select("all")
+        .distinct()
+    )
+    listed = (
+        few.select("all", F.explode("all").alias("x"))
+        .select("x", F.explode(F.filter("all", lambda y: (y["id"] > F.col("x.id")) & (y["component"] != F.col("x.component")))).alias("y"))
+        .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    )
     many = held.where(f"members > {FEW}")
+    made = [held]
     if merged:
         hubs = many.groupBy(F.col("bucket").alias("of")).agg(F.min("id").alias("hub"))
         one = components(many.join(hubs, many["bucket"] == hubs["of"]).select("id", "hub"), "id", "hub")
-        one = settled(one.select("node", F.col("component").alias("bucket")))
+        made.append(one)
+        one = one.select("node", F.col("component").alias("bucket"))
         crowd = one.groupBy(F.col("bucket").alias("of")).agg(F.count("*").alias("members"))
         named = many.select("id", "component").distinct().join(one, F.col("id") == F.col("node")).drop("node")
         many = named.join(crowd, named["bucket"] == crowd["of"]).drop("of")
@@ -75,34 +88,43 @@ def across(
         .groupBy("bucket", "low", "high")
         .applyInArrow(_meeting(near), "a long, b long")
     )
-    return listed.union(met).distinct()
+    out = settled(listed.union(met).distinct())
+    released(*made)
+    return out
 
 
 def joined_by_stars(
     dealt: DataFrame,
     copies: DataFrame,
-    confirm: Callable[[DataFrame, DataFrame], DataFrame],
+    confirm: Callable[[DataFrame, DataFrame, bool], DataFrame],
     rest: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
     """``node`` and ``component`` of everything that has a link, from rows (id, bucket).
 
     Each bucket proposes pairs of one member, the hub, with the members of other
     components, so pairs grow with the rows of buckets and not with the squares
-    of their sizes. ``confirm(pairs, candidates)`` returns the pairs (a, b) that
-    are links; ``candidates`` holds the ids of all members of shared buckets and
-    stays the same. Buckets that still hold several components propose other
-    hubs, round after round, until a round joins nothing. What is left then,
-    rows (bucket, id, component) of buckets of more than two members in several
-    components, goes to ``rest``, which returns pairs (a, b) that hold all links
-    across these components that share a bucket. ``copies`` are links (a, b)
-    known before.
+    of their sizes. ``confirm(pairs, candidates, last)`` returns the pairs (a, b) that
+    are links, settled, without fail in the ``last`` step; ``candidates`` holds the ids of all
+    members of shared buckets and stays the same. Buckets that still hold several
+    components propose other hubs, round after round, until a round joins nothing.
+    What is left then, rows (bucket, id, component) of buckets of more than two
+    members in several components, goes to ``rest``, which returns pairs (a, b),
+    settled, that hold all links across these components that share a bucket. ``copies`` are links (a, b)
+    known before. The result is settled; what the rounds wrote is gone with them.
     """
     crowds = dealt.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1").select("bucket")
     shared = settled(dealt.join(crowds, "bucket"))
     candidates = settled(shared.select("id").distinct())
-    reached = settled(components(copies, "a", "b"))
-    tested = None
+    reached = components(copies, "a", "b")
+    rounds: list[DataFrame] = []
     turn = 0
+
+    def grown(found: DataFrame) -> DataFrame:
+        known = reached.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        out = components(known.union(found), "a", "b")
+        released(reached, found)
+        return out
+
     while True:
         placed = shared.join(reached, shared["id"] == reached["node"], "left").select(
             "bucket", "id", F.coalesce("component", "id").alias("component")
@@ -127,29 +149,32 @@ def joined_by_stars(
             .select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b"))
             .distinct()
         )
+        tested = reduce(DataFrame.union, rounds) if rounds else None
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = settled(pairs)
-        found = settled(confirm(pairs, candidates))
-        tested = pairs if tested is None else tested.union(pairs)
-        done = found.isEmpty()
-        if done:
-            # a star tests all pairs of a bucket of two
-            spread = (
-                placed.groupBy(F.col("bucket").alias("of"))
-                .agg(F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high"))
-                .where("low <> high AND members > 2")
-                .select("of")
-            )
-            left = settled(placed.join(spread, placed["bucket"] == spread["of"]).drop("of"))
-            if left.isEmpty():
-                return reached
-            pairs = settled(rest(left).join(tested, ["a", "b"], "left_anti"))
-            found = settled(confirm(pairs, candidates))
-            if found.isEmpty():
-                return reached
-        known = reached.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        reached = settled(components(known.union(found), "a", "b"))
-        if done:
-            return reached
-        turn += 1
+        found = confirm(pairs, candidates, False)
+        rounds.append(pairs)
+        if not found.isEmpty():
+            reached = grown(found)
+            turn += 1
+            continue
+        # a star tests all pairs of a bucket of two
+        spread = (
+            placed.groupBy(F.col("bucket").alias("of"))
+            .agg(F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high"))
+            .where("low <> high AND members > 2")
+            .select("of")
+        )
+        left = settled(placed.join(spread, placed["bucket"] == spread["of"]).drop("of"))
+        if not left.isEmpty():
+            tested = reduce(DataFrame.union, rounds)
+            linked = rest(left)
+            pairs = settled(linked.join(tested, ["a", "b"], "left_anti"))
+            released(linked)
+            rounds.append(pairs)
+            found = confirm(pairs, candidates, True)
+            if not found.isEmpty():
+                reached = grown(found)
+        released(shared, candidates, left, *rounds)
+        return reached

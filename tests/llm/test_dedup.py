@@ -1,5 +1,6 @@
 """Near-dedup of documents and vectors, and suffix dedup, against brute force."""
 
+from pathlib import Path
 import random
 
 from hypothesis import given, settings, strategies as st
@@ -8,6 +9,7 @@ import pytest
 
 from skyledger.llm import lattice, minhash, suffix
 from skyledger.llm.components import components
+from skyledger.sinks.shared import shared_folder
 from tests.llm.helpers import SF, alike, joined, odd_documents, repeats_by_hand, repeats_in_order, word_sets
 
 
@@ -51,6 +53,32 @@ def test_odd_documents_in_near_dedup(spark):
     assert minhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_rows_that_share_an_id_in_near_dedup(spark, monkeypatch):
+    """Every text of an id is compared, and an id joins what its texts are near to."""
+    random.seed(6)
+    words = [f"w{k}" for k in range(300)]
+    a, b, c = " ".join(words), " ".join([*words, "more"]), " ".join(random.sample(words, 300))
+    rows = [(1, a), (1, "one text"), (2, b), (2, "another text"), (3, c), (4, "one text"), (5, c), (5, "one text more"), (6, "alone")]
+    rows += [(9, "x"), (9, "y"), (8, "y"), (8, "z"), (7, "z"), (7, "u v"), (7, "u v"), (9, "p q")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(docs, 3, 85).collect())
+    home = {1: 1, 2: 1, 4: 1, 3: 3, 5: 3, 6: 6, 7: 7, 8: 7, 9: 7}
+    assert got == sorted((i, home[i], home[i] == i) for i, _ in rows)
+
+
+def test_a_crowd_leaves_little_behind(spark, tmp_path):
+    """Near copies by the thousand: what the rounds write goes with them."""
+    random.seed(2)
+    words = [f"w{k}" for k in range(120)]
+    rows = [(i, " ".join(w if random.random() > 0.05 else f"c{i}_{k}" for k, w in enumerate(words))) for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    folder = Path(spark.sparkContext.getCheckpointDir() or shared_folder(spark))
+    held = lambda: sum(p.stat().st_size for p in Path(str(folder).removeprefix("file:")).rglob("*") if p.is_file())
+    before = held()
+    assert minhash.near_duplicates(docs, 3, 85).count() == 1500
+    assert held() - before < 4 * sum(len(t) for _, t in rows)
+
+
 def test_components(spark):
     links = spark.createDataFrame([(5, 4), (4, 3), (9, 8), (3, 5), (7, 7), (None, 1), (20, 3)], "a long, b long")
     got = {r.node: r.component for r in components(links, "a", "b").collect()}
@@ -179,3 +207,10 @@ def test_linked_vectors_hidden_in_crowded_cells(spark):
     got = {r.vec_id: r.component_id for r in lattice.near_duplicate_vectors(df).collect()}
     root = joined(range(len(crowd)), lambda a, b: close[a, b])
     assert got == root
+
+
+def test_vectors_that_share_an_id(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [0.0, 1.0]), (3, [1.0, 1.0]), (4, [-1.0, 1.0]), (4, [1.0, 1.01]), (5, None), (5, [-1.0, 0.0]), (5, [-1.0, 0.0])]
+    got = lattice.near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    want = [(1, 0, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 3, True), (4, 0, 3, False), (4, 1, 3, False), (5, 0, 5, True), (5, 1, 5, True), (5, 1, 5, True)]
+    assert sorted(map(tuple, got.collect())) == want
