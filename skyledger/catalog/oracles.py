@@ -284,8 +284,9 @@ ORACLES: dict[str, str] = {
     "format('{:,}', record_count) AS records_text, CAST(avg_temperature AS VARCHAR) AS average_text, "
     f"record_count AS stored_count, true AS all_rows_stored, true AS timed, true AS finalized_within FROM ({_summary('stored', 'event_time', TENTHS, 10)})",
     "schema_listing": SCHEMA_LISTING,
-    "reload_idempotent": "SELECT orders.*, run_id FROM orders, (VALUES ('first'), ('second')) AS runs(run_id)",
-    "rows_written": "SELECT count(*) AS requested, count(*) AS written, count(*) AS stored FROM events",
+    "reload_idempotent": "SELECT orders.*, run_id FROM orders, (VALUES ('first'), ('')) AS runs(run_id)",
+    "rows_written": "SELECT count(*) AS requested, count(*) AS written, count(*) AS stored, "
+    "count(*) AS committed_shuffled, count(*) AS stored_shuffled FROM events",
     "csv_source": "SELECT * FROM customer",
     "batch_lookup": f"WITH {_stored(EVENT_IDS)}\nSELECT * FROM stored WHERE batch_id = {q.BATCH}",
     "time_range": f"SELECT * FROM events WHERE ts >= TIMESTAMP '{q.RANGE[0]}' AND ts < TIMESTAMP '{q.RANGE[1]}'",

@@ -9,6 +9,7 @@ from datetime import datetime, timedelta
 from functools import reduce
 import time
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from skyledger import schemas
@@ -19,7 +20,7 @@ from skyledger.operators.people import people_counts, with_payload
 from skyledger.operators.summary import SKETCH_ERROR, data_size, key_check, profile, summary
 from skyledger.operators.weather import weather, weather_stored
 from skyledger.plans import load, people, planning, report
-from skyledger.sinks import layouts, shared, tables
+from skyledger.sinks import layouts, runs, shared, tables
 from skyledger.sources import readers
 
 SEED = 42
@@ -203,23 +204,38 @@ def schema_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reload_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs written again, one without a name, one that fails half-way and one that becomes empty."""
     path = shared.new_path(spark, "reloaded")
     orders = _read(spark, sf_dir, "orders")
-    for run in ("first", "second", "third", "first"):
-        tables.write_run(orders, path, run)
-    tables.write_run(orders.limit(0), path, "third")
-    return spark.read.parquet(path)
+    for run in ("first", "", "third", "first"):
+        runs.commit_run(orders, path, run)
+    failing = F.when(F.col("o_orderkey") % 1000 == 7, F.raise_error(F.lit("stopped half-way")).cast("bigint")).otherwise(F.col("o_orderkey"))
+    try:
+        runs.commit_run(orders.withColumn("o_orderkey", failing), path, "")
+    except PySparkException as stopped:
+        if "stopped half-way" not in str(stopped):
+            raise
+    runs.commit_run(orders.limit(0), path, "third")
+    return runs.committed(spark, path)
 
 
 def rows_written(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = shared.new_path(spark, "counted")
+    """Rows of a plain write, counted on the way, and of a shuffled one, counted in the committed files."""
+    path, run_path = shared.new_path(spark, "counted"), shared.new_path(spark, "counted_runs")
     events = _read(spark, sf_dir, "events")
     requested = events.count()
     written = tables.counting_rows(events, lambda df: df.write.parquet(path))
-    return spark.read.parquet(path).agg(
-        F.lit(requested).cast("bigint").alias("requested"),
-        F.lit(written).cast("bigint").alias("written"),
-        F.count(F.lit(1)).alias("stored"),
+    run = runs.commit_run(events.repartition("user_id"), run_path, "shuffled")
+    stored = runs.committed(spark, run_path).agg(F.count(F.lit(1)).alias("stored_shuffled"))
+    return (
+        spark.read.parquet(path)
+        .agg(
+            F.lit(requested).cast("bigint").alias("requested"),
+            F.lit(written).cast("bigint").alias("written"),
+            F.count(F.lit(1)).alias("stored"),
+            F.lit(run.rows).cast("bigint").alias("committed_shuffled"),
+        )
+        .join(F.broadcast(stored))
     )
 
 

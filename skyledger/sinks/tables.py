@@ -54,7 +54,11 @@ def write_run(df: DataFrame, path: str, run_id: str) -> None:
     replaced, so a retried run leaves no duplicates and other runs stay. No shuffle:
     each task adds its files to the run's directory. A run that turns out to have no
     rows touches no directory, so its own is then emptied, after the write has ended.
+    Readers may see files change under them; ``runs.commit_run`` has neither fault. The
+    name becomes a directory's, so it cannot be empty.
     """
+    if not run_id:
+        raise ValueError("a run written as a directory needs a name")
 
     def write(rows: DataFrame) -> None:
         (
