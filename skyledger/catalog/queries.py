@@ -226,16 +226,14 @@ def rows_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     requested = events.count()
     written = tables.counting_rows(events, lambda df: df.write.parquet(path))
     run = runs.commit_run(events.repartition("user_id"), run_path, "shuffled")
-    stored = runs.committed(spark, run_path).agg(F.count(F.lit(1)).alias("stored_shuffled"))
-    return (
-        spark.read.parquet(path)
-        .agg(
-            F.lit(requested).cast("bigint").alias("requested"),
-            F.lit(written).cast("bigint").alias("written"),
-            F.count(F.lit(1)).alias("stored"),
-            F.lit(run.rows).cast("bigint").alias("committed_shuffled"),
-        )
-        .join(F.broadcast(stored))
+    stored = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("stored"))
+    shuffled = runs.committed(spark, run_path).agg(F.count(F.lit(1)).alias("stored_shuffled"))
+    return stored.unionByName(shuffled, allowMissingColumns=True).agg(
+        F.lit(requested).cast("bigint").alias("requested"),
+        F.lit(written).cast("bigint").alias("written"),
+        F.max("stored").alias("stored"),
+        F.lit(run.rows).cast("bigint").alias("committed_shuffled"),
+        F.max("stored_shuffled").alias("stored_shuffled"),
     )
 
 

@@ -46,22 +46,32 @@ def _grid(degrees: int) -> tuple[int, int]:
 def cell_of(latitude: Column, longitude: Column, degrees: int = CELL_DEGREES) -> Column:
     """Number of the grid cell a point lies in; the far edges join the last cells."""
     rows, columns = _grid(degrees)
-    row = F.least(F.floor((latitude + 90) / degrees), F.lit(rows - 1))
-    column = F.least(F.floor((longitude + 180) / degrees), F.lit(columns - 1))
+    row = F.least(F.floor((latitude.cast("double") + 90) / degrees), F.lit(rows - 1))
+    column = F.least(F.floor((longitude.cast("double") + 180) / degrees), F.lit(columns - 1))
     return (row * columns + column).cast("int")
 
 
-def curve_of(latitude: Column, longitude: Column, bits: int = 16) -> Column:
-    """A point's place on a curve through the globe: the bits of both coordinates, in turns."""
-    steps = (1 << bits) - 1
+#: Each byte with its bits moved to twice their places.
+_SPREAD = tuple(sum((byte >> bit & 1) << 2 * bit for bit in range(8)) for byte in range(256))
+
+
+def _spread_bits(value: Column) -> Column:
+    """The low 16 bits of a number, each moved to twice its place, by a table, so that the number is named but twice."""
+    table = F.array(*(F.lit(spread).cast("bigint") for spread in _SPREAD))
+    high, low = F.shiftright(value, 8).cast("int"), value.bitwiseAND(F.lit(255)).cast("int")
+    return F.shiftleft(F.get(table, high), 16).bitwiseOR(F.get(table, low))
+
+
+#: Bits of each coordinate on the curve.
+CURVE_BITS = 16
+
+
+def curve_of(latitude: Column, longitude: Column) -> Column:
+    """A point's place on a curve through the globe: 16 bits of both coordinates, in turns."""
+    steps = (1 << CURVE_BITS) - 1
     x = F.floor((longitude.cast("double") + 180) / 360 * steps)
     y = F.floor((latitude.cast("double") + 90) / 180 * steps)
-    curve = F.lit(0).cast("bigint")
-    for bit in range(bits):
-        for shift, value in ((0, x), (1, y)):
-            one = F.shiftright(value, bit).bitwiseAND(F.lit(1))
-            curve = curve.bitwiseOR(F.shiftleft(one, 2 * bit + shift))
-    return curve
+    return _spread_bits(x).bitwiseOR(F.shiftleft(_spread_bits(y), 1))
 
 
 def cells_in_box(

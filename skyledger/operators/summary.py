@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from skyledger.functions.numbers import rounded_mean, size_text
 
@@ -61,22 +61,78 @@ def data_size(df: DataFrame) -> DataFrame:
     ).withColumn("table_size", size_text(F.col("size_bytes")))
 
 
-def key_check(df: DataFrame, key: str = "id") -> DataFrame:
+#: Bits that one bitmap of Spark holds, and its bytes; bytes of a grouped key in a shuffle, about.
+BITMAP_BITS, BITMAP_BYTES, GROUPED_BYTES = 1 << 15, 1 << 12, 24
+#: Buckets with repeats up to which their numbers are sent to all tasks, 1 MB at most.
+SENT_BUCKETS = 1 << 17
+
+
+def _grouped_keys(keys: DataFrame) -> DataFrame:
+    """Rows and keys by grouping each key."""
+    held = keys.groupBy("key").agg(F.count(F.lit(1)).alias("held"))
+    return held.agg(
+        F.coalesce(F.sum("held"), F.lit(0)).alias("rows"),
+        F.count(F.lit(1)).alias("keys"),
+        F.count_if(F.col("held") > 1).alias("repeated_keys"),
+    )
+
+
+def _bitmapped_keys(keys: DataFrame, sent: int) -> DataFrame:
+    """The same by a bit for each key; only keys of buckets that have more rows than bits are grouped."""
+    number = F.bitmap_bucket_number("key")
+    buckets = (
+        keys.groupBy(number.alias("bucket"))
+        .agg(F.count(F.lit(1)).alias("rows"), F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("key"))).alias("bits"))
+    )
+    single = buckets.where("rows = bits").agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.coalesce(F.sum("bits"), F.lit(0)).alias("keys"), F.lit(0).cast("long").alias("repeated_keys")
+    )
+    several = buckets.where("rows > bits").select("bucket")
+    few = [row["bucket"] for row in several.limit(sent + 1).collect()]
+    if not few:
+        return single
+    if len(few) <= sent:
+        several = F.broadcast(keys.sparkSession.createDataFrame([(b,) for b in few], "bucket long"))
+    return single.unionAll(_grouped_keys(keys.join(several, number == F.col("bucket"), "left_semi")))
+
+
+def key_check(df: DataFrame, key: str = "id", bitmaps: bool | None = None) -> DataFrame:
     """One row: rows, distinct keys, keys held by several rows, rows without a key.
 
-    Stands in for a primary key, which file tables do not enforce. Exact, so each
-    distinct key is shuffled once; repeats are combined in the task first.
+    Stands in for a primary key, which file tables do not enforce, and is exact.
+    Whole-number keys are told by bitmaps where that moves less: each task sends 4 kB
+    for each 32,768 numbers among which it has a key, and only keys of buckets that
+    have more rows than bits are grouped. Otherwise each distinct key is shuffled once;
+    repeats are combined in the task first. A first pass over the keys, which moves two
+    numbers for each task and bucket, tells which moves less; ``bitmaps`` says it instead.
     """
-    repeats = df.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("held"))
-    held, keyed = F.col("held"), F.col("key").isNotNull()
-    return repeats.agg(
-        F.coalesce(F.sum(held), F.lit(0)).alias("rows"),
-        F.count("key").alias("keys"),
-        F.count_if(keyed & (held > 1)).alias("repeated_keys"),
-        F.coalesce(F.sum(F.when(~keyed, held)), F.lit(0)).alias("rows_without_key"),
+    whole = isinstance(df.schema[key].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    if bitmaps and not whole:
+        raise ValueError(f"bitmaps are for whole numbers, and {key} is {df.schema[key].dataType.simpleString()}")
+    named = df.select(F.col(key).alias("key"))
+    keys = named.where("key IS NOT NULL")
+    if whole:
+        keys = keys.select(F.col("key").cast("long"))
+    if bitmaps is None:
+        bitmaps = whole and _bitmaps_are_less(keys)
+    found = _bitmapped_keys(keys, SENT_BUCKETS) if bitmaps else _grouped_keys(keys)
+    without = named.where("key IS NULL").agg(F.count(F.lit(1)).alias("rows_without_key"))
+    total = lambda name: F.coalesce(F.sum(name), F.lit(0)).cast("long")
+    return found.unionByName(without, allowMissingColumns=True).agg(
+        (total("rows") + total("rows_without_key")).alias("rows"),
+        total("keys").alias("keys"),
+        total("repeated_keys").alias("repeated_keys"),
+        total("rows_without_key").alias("rows_without_key"),
     )
 
 
+def _bitmaps_are_less(keys: DataFrame) -> bool:
+    """Whether the bitmaps of all tasks take less than half of what the keys of all rows do."""
+    made = keys.groupBy(F.spark_partition_id().alias("task"), F.bitmap_bucket_number("key").alias("bucket"))
+    told = made.agg(F.count(F.lit(1)).alias("rows")).agg(F.count(F.lit(1)).alias("bitmaps"), F.sum("rows").alias("rows")).first()
+    return told["bitmaps"] * BITMAP_BYTES * 2 < (told["rows"] or 0) * GROUPED_BYTES
+
+
 def profile(df: DataFrame, exact: bool = False) -> DataFrame:
     """Per column: position, type, rows, nulls, distinct values, least and greatest.
 

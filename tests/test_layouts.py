@@ -203,3 +203,56 @@ def test_layouts_replace_in_a_dynamic_session(spark, readings, tmp_path, with_co
     write(readings, str(tmp_path / "t"))
     few = readings.where("id < 10")
     assert write(few, str(tmp_path / "t")).count() == few.count()
+
+
+def test_the_curve_interleaves_the_bits_of_both_coordinates(spark):
+    points = spark.range(200).selectExpr(
+        "CAST(180 * pmod(xxhash64(id, 1), 10001) / 10000 - 90 AS DECIMAL(8,6)) AS la", "CAST(360 * pmod(xxhash64(id, 2), 10001) / 10000 - 180 AS DECIMAL(9,6)) AS lo"
+    )
+    for r in points.withColumn("c", lookups.curve_of(F.col("la"), F.col("lo"))).collect():
+        x, y = int((float(r.lo) + 180) / 360 * 65535), int((float(r.la) + 90) / 180 * 65535)
+        assert r.c == sum((x >> b & 1) << 2 * b | (y >> b & 1) << 2 * b + 1 for b in range(16))
+
+
+def counted_places(spark, curves, ranges):
+    rows = spark.createDataFrame([(0, c) for c in curves], "__cell int, __curve long")
+    return layouts.places(rows, ranges)
+
+
+def test_places_are_cut_finer_where_they_are_crowded(spark):
+    curves = [k * 2_000_003 % (1 << 32) for k in range(1000)] + [5_000_000 + k for k in range(1000)] + [77] * 1000
+    found = counted_places(spark, curves, 10)
+    assert sum(p.rows for p in found) == 3000
+    assert [(p.cell, p.start) for p in found] == sorted((p.cell, p.start) for p in found)
+    assert {p.depth for p in found} == {12, 22, 32}
+    whole = [p for p in found if p.rows > 300]
+    assert [(p.start, p.rows, p.parts) for p in whole] == [(77, 1000, 4)]
+    held = {}
+    for p in found:
+        for k in range(p.first, p.first + p.parts):
+            held[k] = held.get(k, 0) + p.rows / p.parts
+    assert max(held.values()) <= 300 and len(held) <= 2 * 10 + 4 and set(held) == set(range(len(held)))
+
+
+def test_the_place_layout_reads_its_rows_once(spark, readings, tmp_path):
+    """One exchange of whole rows: places are counted from two columns, nothing is sampled."""
+    stored = layouts.partition_by_cell(readings, str(tmp_path / "cells"), ranges=6)
+    assert stored.count() == readings.count()
+    sizes = [r["count"] for r in stored.groupBy("_metadata.file_path").count().collect()]
+    assert max(sizes) <= 2 * 60_000 / 6
+
+
+def test_rows_without_a_place_are_kept(spark, tmp_path):
+    points = spark.sql("SELECT id, IF(id % 2 = 0, CAST(1 AS DECIMAL(8,6)), NULL) AS latitude, CAST(2 AS DECIMAL(9,6)) AS longitude FROM range(10)")
+    stored = layouts.partition_by_cell(points, str(tmp_path / "a"))
+    assert stored.count() == 10 and lookups.by_box(stored, 0, 3, 0, 3).count() == 5
+    assert layouts.partition_by_cell(points.where("id < 0").unionAll(points.where("id = 1")), str(tmp_path / "b")).count() == 1
+
+
+def test_sizes_decide_counts(spark, readings, tmp_path):
+    assert [layouts.buckets_for(n) for n in (0, 64 << 30, (64 << 30) + 1, 1 << 50)] == [16, 16, 17, 1000]
+    assert layouts.stored_bytes(readings) is None and layouts.ranges_for(readings) == 8
+    readings.write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    size = sum(f.stat().st_size for f in (tmp_path / "t").glob("*.parquet"))
+    assert layouts.stored_bytes(stored) == size and layouts.ranges_for(stored) == spark.sparkContext.defaultParallelism

@@ -1,10 +1,13 @@
+from collections import Counter
 from decimal import Decimal
 
 from hypothesis import given, settings, strategies as st
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import functions as F
 import pytest
 
 from skyledger.functions.numbers import rounded_mean, size_text
+from skyledger.operators import summary as summary_module
 from skyledger.operators.summary import data_size, key_check, profile, summary
 
 SHAPE = "event_time timestamp_ntz, temperature decimal(3,1)"
@@ -188,3 +191,59 @@ def test_ties_are_rounded_once_with_wide_sums(spark):
             rounded_mean(F.lit(total).cast("decimal(38,1)"), F.lit(count).cast("bigint")).alias("m")
         ).first()
         assert str(row.m) == mean
+
+
+def keys_by_hand(keys):
+    held = Counter(k for k in keys if k is not None)
+    return (len(keys), len(held), sum(n > 1 for n in held.values()), sum(k is None for k in keys))
+
+
+@pytest.mark.parametrize("bitmaps", [True, False, None])
+@pytest.mark.parametrize("sent", [1 << 17, 0])
+def test_keys_of_all_kinds(spark, monkeypatch, bitmaps, sent):
+    """Negative, null, repeated and far-off keys, by bitmaps or by grouping; buckets with repeats sent or shuffled."""
+    monkeypatch.setattr(summary_module, "SENT_BUCKETS", sent)
+    edges = [-(2**63), 2**63 - 1, 0, -1, 1, 32767, 32768, 32769, -32768, -32769, 65536, 65537]
+    keys = [*range(-100, 40_000, 3), *edges, *edges[:4], None, None, *[7] * 50, *range(90_000, 90_400)]
+    df = spark.createDataFrame([(k,) for k in keys], "id long").repartition(5)
+    assert tuple(key_check(df, bitmaps=bitmaps).first()) == keys_by_hand(keys)
+    assert tuple(key_check(df.limit(0), bitmaps=bitmaps).first()) == (0, 0, 0, 0)
+    assert tuple(key_check(df.where("id IS NULL"), bitmaps=bitmaps).first()) == (2, 0, 0, 2)
+
+
+def test_bitmaps_are_for_whole_numbers(spark):
+    texts = spark.createDataFrame([("a",), ("a",), (None,)], "id string")
+    assert tuple(key_check(texts).first()) == (3, 1, 1, 1)
+    with pytest.raises(ValueError):
+        key_check(texts, bitmaps=True)
+    small = spark.createDataFrame([(1,), (1,), (None,), (-5,)], "id smallint")
+    assert tuple(key_check(small, bitmaps=True).first()) == (4, 2, 1, 1)
+
+
+def written_to_shuffles(spark, action):
+    context = spark.sparkContext._jsc.sc()
+
+    def total():
+        context.listenerBus().waitUntilEmpty(30_000)
+        found = unknown = stage = 0
+        while unknown < 50:
+            try:
+                found += context.statusStore().lastStageAttempt(stage).shuffleWriteBytes()
+            except Py4JJavaError:
+                unknown += 1
+            stage += 1
+        return found
+
+    before = total()
+    action()
+    return total() - before
+
+
+def test_dense_keys_move_less_than_a_tenth(spark, tmp_path):
+    spark.range(0, 3_000_000, 1, 4).write.parquet(str(tmp_path / "t"))
+    dense = spark.read.parquet(str(tmp_path / "t"))
+    assert summary_module._bitmaps_are_less(dense.select(F.col("id").alias("key")))
+    assert not summary_module._bitmaps_are_less(dense.select(F.xxhash64("id").alias("key")))
+    plain = written_to_shuffles(spark, lambda: key_check(dense, bitmaps=False).collect())
+    told = written_to_shuffles(spark, lambda: key_check(dense).collect())
+    assert 0 < told < plain / 10
