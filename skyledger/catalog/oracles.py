@@ -285,6 +285,17 @@ ORACLES: dict[str, str] = {
     f"record_count AS stored_count, true AS all_rows_stored, true AS timed, true AS finalized_within FROM ({_summary('stored', 'event_time', TENTHS, 10)})",
     "schema_listing": SCHEMA_LISTING,
     "reload_idempotent": "SELECT orders.*, run_id FROM orders, (VALUES ('first'), ('')) AS runs(run_id)",
+    "grown_load": f"WITH {_stored(EVENT_IDS)}, "
+    "steps(step, every, fresh) AS (VALUES ('first', false, 'first'), ('second', true, 'second'), ('again', true, '')), "
+    "held AS (SELECT s.step, s.fresh, CASE WHEN id % 3 <> 0 THEN 'first' ELSE 'second' END AS run, r.* "
+    "FROM steps s JOIN stored r ON s.every OR r.id % 3 <> 0) "
+    + " UNION ALL ".join(
+        f"SELECT *, (SELECT count(*) FILTER (run = fresh) FROM held WHERE step = '{step}') AS rows_read, '{step}' AS step FROM "
+        f"({_summary(f'(SELECT * FROM held WHERE step = {step!r})', 'event_time', TENTHS, 10)})"
+        for step in ("first", "second", "again")
+    ),
+    "merged_profile": "SELECT * EXCLUDE (distinct_values), true AS distinct_close, "
+    "CASE WHEN data_type IN ('bigint', 'int', 'double') THEN true END AS median_close FROM (" + COLUMN_PROFILE + ")",
     "rows_written": "SELECT count(*) AS requested, count(*) AS written, count(*) AS stored, "
     "count(*) AS committed_shuffled, count(*) AS stored_shuffled FROM events",
     "csv_source": "SELECT * FROM customer",

@@ -15,11 +15,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from skyledger import schemas
 from skyledger.functions.numbers import rounded_mean, size_text
 from skyledger.functions.times import time_literal
-from skyledger.operators import coerce, lookups
+from skyledger.operators import coerce, lookups, partials
 from skyledger.operators.people import people_counts, with_payload
 from skyledger.operators.summary import SKETCH_ERROR, data_size, key_check, profile, summary
 from skyledger.operators.weather import weather, weather_stored
-from skyledger.plans import load, people, planning, report
+from skyledger.plans import growth, load, people, planning, report
 from skyledger.sinks import layouts, runs, shared, tables
 from skyledger.sources import readers
 
@@ -219,6 +219,56 @@ def reload_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.committed(spark, path)
 
 
+def _events_in_two_runs(spark: SparkSession, sf_dir: str) -> list[tuple[str, DataFrame]]:
+    readings = _plain_times(_event_readings(spark, sf_dir))
+    return [("first", readings.where("id % 3 <> 0")), ("second", readings.where("id % 3 = 0"))]
+
+
+def grown_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table finalized after each of two runs and once more: what it holds, and the rows each step had to read."""
+    path = shared.new_path(spark, "grown")
+    steps = []
+    for name, rows in [*_events_in_two_runs(spark, sf_dir), ("again", None)]:
+        if rows is not None:
+            runs.commit_run(rows, path, name)
+        told = growth.finalize(spark, path).summary().drop("table_size", "size_bytes")
+        steps.append(told.withColumn("step", F.lit(name)))
+    return reduce(DataFrame.unionAll, steps)
+
+
+def merged_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile of line items loaded in three runs, merged from the runs' statistics.
+
+    For distinct values and medians, whether the sketches are within their errors.
+    """
+    path = shared.new_path(spark, "profiled")
+    lines = _read(spark, sf_dir, "lineitem")
+    for part in range(3):
+        runs.commit_run(lines.where(F.col("l_linenumber") % 3 == part), path, f"part {part}")
+        found = growth.finalize(spark, path)
+    told = found.profile()
+    medians = {r["column_name"]: r["median"] for r in told.where("median IS NOT NULL").select("column_name", "median").collect()}
+    ranks = [
+        F.struct(
+            F.lit(name).alias("of"),
+            (
+                (F.count_if(F.col(name) < median) <= F.count(name) * (0.5 + partials.RANK_ERROR))
+                & (F.count_if(F.col(name) <= median) >= F.count(name) * (0.5 - partials.RANK_ERROR))
+            ).alias("median_close"),
+        ).alias(f"m{at}")
+        for at, (name, median) in enumerate(medians.items())
+    ]
+    ranked = lines.agg(*ranks).select(F.inline(F.array(*(f"m{at}" for at in range(len(ranks))))))
+    exact = profile(lines, exact=True).select("column_name", F.col("distinct_values").alias("counted"))
+    near = F.abs(F.col("distinct_values") - F.col("counted")) <= partials.DISTINCT_ERROR * F.col("counted")
+    return (
+        told.join(exact, "column_name")
+        .join(ranked, F.col("column_name") == F.col("of"), "left")
+        .withColumn("distinct_close", near)
+        .drop("of", "median", "distinct_values", "counted")
+    )
+
+
 def rows_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of a plain write, counted on the way, and of a shuffled one, counted in the committed files."""
     path, run_path = shared.new_path(spark, "counted"), shared.new_path(spark, "counted_runs")
@@ -405,6 +455,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "finalized_layouts": finalized_layouts,
     "schema_listing": schema_listing,
     "reload_idempotent": reload_idempotent,
+    "grown_load": grown_load,
+    "merged_profile": merged_profile,
     "rows_written": rows_written,
     "csv_source": csv_source,
     "batch_lookup": batch_lookup,

@@ -93,6 +93,8 @@ def commit_run(df: DataFrame, path: str, run_id: str) -> Run:
         raise ValueError("a run needs a name")
     spark = df.sparkSession
     rows = df.drop(RUN_COLUMN)
+    if {"attempt", _ATTEMPT} & set(rows.columns):
+        raise ValueError(f"columns named attempt or {_ATTEMPT} stand for the folders of runs")
     schema = _nullable(rows.schema)
     before = newest(spark, path)
     if before is not None and before.schema != schema:
@@ -131,23 +133,31 @@ def commits(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame(held, "run_id string, attempt string, rows long, bytes long")
 
 
+def attempts(spark: SparkSession, path: str, state: Commit, some: list[Run]) -> DataFrame:
+    """The rows of some of a state's runs, with the ``attempt`` that wrote them. Only their folders are listed."""
+    if not some:
+        return spark.createDataFrame([], T.StructType([*state.schema.fields, T.StructField("attempt", T.StringType())]))
+    placed = T.StructType([*state.schema.fields, T.StructField(_ATTEMPT, T.StringType())])
+    stored = spark.read.schema(placed).option("basePath", f"{path}/data").parquet(*(folder(path, run.attempt) for run in some))
+    return stored.withColumnRenamed(_ATTEMPT, "attempt")
+
+
 def committed(spark: SparkSession, path: str, run_ids: list[str] | None = None, state: Commit | None = None) -> DataFrame:
     """The rows of all runs, or of those named, with a column ``run_id``.
 
     The files are those of one record, the newest unless a ``state`` read before is
     given; later commits do not change what the frame reads, as long as
-    ``remove_unused`` leaves its folders. Only the named runs' folders are listed.
+    ``remove_unused`` leaves its folders.
     """
     state = state or newest(spark, path)
     if state is None:
         raise ValueError(f"nothing is committed at {path}")
-    runs = [run for run in state.runs if run_ids is None or run.run_id in run_ids]
-    if not runs:
-        return spark.createDataFrame([], state.schema.add(RUN_COLUMN, "string"))
-    placed = T.StructType([*state.schema.fields, T.StructField(_ATTEMPT, T.StringType())])
-    stored = spark.read.schema(placed).option("basePath", f"{path}/data").parquet(*(folder(path, run.attempt) for run in runs))
-    named = spark.createDataFrame([(run.attempt, run.run_id) for run in runs], f"of string, {RUN_COLUMN} string")
-    return stored.join(F.broadcast(named), stored[_ATTEMPT] == named["of"]).select(*state.schema.names, RUN_COLUMN)
+    some = [run for run in state.runs if run_ids is None or run.run_id in run_ids]
+    named = spark.createDataFrame([(run.attempt, run.run_id) for run in some], f"of string, {RUN_COLUMN} string")
+    rows = attempts(spark, path, state, some)
+    return rows.join(F.broadcast(named), rows["attempt"] == named["of"]).select(
+        *(rows[name] for name in state.schema.names), RUN_COLUMN
+    )
 
 
 def remove_unused(spark: SparkSession, path: str, older_than_hours: float = 24.0) -> list[str]:
