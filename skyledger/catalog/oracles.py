@@ -262,11 +262,12 @@ ORACLES: dict[str, str] = {
     "column_profile": COLUMN_PROFILE,
     "column_profile_sketched": f"SELECT * EXCLUDE (distinct_values), true AS distinct_close FROM ({COLUMN_PROFILE})",
     "table_size": "SELECT count(*) AS record_count, true AS sizes_agree, true AS files_agree FROM events",
-    "finalized_layouts": f"WITH {_STORED_LINES}\n"
+    "finalized_layouts": f"WITH {_STORED_LINES},\nfound AS ("
     f"SELECT 'batch' AS lookup, count(*) AS rows, coalesce(sum(id), 0)::BIGINT AS ids FROM stored WHERE batch_id = {q.BATCH} UNION ALL "
     "SELECT 'day', count(*), coalesce(sum(id), 0)::BIGINT FROM stored UNION ALL "
     "SELECT 'cell', count(*), coalesce(sum(id), 0)::BIGINT FROM stored "
-    f"WHERE latitude BETWEEN {_BOX['south']} AND {_BOX['north']} AND longitude BETWEEN {_BOX['west']} AND {_BOX['east']}",
+    f"WHERE latitude BETWEEN {_BOX['south']} AND {_BOX['north']} AND longitude BETWEEN {_BOX['west']} AND {_BOX['east']}) "
+    "SELECT 'chosen' AS counts, * FROM found UNION ALL SELECT 'given', * FROM found WHERE lookup <> 'day'",
     "stored_keys": "SELECT 'load' AS source, count(*) AS rows, count(*) AS keys, 0 AS repeated_keys, "
     "0 AS rows_without_key FROM lineitem UNION ALL "
     "SELECT 'lineitem', CAST(sum(held) AS BIGINT), count(l_orderkey), count(*) FILTER (held > 1 AND l_orderkey IS NOT NULL), "

@@ -181,18 +181,26 @@ def reported_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def finalized_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A load finalized with all layouts, and what a lookup through each of them finds."""
-    table, run = _loaded(spark, sf_dir, "laid_out")
+    """What a lookup through each layout of a load finds, with counts of buckets and ranges as the size asks and as given."""
+    table = f"{shared.new_database(spark, 'laid_out')}.weather_data"
+    rows = _read(spark, sf_dir, "lineitem").count()
     folder = shared.new_path(spark, "layouts")
-    load.finalize(spark, table, run["records_written"], layouts_folder=folder)
+    load.run(spark, rows, table, "small", SEED, LOAD_TIME, layouts_folder=folder)
+    given_folder = shared.new_path(spark, "layouts")
+    given = load.lay_out(spark, table, given_folder, buckets=5, lookups=("cell",), ranges=3)
+    given.by_batch = layouts.bucket_by_batch(spark.table(table), f"{table}_in_five", f"{given_folder}/by_batch", 5)
     found = {
-        "batch": lookups.by_batch(spark.table(f"{table}_by_batch"), BATCH),
-        "day": lookups.by_time(spark.read.parquet(f"{folder}/by_day"), LOAD_TIME, LOAD_TIME + timedelta(hours=1)),
-        "cell": lookups.by_box(spark.read.parquet(f"{folder}/by_cell"), **BOX),
+        ("chosen", "batch"): lookups.by_batch(spark.table(f"{table}_by_batch"), BATCH),
+        ("chosen", "day"): lookups.by_time(spark.read.parquet(f"{folder}/by_day"), LOAD_TIME, LOAD_TIME + timedelta(hours=1)),
+        ("chosen", "cell"): lookups.by_box(spark.read.parquet(f"{folder}/by_cell"), **BOX),
+        ("given", "batch"): lookups.by_batch(given.by_batch, BATCH),
+        ("given", "cell"): lookups.by_box(given.by_cell, **BOX),
     }
     counted = [
-        rows.agg(F.lit(name).alias("lookup"), F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("id"), F.lit(0)).alias("ids"))
-        for name, rows in found.items()
+        rows.agg(
+            F.lit(counts).alias("counts"), F.lit(name).alias("lookup"), F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("id"), F.lit(0)).alias("ids")
+        )
+        for (counts, name), rows in found.items()
     ]
     return reduce(DataFrame.unionAll, counted)
 

@@ -82,16 +82,19 @@ def finalize(
     columns: tuple[str, ...] = LOOKUP_COLUMNS,
     layouts_folder: str | None = None,
     lookups: tuple[str, ...] = ("batch", "day", "cell"),
+    buckets: int | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Lay the table out, refresh its statistics and return its summary as one row.
 
     ``columns`` names those that get column statistics: the ones lookups filter on,
     unless told otherwise. With ``layouts_folder`` the layouts in ``lookups`` are
-    written there, each a copy and a shuffle of the table.
+    written there, each a copy and a shuffle of the table, with the ``buckets`` and
+    ``ranges`` given or as many as the table's size asks for.
     """
     started = time.monotonic()
     if layouts_folder is not None:
-        lay_out(spark, table, layouts_folder, lookups=lookups)
+        lay_out(spark, table, layouts_folder, buckets, lookups, ranges)
     if statistics:
         tables.analyze(spark, table, list(columns))
     row = summary(spark.table(table), with_size=True).first()
@@ -123,14 +126,15 @@ def lay_out(
     spark: SparkSession,
     table: str,
     folder: str,
-    buckets: int = 16,
+    buckets: int | None = None,
     lookups: tuple[str, ...] = ("batch", "day", "cell"),
+    ranges: int | None = None,
 ) -> Layouts:
     """Write the wanted lookup layouts of a table.
 
     Each is a copy and a shuffle of the whole table. The bucketed copy is the table
-    ``<table>_by_batch``. Sixteen buckets suit tables up to some 100 GB; take one per
-    4 GB beyond, up to one per batch (there are 1000 batches).
+    ``<table>_by_batch``. ``buckets`` of it and ``ranges`` of the place layout follow
+    from the sizes of the table's files unless they are given.
     """
     rows = spark.table(table_identifier(table))
     made = Layouts()
@@ -139,7 +143,7 @@ def lay_out(
     if "day" in lookups:
         made.by_day = layouts.partition_by_day(rows, f"{folder}/by_day")
     if "cell" in lookups:
-        made.by_cell = layouts.partition_by_cell(rows, f"{folder}/by_cell")
+        made.by_cell = layouts.partition_by_cell(rows, f"{folder}/by_cell", ranges=ranges)
     return made
 
 
@@ -150,9 +154,13 @@ def run(
     data_size: str = schemas.REQUEST_DEFAULTS["data_size"],
     seed: int = 0,
     load_time: datetime | None = None,
+    layouts_folder: str | None = None,
+    lookups: tuple[str, ...] = ("batch", "day", "cell"),
 ) -> DataFrame:
     """Estimate, load, finalize and report: the whole job for one request, as one row.
 
+    With ``layouts_folder`` the job makes the access paths in ``lookups`` there too.
+
     ``data_size`` sets the estimate that stands next to the report; the session and
     its resources are the caller's. A load that fails is logged and reported, not
     raised; its report has the status of a run with warnings and no statistics.
@@ -163,7 +171,9 @@ def run(
     try:
         loaded = load_weather(spark, num_records, table_name, seed, load_time)
         log |= {key: loaded[key] for key in ("records_written", "elapsed_seconds")}
-        stored = finalize(spark, table_name, loaded["records_written"]).first()
+        stored = finalize(
+            spark, table_name, loaded["records_written"], layouts_folder=layouts_folder, lookups=lookups
+        ).first()
         log |= {
             "status": "success",
             "finalization_seconds": stored["finalization_time_seconds"],

@@ -229,3 +229,19 @@ def test_an_empty_rerun_clears_its_run_and_no_other(spark, tmp_path):
     tables.write_run(spark.range(0), path, "a/b")
     assert [r.run_id for r in spark.read.parquet(path).select("run_id").distinct().collect()] == ["c"]
     assert spark.read.parquet(path).count() == 5
+
+
+def test_the_whole_job_makes_its_access_paths(spark, table, tmp_path):
+    report = run(spark, 3_000, table, seed=2, layouts_folder=str(tmp_path / "paths")).first()
+    assert (report.status, report.final_stats.record_count) == ("completed", 3_000)
+    assert spark.table(f"{table}_by_batch").where("batch_id = 3").count() == 3
+    assert {p.name for p in (tmp_path / "paths").iterdir()} == {"by_batch", "by_day", "by_cell"}
+    assert spark.read.parquet(str(tmp_path / "paths" / "by_cell")).count() == 3_000
+
+
+def test_counts_of_buckets_and_ranges_can_be_given(spark, table, tmp_path):
+    load_weather(spark, 3_000, table, seed=2)
+    finalize(spark, table, 3_000, layouts_folder=str(tmp_path), lookups=("batch", "cell"), buckets=3, ranges=2)
+    described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {table}_by_batch").collect()}
+    assert described["Num Buckets"] == "3"
+    assert len({f.split("part-")[1][:5] for f in spark.read.parquet(str(tmp_path / "by_cell")).inputFiles()}) <= 3
