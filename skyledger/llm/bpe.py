@@ -17,53 +17,49 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from skyledger.llm.pretokens import Splitter, recent_letters
+from skyledger.llm.pretokens import Splitter, is_latin, recent_letters
 
 #: Bytes of text that one round of queries takes.
 _ROUND_BYTES = 1 << 21
 #: Words kept in a partition's database.
 _KEPT = 1 << 18
 #: Words that one recursive query takes; its steps hold some 50 rows a word.
-_FRESH = 1 << 14
+_FRESH = 1 << 15
 #: Longer words take one merge a round for too many rounds; a heap finds the same merges.
 _LONG = 96
 
 # A row is a token with the place and token after it; key is the rank of the two together, then the place.
-_PAIRED = """
+_START = """
 SELECT t.word, t.pos, t.token, t.after, t.next, (m.rank::BIGINT << 32) | t.pos AS key
-FROM ({rows}) t LEFT JOIN merges m ON m.first = t.token AND m.second = t.next
+FROM fresh t LEFT JOIN merges m ON m.first = t.token AND m.second = t.next
 """
 
-_START = _PAIRED.format(rows="FROM fresh")
-
-# of each word: the place of its leftmost pair of least rank, the place that goes, and what follows that
-_STEP = _PAIRED.format(
-    rows="""
+# Of each word: the place of its leftmost pair of least rank, the place that goes, and what follows that. Only the
+# merged token and the one before it meet the merge table again.
+_STEP = """
+SELECT t.word, t.pos, t.token, t.after, t.next, CASE WHEN t.moved THEN (m.rank::BIGINT << 32) | t.pos ELSE t.was END AS key
+FROM (
     SELECT s.word, s.pos,
            CASE WHEN s.pos = b.pos THEN b.rank ELSE s.token END AS token,
            CASE WHEN s.pos = b.pos THEN b.after ELSE s.after END AS after,
-           CASE WHEN s.pos = b.pos THEN b.next WHEN s.after = b.pos THEN b.rank ELSE s.next END AS next
-    FROM {state} s JOIN (
-        SELECT best.word, best.key & 4294967295 AS pos, (best.key >> 32)::INTEGER AS rank, g.pos AS gone, g.after, g.next
-        FROM (SELECT word, min(key) AS key FROM {state} WHERE key IS NOT NULL GROUP BY word) best
-        JOIN {state} l ON l.word = best.word AND l.key = best.key
-        JOIN {state} g ON g.word = l.word AND g.pos = l.after
+           CASE WHEN s.pos = b.pos THEN b.next WHEN s.after = b.pos THEN b.rank ELSE s.next END AS next,
+           s.pos = b.pos OR s.after = b.pos AS moved, s.key AS was
+    FROM steps s JOIN (
+        SELECT best.word, best.key & 4294967295 AS pos, (best.key >> 32)::INTEGER AS rank, best.gone, g.after, g.next
+        FROM (SELECT word, min(key) AS key, arg_min(after, key) AS gone FROM steps WHERE key IS NOT NULL GROUP BY word) best
+        JOIN steps g ON g.word = best.word AND g.pos = best.gone
     ) b ON b.word = s.word
     WHERE s.pos <> b.gone
-    """
-)
+) t LEFT JOIN merges m ON m.first = CASE WHEN t.moved THEN t.token END AND m.second = t.next
+"""
 
+# the newest step of each word is what is left of it
 _CONTRACT = f"""
-CREATE OR REPLACE TEMP TABLE steps AS
 WITH RECURSIVE steps AS (
     SELECT 0 AS step, * FROM ({_START})
     UNION ALL
-    SELECT (SELECT max(step) FROM steps) + 1, * FROM ({_STEP.format(state="steps")})
+    SELECT (SELECT max(step) FROM steps) + 1, * FROM ({_STEP})
 )
-FROM steps
-"""
-
-_CONTRACTED = """
 SELECT word, token
 FROM steps JOIN (SELECT word, max(step) AS step FROM steps GROUP BY word) USING (word, step)
 ORDER BY word, pos
@@ -143,6 +139,9 @@ class Codec:
     """A partition's database, and the words met so far with their ids."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, recent: str, merges: pa.Table):
+        self.known: dict[str, int] = {}
+        self.ids = pa.array([], pa.list_(pa.int32()))
+        self.rounds = np.empty(0, np.int32)  # in how many each known word was used
         self.ranks = ranks
         self.splitter = Splitter(pattern, recent)
         self.by_byte = np.array([ranks.get(bytes([i]), -1) for i in range(256)], np.int32)
@@ -152,7 +151,6 @@ class Codec:
             "vocabulary",
             pa.table({"token": pa.array(ranks.values(), pa.int32()), "hex": pa.array([t.hex() for t in ranks], pa.string())}),
         )
-        self._forget()
 
     def _fill(self, name: str, table: pa.Table):
         self.db.register("incoming", table)
@@ -160,8 +158,13 @@ class Codec:
         self.db.unregister("incoming")
 
     def _forget(self):
-        self.known: dict[str, int] = {}
-        self.ids = pa.array([], pa.list_(pa.int32()))
+        """Keep the half of the words that were used in most rounds, and of these only those used again."""
+        order = np.argsort(-self.rounds, kind="stable")[: _KEPT // 2]
+        kept = np.sort(order[self.rounds[order] > 1])
+        names = list(self.known)
+        self.known = {names[k]: at for at, k in enumerate(kept.tolist())}
+        self.ids = self.ids.take(pa.array(kept))
+        self.rounds = self.rounds[kept]
 
     def _learn(self, words: list[str]):
         """Encode new words, which are numbered from the end of the known ones."""
@@ -194,10 +197,9 @@ class Codec:
                     }
                 ),
             )
-            self.db.execute(_CONTRACT)
-            found = self.db.sql(_CONTRACTED).to_arrow_table()
-            _, counts = np.unique(found["word"].to_numpy(), return_counts=True)
-            offsets = pa.array(np.append(0, np.cumsum(counts)), pa.int32())
+            found = self.db.sql(_CONTRACT).to_arrow_table()
+            word = found["word"].to_numpy()
+            offsets = pa.array(np.append(np.flatnonzero(np.diff(word, prepend=-1)), len(word)), pa.int32())
             lists = pa.ListArray.from_arrays(offsets, found["token"].combine_chunks().cast(pa.int32()))
             made = pa.concat_arrays([made, lists])
         order = np.argsort(np.array(done + numbers, np.int64))
@@ -205,7 +207,7 @@ class Codec:
 
     def _pieces(self, text: str) -> list[str]:
         pieces = self.splitter.find(text)
-        if not text.isascii() and any(map(self.splitter.recent, set(pieces).difference(self.known))):
+        if not is_latin(text) and any(map(self.splitter.recent, set(pieces).difference(self.known))):
             pieces = self.splitter.by_library(text)
         return pieces
 
@@ -222,6 +224,9 @@ class Codec:
             uses.append(np.fromiter(map(known.__getitem__, pieces), np.int32, len(pieces)))
         for at in range(0, len(fresh), _FRESH):
             self._learn(fresh[at : at + _FRESH])
+        self.rounds = np.concatenate((self.rounds, np.zeros(len(fresh), np.int32)))
+        if uses:
+            self.rounds[np.unique(np.concatenate(uses))] += 1
         return [self.ids.take(pa.array(use)).flatten().to_numpy() for use in uses]
 
     def decode(self, ids: list[np.ndarray]) -> list[bytes]:

@@ -2,12 +2,15 @@
 
 import hashlib
 
+from hypothesis import given, settings, strategies as st
 import numpy as np
 import public_tokenizers
+import regex
 import tiktoken
 from tokenizers import Tokenizer
 
 from skyledger.llm import bpe, packing, tokencount
+from skyledger.llm.pretokens import PATTERN, Splitter, latin_pattern
 from tests.llm.helpers import ODD_TEXTS, SF, odd_documents
 
 RANKS = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
@@ -89,3 +92,31 @@ def test_best_fit_decreasing():
             else:
                 room.append(length - size)
         assert sorted(length - sum(sizes[s] for s in row) for row in rows) == sorted(room)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(st.characters(max_codepoint=255)) | st.text(alphabet=" \t\n\x1c\x85\xa0'sdtmrevl²½ªé.aZ9"))
+def test_latin_texts_split_alike(text):
+    """The classes written out find what the Unicode classes find."""
+    splitter = Splitter()
+    assert splitter._find_latin is not splitter._find
+    assert splitter.find(text) == regex.findall(PATTERN, text)
+
+
+def test_patterns_with_other_classes_are_left_as_they_are():
+    assert latin_pattern(r"\p{Lu}+|\s") is None and latin_pattern(r"\w+") is None
+    assert Splitter(r"\w+")._find_latin is Splitter(r"\w+")._find or Splitter(r"\w+").find("ab c") == ["ab", "c"]
+
+
+def test_words_used_again_are_kept(monkeypatch):
+    """A memory that overflows forgets words that were used in one round, and encodes alike."""
+    monkeypatch.setattr(bpe, "_KEPT", 300)
+    codec = bpe.Codec(*bpe.tables(bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), PATTERN))
+    fresh = bpe.Codec(*bpe.tables(bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), PATTERN))
+    for k in range(8):
+        name = lambda i: "qzx"[i % 3] + "abcdefghij"[i // 10] + "klmnopqrst"[i % 10]
+        texts = [" ".join(f"often{name(i)}" for i in range(60)), " ".join(f"seldom{name(k)}{name(i)}" for i in range(90))]
+        got = codec.encode(texts)
+        assert [x.tolist() for x in got] == [fresh.encode([t])[0].tolist() for t in texts]
+        assert [d.decode() for d in codec.decode(got)] == texts
+    assert f" often{name(7)}" in codec.known and f" seldom{name(0)}{name(7)}" not in codec.known and len(codec.known) < 600
