@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from skyledger.llm.settle import released, settled
+from skyledger.llm.settle import first_row, released, settled
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -39,7 +39,7 @@ def components(links: DataFrame, left: str, right: str) -> DataFrame:
     )
     seen = None
     while True:
-        mark = now.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
+        mark = first_row(now.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))))
         if mark == seen or mark[0] == 0:
             out = settled(
                 now.select(F.col("hi").alias("node"), F.col("lo").alias("component")).union(now.select("lo", "lo").distinct())

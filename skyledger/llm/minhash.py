@@ -18,7 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from skyledger.llm.settle import released, sent_if_small, settled
+from skyledger.llm.settle import fetched, released, sent_if_small, settled
 from skyledger.llm.shingles import WordHashes, mixed, shingle_hashes, word_hashes
 from skyledger.llm.nodes import joined_ids, named_classes
 from skyledger.llm.stars import across, joined_by_stars
@@ -141,7 +141,7 @@ def _prefixes(sets: DataFrame, homes: DataFrame, percent: int) -> DataFrame:
     asked = settled(sets.join(homes, "id").select("id", "component", "shingles"))
     slot = F.col("shingle").bitwiseAND(F.lit(SLOTS - 1)).cast("int")
     counted = asked.select(F.explode("shingles").alias("shingle")).groupBy(slot.alias("slot")).agg(F.count("*").alias("n"))
-    found = counted.toArrow()  # SLOTS rows at most
+    found = fetched(counted)  # SLOTS rows at most
     counts = np.zeros(SLOTS, np.int64)
     counts[found["slot"].to_numpy()] = found["n"].to_numpy()
     shared = sets.sparkSession.sparkContext.broadcast(counts)

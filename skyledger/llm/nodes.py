@@ -4,7 +4,7 @@ from itertools import count
 
 from pyspark.sql import DataFrame, functions as F
 
-from skyledger.llm.settle import released, settled
+from skyledger.llm.settle import is_empty, released, settled
 
 
 #: Parts into which the rows of one class are dealt when they meet it.
@@ -34,7 +34,7 @@ def named_classes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
             F.col("h1").alias("o1"), F.col("h2").alias("o2")
         )
     )
-    if others.isEmpty():
+    if is_empty(others):
         released(others)
         links = met_by_class(rows, grouped.where("copies > 1").select("node", "h1", "h2"))
         return grouped, links.select(F.col("node").alias("a"), F.col("id").alias("b"))
@@ -42,7 +42,7 @@ def named_classes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         named = others.withColumn("name", F.xxhash64("o1", "o2", F.lit(seed)))
         twice = named.groupBy("name").count().where("count > 1")
         taken = rows.join(named, F.col("id") == F.col("name"), "left_semi")
-        if twice.isEmpty() and taken.isEmpty():
+        if is_empty(twice) and is_empty(taken):
             break
     classes = settled(
         grouped.join(named, (F.col("h1") == F.col("o1")) & (F.col("h2") == F.col("o2")), "left").select(
@@ -57,7 +57,7 @@ def named_classes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 def joined_ids(reached: DataFrame, classes: DataFrame) -> DataFrame:
     """``reached`` (node, component), settled, without names that are no ids: a component's is its least id."""
     extra = classes.where("node <> first").select(F.col("node").alias("name"))
-    if extra.isEmpty():
+    if is_empty(extra):
         return reached
     ids = reached.join(extra, F.col("node") == F.col("name"), "left_anti")
     least = ids.groupBy(F.col("component").alias("of")).agg(F.min("node").alias("least"))

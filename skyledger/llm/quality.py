@@ -10,7 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from skyledger.llm.settle import settled
+from skyledger.llm.settle import is_empty, is_small, settled
 
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]+"
@@ -93,7 +93,7 @@ def _vector() -> dict[str, Column]:
 
 def _sent(df: DataFrame) -> DataFrame:
     """``df`` marked for broadcast if it is small enough to be."""
-    return F.broadcast(df) if df.limit(SENT_GROUPS + 1).count() <= SENT_GROUPS else df
+    return F.broadcast(df) if is_small(df, SENT_GROUPS) else df
 
 
 def _consistency(share: Column) -> Column:
@@ -194,7 +194,7 @@ def estimates(rows: DataFrame) -> DataFrame:
         now = settled(
             stepped.join(before, F.col("__group") == F.col("__of")).where(F.col("__det") < F.col("__was") - FALL).drop("__of", "__was")
         )
-        if now.isEmpty():
+        if is_empty(now):
             return best
         best = settled(best.join(now, "__group", "left_anti").unionByName(now))
 
@@ -214,7 +214,7 @@ def _judged(measured: DataFrame, fitted: DataFrame) -> DataFrame:
     sizes = settled(fitted.groupBy("__own", "__pool").agg(F.count("*").alias("n")))
     pools = settled(sizes.groupBy("__pool").agg(F.sum("n").alias("total"), F.min("n").alias("least")).withColumnRenamed("__pool", "of"))
     own, pool = F.col("n") >= LEAST_ROWS, F.col("total") >= LEAST_ROWS
-    everyone = F.lit("*" if not pools.where(~pool).isEmpty() else None)
+    everyone = F.lit("*" if not is_empty(pools.where(~pool)) else None)
     levels = settled(
         sizes.join(pools, sizes["__pool"] == pools["of"]).select(
             F.col("__own").alias("__named"),

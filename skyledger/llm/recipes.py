@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 import xxhash
 
-from skyledger.llm.settle import settled
+from skyledger.llm.settle import is_empty, settled
 from skyledger.llm.shingles import mixed
 
 #: A chunk ends where the rolling hash of the last 32 bytes has no bit of MASK, but not before LEAST bytes and by MOST.
@@ -191,7 +191,7 @@ def _identified(found: DataFrame) -> DataFrame:
     several = found.where("variant IS NOT NULL").select(
         *(F.col(c).alias(f"v_{c}") for c in ("part", "h1", "h2", "k")), "variant"
     )
-    if several.isEmpty():
+    if is_empty(several):
         first = F.transform("recipe", lambda c: F.struct(c["h1"].alias("h1"), c["h2"].alias("h2"), F.lit(0).alias("v")))
         return texts.select("id", "text_sha256", first.alias("chunks"))
     # chunks of one hash differ somewhere: each entry looks up its variant

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from skyledger.llm.settle import settled
+from skyledger.llm.settle import fetched, first_row, is_empty, settled
 from skyledger.llm.shingles import mixed
 
 LEAST_CHARS, LEAST_COUNT = 6, 5
@@ -132,15 +132,15 @@ def _gram_counter(longest: int):
 
 def gram_dictionary(vocabulary: DataFrame, longest: int) -> tuple[np.ndarray, np.ndarray]:
     """Codes of frequent grams in order, and how often each occurs in the words: DICTIONARY at most."""
-    total = vocabulary.agg(F.sum(F.octet_length("word"))).first()[0] or 0
+    total = first_row(vocabulary.agg(F.sum(F.octet_length("word"))))[0] or 0
     over = max(FREQUENT, -(-total * (longest - SHORTEST + 1) // DICTIONARY))
-    found = (
+    # fewer than DICTIONARY rows, as these occur more than total / DICTIONARY times each
+    found = fetched(
         vocabulary.select("word")
         .mapInArrow(_gram_counter(longest), "gram long, n long")
         .groupBy("gram")
         .agg(F.sum("n").alias("n"))
         .where(F.col("n") > over)
-        .toArrow()  # fewer than DICTIONARY rows, as these occur more than total / DICTIONARY times each
     )
     grams, n = found["gram"].to_numpy(), found["n"].to_numpy()
     order = np.argsort(grams)
@@ -392,7 +392,7 @@ def _roots(forms: DataFrame) -> DataFrame:
     while True:
         then = now.select(F.col("word").alias("via"), F.col("root").alias("further"))
         moved = settled(now.join(then, F.col("root") == F.col("via"), "left").select("word", "root", "further"))
-        if moved.where("further IS NOT NULL").isEmpty():
+        if is_empty(moved.where("further IS NOT NULL")):
             return now
         now = moved.select("word", F.coalesce("further", "root").alias("root"))
 

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from skyledger.llm.components import components
-from skyledger.llm.settle import released, settled
+from skyledger.llm.settle import is_empty, released, settled
 
 #: Hubs that a bucket with several components proposes in each round after the first.
 HUBS = 4
@@ -155,7 +155,7 @@ def joined_by_stars(
         pairs = settled(pairs)
         found = confirm(pairs, candidates, False)
         rounds.append(pairs)
-        if not found.isEmpty():
+        if not is_empty(found):
             reached = grown(found)
             turn += 1
             continue
@@ -167,14 +167,14 @@ def joined_by_stars(
             .select("of")
         )
         left = settled(placed.join(spread, placed["bucket"] == spread["of"]).drop("of"))
-        if not left.isEmpty():
+        if not is_empty(left):
             tested = reduce(DataFrame.union, rounds)
             linked = rest(left)
             pairs = settled(linked.join(tested, ["a", "b"], "left_anti"))
             released(linked)
             rounds.append(pairs)
             found = confirm(pairs, candidates, True)
-            if not found.isEmpty():
+            if not is_empty(found):
                 reached = grown(found)
         released(shared, candidates, left, *rounds)
         return reached

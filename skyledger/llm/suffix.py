@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from skyledger.llm.settle import settled
+from skyledger.llm.settle import is_empty, is_small, settled
 from skyledger.llm.shingles import mixed
 
 LIMIT = 100
@@ -391,9 +391,9 @@ def _documents(docs: DataFrame, id_col: str, text_col: str) -> Documents:
     text = F.coalesce(F.col(text_col), F.lit(""))
     hashed = docs.select(key.alias("key"), text.alias("text"))
     repeated = settled(hashed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select(F.col("key").alias("__again")))
-    if repeated.isEmpty():
+    if is_empty(repeated):
         return Documents(docs.withColumns({"__key": key, "__tie": F.lit(0).cast("long")}), None)
-    few = repeated.limit(SENT + 1).count() <= SENT
+    few = is_small(repeated, SENT)
     sent = F.broadcast(repeated) if few else repeated
     for seed in count():
         tie = F.xxhash64(F.lit(seed), text)
@@ -401,7 +401,7 @@ def _documents(docs: DataFrame, id_col: str, text_col: str) -> Documents:
             "key", F.xxhash64(F.lit(seed), "text").alias("tie"), F.xxhash64(F.lit("other"), F.lit(seed), "text").alias("other")
         )
         named = settled(told.groupBy("key", "tie").agg(F.count("*").alias("n"), F.min("other").alias("low"), F.max("other").alias("high")))
-        if named.where("low <> high").isEmpty():
+        if is_empty(named.where("low <> high")):
             break
     copies = named.where("n > 1").select(F.col("key").alias("__c_key"), F.col("tie").alias("__c_tie"))
     if few:
@@ -409,7 +409,7 @@ def _documents(docs: DataFrame, id_col: str, text_col: str) -> Documents:
         rows = rows.withColumn("__tie", F.when(F.col("__again").isNotNull(), tie).otherwise(F.lit(0))).drop("__again")
     else:
         rows = docs.withColumns({"__key": key, "__tie": tie})
-    return Documents(rows, None if copies.isEmpty() else copies)
+    return Documents(rows, None if is_empty(copies) else copies)
 
 
 def _spans(found: Documents, text_col: str, limit: int) -> DataFrame:
