@@ -4,7 +4,7 @@ Template: ``<|im_start|>`` role newline texts ``<|im_end|>`` newline for each ru
 of turns of one role; the texts of a run are parted by ``<|im_sep|>``.
 """
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 START, SEP, END, NEWLINE = "<|im_start|>", "<|im_sep|>", "<|im_end|>", "<|nl|>"
 ASSISTANT = "assistant"
@@ -29,23 +29,6 @@ def _role_unescaped(role: Column) -> Column:
     return unescaped(F.replace(role, F.lit(NEWLINE), F.lit("\n")))
 
 
-def _runs(turns: Column) -> Column:
-    """Adjacent turns of one role merged: role and texts of each run, in one pass over the array."""
-    opens = F.filter(
-        F.sequence(F.lit(1), F.size(turns)),
-        lambda i: (i == 1) | (F.get(turns, i - 1)["role"] != F.get(turns, i - 2)["role"]),
-    )
-    return F.transform(
-        opens,
-        lambda i, k: F.struct(
-            F.get(turns, i - 1)["role"].alias("role"),
-            F.transform(
-                F.slice(turns, i, F.coalesce(F.get(opens, k + 1), F.size(turns) + 1) - i), lambda t: t["text"]
-            ).alias("texts"),
-        ),
-    )
-
-
 def formatted(
     conversations: DataFrame,
     id_col: str = "conv_id",
@@ -63,48 +46,31 @@ def formatted(
     looked at. Roles and texts are escaped and measured before the shuffle.
     """
     rows = conversations.select(
-        F.col(id_col).alias(id_col),
-        F.struct(
-            F.col(turn_col).alias("turn"),
-            _role_escaped(F.coalesce(F.col(role_col).cast("string"), F.lit(""))).alias("role"),
-            escaped(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("text"),
-        ).alias("t"),
+        F.col(id_col).alias("id"),
+        F.col(turn_col).alias("turn"),
+        _role_escaped(F.coalesce(F.col(role_col).cast("string"), F.lit(""))).alias("role"),
+        escaped(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("text"),
     )
-    runs = rows.groupBy(id_col).agg(F.sort_array(F.collect_list("t")).alias("turns")).select(
-        id_col, _runs(F.col("turns")).alias("runs")
-    )
-    head = lambda r: F.concat(F.lit(START), r["role"], F.lit("\n"))
-    body = lambda r: F.array_join(r["texts"], SEP)
-    blocks = F.transform("runs", lambda r: F.concat(head(r), body(r), F.lit(END + "\n")))
-    # where each run starts, then where each assistant text does
-    lengths = F.transform("blocks", lambda b: F.length(b))
-    begins = F.aggregate(
-        lengths,
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("all")),
-        lambda a, n: F.struct((a["at"] + n).alias("at"), F.array_append(a["all"], a["at"]).alias("all")),
-        lambda a: a["all"],
+    # each turn's part of the text and where it starts, so that nothing is added up inside a conversation's row
+    order = Window.partitionBy("id").orderBy("turn", "role", "text")
+    opens = ~F.lag("role").over(order).eqNullSafe(F.col("role"))
+    closes = ~F.lead("role").over(order).eqNullSafe(F.col("role"))
+    before = F.coalesce(F.sum(F.length("part")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = (
+        rows.withColumns({"opens": opens, "closes": closes})
+        .withColumn("head", F.when(F.col("opens"), F.concat(F.lit(START), "role", F.lit("\n"))).otherwise(F.lit(SEP)))
+        .withColumn("part", F.concat("head", "text", F.when(F.col("closes"), END + "\n").otherwise("")))
+        .withColumn("at", before)
     )
-
-    def spans(r: Column, k: Column) -> Column:
-        first = F.get(F.col("begins"), k) + F.length(head(r))
-        placed = F.aggregate(
-            r["texts"],
-            F.struct(first.alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("all")),
-            lambda a, t: F.struct(
-                (a["at"] + F.length(t) + len(SEP)).alias("at"),
-                F.array_append(a["all"], F.struct(a["at"].alias("start"), F.length(t).alias("length"))).alias("all"),
-            ),
-            lambda a: a["all"],
-        )
-        return F.when(r["role"] == ASSISTANT, placed).otherwise(F.array().cast("array<struct<start:int,length:int>>"))
-
+    span = F.struct((F.col("at") + F.length("head")).cast("int").alias("start"), F.length("text").alias("length"))
+    told = F.struct("at", "part", F.when(F.col("role") == ASSISTANT, span).alias("span"))
     return (
-        runs.withColumn("blocks", blocks)
-        .withColumn("begins", begins)
+        parts.groupBy("id")
+        .agg(F.sort_array(F.collect_list(told)).alias("told"))
         .select(
-            id_col,
-            F.array_join("blocks", "").alias("formatted"),
-            F.flatten(F.transform("runs", spans)).alias("loss_spans"),
+            F.col("id").alias(id_col),
+            F.array_join(F.transform("told", lambda t: t["part"]), "").alias("formatted"),
+            F.array_compact(F.transform("told", lambda t: t["span"])).alias("loss_spans"),
         )
     )
 
@@ -124,8 +90,16 @@ def turns_of(text: Column) -> Column:
 
 
 def loss_text(text: Column, spans: Column) -> Column:
-    """All text under the loss mask, unescaped: each assistant text once, in order, nothing between."""
-    return F.array_join(F.transform(spans, lambda s: unescaped(F.substr(text, s["start"] + 1, s["length"]))), "")
+    """All text under the loss mask, unescaped: each assistant text once, in order, nothing between.
+
+    Spans are cut out of four bytes a code point, where a place is found without counting
+    up to it. A letter before each keeps a mark at its start from being read as a byte order.
+    """
+    first = F.encode(F.lit("x"), "UTF-32")
+    cut = lambda wide, s: F.concat(first, F.substr(wide, s["start"] * 4 + 1, s["length"] * 4))
+    plain = lambda wide, s: unescaped(F.substr(F.decode(cut(wide, s), "UTF-32"), F.lit(2)))
+    joined = lambda wide: F.array_join(F.transform(spans, lambda s: plain(wide, s)), "")
+    return F.get(F.transform(F.array(F.encode(text, "UTF-32")), joined), F.lit(0))
 
 
 def read_back(made: DataFrame, id_col: str = "conv_id") -> DataFrame:

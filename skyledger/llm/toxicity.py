@@ -17,8 +17,6 @@ from skyledger.llm.shingles import WordHashes, mixed
 BITS = 20
 #: Labelled rows that learning takes, of each label, those first in a hashed order. Rows, not a share: memory is bounded.
 SAMPLE = 4000
-#: Features of a learning row, the first in hashed order; scoring takes all of a text.
-LEARNED = 1 << 14
 EPOCHS = 6
 #: With L1 at the number of epochs, a feature of one row alone never gets a weight.
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 6.0, 1.0
@@ -43,8 +41,24 @@ def features(text: str | None, cache: WordHashes) -> np.ndarray:
     return (np.concatenate(parts) >> np.uint64(64 - BITS)).astype(np.int32)
 
 
-def learned(rows: list[tuple[np.ndarray, int]], epochs: int = EPOCHS) -> tuple[np.ndarray, float]:
-    """Weights and bias by FTRL-proximal: z and n for each coordinate, weights made on demand."""
+def packed(buckets: np.ndarray) -> bytes:
+    """Distinct buckets in order, as numbers of four bytes or, where that is less, a bit for each bucket: 2 ** (BITS - 3) bytes at most."""
+    if 4 * len(buckets) < 1 << BITS - 3:
+        return buckets.astype("<i4").tobytes()
+    bits = np.zeros(1 << BITS, np.uint8)
+    bits[buckets] = 1
+    return np.packbits(bits).tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    """The inverse of ``packed``."""
+    if len(data) < 1 << BITS - 3:
+        return np.frombuffer(data, "<i4")
+    return np.flatnonzero(np.unpackbits(np.frombuffer(data, np.uint8))).astype(np.int32)
+
+
+def learned(rows: list[tuple[bytes, int]], epochs: int = EPOCHS) -> tuple[np.ndarray, float]:
+    """Weights and bias by FTRL-proximal over rows (packed buckets, label): z and n for each coordinate, weights made on demand."""
     z = np.zeros(1 << BITS)
     n = np.zeros(1 << BITS)
     z0 = n0 = 0.0
@@ -56,7 +70,8 @@ def learned(rows: list[tuple[np.ndarray, int]], epochs: int = EPOCHS) -> tuple[n
     order = np.random.default_rng(7)
     for _ in range(epochs):
         for i in order.permutation(len(rows)):
-            at, label = rows[i]
+            data, label = rows[i]
+            at = unpacked(data)
             w = weights(z[at], n[at])
             bias = -z0 / ((BETA + n0**0.5) / ALPHA)
             p = 1 / (1 + np.exp(-np.clip(w.sum() + bias, -35, 35)))
@@ -75,9 +90,11 @@ def train(
     """The model as rows (bucket, weight) with weights other than zero; bucket -1 is the bias.
 
     Learning takes up to ``sample`` rows of each label outside the held-out
-    fold, the first by a hash of the id. Features are made where the rows are;
-    only their buckets meet. Null ids, null labels and labels without a document
-    are left out. Without rows the model is empty and all scores are a half.
+    fold, the first by a hash of the id, with all their features. Features are made
+    where the rows are; only their buckets meet, 128 kB a row at most. Of rows that
+    repeat an id one is learnt, the first by its buckets. Null ids, null labels and
+    labels without a document are left out. Without rows the model is empty and all
+    scores are a half.
     """
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).select(
         F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")
@@ -90,19 +107,12 @@ def train(
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
         for batch in batches:
-            sets = [np.unique(features(t.as_py(), cache)) for t in batch.column(1)]
-            sets = [s[np.argsort(mixed(s.astype(np.uint64)))[:LEARNED]] for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(sets, pa.list_(pa.int32()))], ["id", "label", "buckets"]
-            )
+            sets = [packed(np.unique(features(t.as_py(), cache))) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(sets, pa.binary())], ["id", "label", "buckets"])
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [
-            (doc, label, buckets.values.to_numpy())
-            for batch in batches
-            for doc, label, buckets in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2))
-        ]
-        rows.sort(key=lambda r: (r[0], len(r[2]), r[2].tobytes()))
+        rows = [row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns))]
+        rows.sort()
         w, bias = learned([(b, y) for _, y, b in rows]) if rows else (np.zeros(0, np.float32), 0.0)
         kept = np.flatnonzero(w)
         yield pa.RecordBatch.from_arrays(
@@ -113,7 +123,9 @@ def train(
     return (
         texts.join(F.broadcast(chosen), texts["doc"] == chosen["id"])
         .select("doc", "text", "label")
-        .mapInArrow(made, "id long, label int, buckets array<int>")
+        .mapInArrow(made, "id long, label int, buckets binary")
+        .groupBy("id", "label")
+        .agg(F.min("buckets").alias("buckets"))
         .repartition(1)
         .mapInArrow(fit, "bucket int, weight double")
     )

@@ -1,4 +1,5 @@
 import hashlib
+import time
 
 from pyspark.sql import functions as F
 
@@ -15,6 +16,10 @@ CONVERSATIONS = [
     (3, 1, "assistant", "only <"),
     (3, 1, "assistant", "only <"),
     (None, 0, "sys\n<|tem", "| x"),
+    (4, 0, "assistant", "\ufeffmarked \U0001f600"),
+    (4, 1, "assistant", "\ufeff"),
+    (4, 2, "user", "\ufeff<"),
+    (4, 3, "assistant", "|>"),
 ]
 
 
@@ -29,7 +34,7 @@ def test_everything_is_read_back(spark):
     df = spark.createDataFrame(CONVERSATIONS, "conv_id long, turn long, role string, text string").withColumn("turns", F.lit(1))
     made = chat.formatted(df)
     got = {r.conv_id: tuple(r)[1:5] for r in chat.read_back(made).collect()}
-    assert got == {c: digest([r for r in CONVERSATIONS if r[0] == c]) for c in (1, 2, 3, None)}
+    assert got == {c: digest([r for r in CONVERSATIONS if r[0] == c]) for c in (1, 2, 3, 4, None)}
 
 
 def test_adjacent_turns_of_one_role_are_merged(spark):
@@ -48,3 +53,13 @@ def test_no_rows(spark):
 def test_native(spark):
     df = spark.createDataFrame(CONVERSATIONS, "conv_id long, turn long, role string, text string")
     assert "Python" not in chat.read_back(chat.formatted(df))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_long_conversation(spark):
+    """Nothing is built turn by turn: 40,000 turns of one conversation take seconds, read back as well."""
+    told = spark.range(40_000).selectExpr("7L AS conv_id", "id AS turn", "IF(id % 3 = 0, 'assistant', 'user') AS role", "repeat(concat('é', id, ' '), 5) AS text")
+    started = time.monotonic()
+    got = chat.read_back(chat.formatted(told)).first()
+    assert time.monotonic() - started < 60
+    rows = [(7, k, "user" if k % 3 else "assistant", f"é{k} " * 5) for k in range(40_000)]
+    assert (got.n_turns, got.turns_sha256, got.loss_chars, got.loss_sha256) == digest(rows)

@@ -3,11 +3,13 @@
 from collections import defaultdict
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 import pytest
 
 import corpus_pipeline
 from skyledger.llm import mixing, quality, toxicity
+from skyledger.llm.shingles import WordHashes
 from tests.llm.helpers import SF, odd_documents, statistics_by_hand
 
 
@@ -202,3 +204,58 @@ def test_pipeline(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "near_dedup", "suffix_dedup", "source_mix", "bpe_tokens"]
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, SF).columns == docs.columns
+
+
+def test_features_of_long_documents_are_all_learnt(spark):
+    """A toxic word among 30,000 features counts, wherever its hash lies; a repeated id is learnt once."""
+    words = [f"w{k}" for k in range(7_500)]
+    make = random.Random(3)
+    rows = []
+    for i in range(40):
+        held = make.sample(words, 7_500)
+        if i % 2:
+            held[make.randrange(7_500)] = "venomous"
+        rows.append((i, " ".join(held)))
+    docs = spark.createDataFrame(rows + rows[:3], "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int"))
+    weights = {r.bucket: r.weight for r in model.collect()}
+    found = toxicity.features("venomous", WordHashes())[:1]
+    assert weights[int(found[0])] > 0
+    score = {r.doc_id: r.score for r in toxicity.scored(docs, model).collect()}
+    assert min(score[i] for i in range(40) if i % 2) > max(score[i] for i in range(40) if not i % 2)
+
+
+def test_packed_buckets():
+    for n in (0, 1, 32_767, 32_768, 200_000):
+        buckets = np.sort(np.random.default_rng(n).choice(1 << toxicity.BITS, n, replace=False)).astype(np.int32)
+        data = toxicity.packed(buckets)
+        assert len(data) <= 1 << toxicity.BITS - 3 and toxicity.unpacked(data).tolist() == buckets.tolist()
+
+
+def test_learning_is_ftrl_proximal():
+    """Against the published per-coordinate rule, written out for one coordinate at a time."""
+    draw = np.random.default_rng(5)
+    rows = [(np.sort(draw.choice(50, 6, replace=False)).astype(np.int32), int(draw.random() < 0.4)) for _ in range(60)]
+    rows = [(b, int(y or 3 in b)) for b, y in rows]
+    weights, bias = toxicity.learned([(toxicity.packed(b), y) for b, y in rows], epochs=9)
+    z, n, z0, n0 = [0.0] * 50, [0.0] * 50, 0.0, 0.0
+
+    def weight(i):
+        if abs(z[i]) <= toxicity.L1:
+            return 0.0
+        return (np.sign(z[i]) * toxicity.L1 - z[i]) / ((toxicity.BETA + n[i] ** 0.5) / toxicity.ALPHA + toxicity.L2)
+
+    order = np.random.default_rng(7)
+    for _ in range(9):
+        for k in order.permutation(len(rows)):
+            at, y = rows[k]
+            b = -z0 / ((toxicity.BETA + n0**0.5) / toxicity.ALPHA)
+            g = 1 / (1 + np.exp(-(sum(weight(i) for i in at) + b))) - y
+            for i in at:
+                step = ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / toxicity.ALPHA
+                z[i] += g - step * weight(i)
+                n[i] += g * g
+            z0 += g - ((n0 + g * g) ** 0.5 - n0**0.5) / toxicity.ALPHA * b
+            n0 += g * g
+    assert np.allclose(weights[:50], [weight(i) for i in range(50)], atol=1e-6) and np.count_nonzero(weights) > 0
+    assert abs(bias + z0 / ((toxicity.BETA + n0**0.5) / toxicity.ALPHA)) < 1e-9
