@@ -4,9 +4,10 @@
    are summed before the shuffle, so a source of any size costs its blocks.
 2. Targets: the wanted total is shared by weight; a target stops at
    ``most`` times its source's size and the excess is shared again.
-3. A source's blocks, in hashed order, are drawn pass after pass until its
-   target is met; the last block gives the documents, in hashed order, that
-   still fit. So every source has an exact quota of blocks.
+3. A source's blocks, in hashed order, are drawn pass after pass until one does
+   not fit whole. What is missing then is filled from the documents not yet taken
+   in this pass, those of the largest size that fits first, so that in the end
+   none is left that fits. So every source has an exact quota of blocks.
 4. A splitting tree deals the quotas to output shards: at each node, the blocks
    of each source that go left are drawn from the multivariate hypergeometric
    distribution, one source after another.
@@ -18,7 +19,7 @@ All draws are hashes of ids and a seed, so reruns agree.
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from skyledger.llm.settle import settled
+from skyledger.llm.settle import first_row, settled
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -154,6 +155,44 @@ def split_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
     return settled(nodes).select(F.col("node").alias("shard"), F.inline("counts")).where("n > 0").select("source", "shard", F.col("n").alias("blocks"))
 
 
+_FILLING = "struct<room:double,taken:array<struct<weight:bigint,k:bigint>>>"
+
+
+def _filled(sizes: DataFrame) -> DataFrame:
+    """``source``, ``weight`` and ``k``: how many documents of each size fill a source's room, from (source, room, weight, n).
+
+    The largest first, as many as fit, so that no document that is left fits in what
+    is left of the room. Sizes of which some are taken are few: together they are no
+    more than the room.
+    """
+
+    def take(a: Column, c: Column) -> Column:
+        k = F.least(c["n"], F.floor(a["room"] / c["weight"]))
+        more = F.array_append(a["taken"], F.struct(c["weight"].alias("weight"), k.alias("k")))
+        return F.struct((a["room"] - k * c["weight"]).alias("room"), F.when(k > 0, more).otherwise(a["taken"]).alias("taken")).cast(_FILLING)
+
+    start = F.struct(F.col("room").cast("double").alias("room"), F.array().cast("array<struct<weight:bigint,k:bigint>>").alias("taken")).cast(_FILLING)
+    return (
+        sizes.groupBy("source", "room")
+        .agg(F.sort_array(F.collect_list(F.struct("weight", "n")), asc=False).alias("sizes"))
+        .select("source", F.inline(F.aggregate("sizes", start, take, lambda a: a["taken"])))
+    )
+
+
+def _firsts(units: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
+    """The first ``k`` of ``units`` of each source and weight, in hashed order.
+
+    The greatest ``k`` bounds what each task passes on, so many documents of one size
+    do not meet in one task.
+    """
+    most = first_row(wanted.agg(F.max("k")))[0]
+    if most is None:
+        return units.limit(0)
+    asked = units.join(wanted.withColumnsRenamed({"source": "ws", "weight": "ww"}), F.col("source").eqNullSafe(F.col("ws")) & (F.col("weight") == F.col("ww")))
+    order = Window.partitionBy("source", "weight").orderBy(F.xxhash64("id", F.lit("fit"), F.lit(seed)), "id", "size")
+    return asked.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= int(most)).where("rank <= k")
+
+
 def draws(
     docs: DataFrame,
     weights: tuple[float, ...] = WEIGHTS,
@@ -169,7 +208,7 @@ def draws(
 
     ``taken_by`` is an array of (pass, shard): the document goes into the mix
     once for each. Whole documents are taken, so a source falls short of its
-    target by less than the least document left in its last block. A document
+    target by less than its least document that could still be taken. A document
     is taken ``most`` times at most.
 
     Null texts and texts without words have size 0. A null source is a source,
@@ -202,12 +241,12 @@ def draws(
     )
     order = Window.partitionBy("source").orderBy(F.xxhash64("source", "block", F.lit("order"), F.lit(seed)), "block")
     before = F.coalesce(F.sum("words").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ordered = settled(sums.withColumn("before", before))
     slots = settled(
-        sums.withColumn("before", before)
-        .withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(most - 1))))
+        ordered.withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(most - 1))))
         .withColumn("room", F.col("target") - F.col("pass") * F.col("source_size") - F.col("before"))
         .where("room > 0")
-        .select("source", "block", "pass", "room", (F.col("words") > F.col("room")).alias("partial"))
+        .select("source", "block", "pass", "room", "before", (F.col("words") > F.col("room")).alias("partial"))
     )
 
     # shards of the slots
@@ -229,35 +268,32 @@ def draws(
     sharded = settled(
         slots.withColumn("rank", F.row_number().over(deal))
         .join(cuts, F.col("source").eqNullSafe(F.col("of")))
-        .select("source", "block", "pass", "room", "partial", passed.alias("shard"))
+        .select("source", "block", "pass", "room", "before", "partial", passed.alias("shard"))
     )
     whole = sharded.where("NOT partial").groupBy(F.col("source").alias("ws"), F.col("block").alias("wb")).agg(
         F.sort_array(F.collect_list(F.struct("pass", "shard"))).alias("whole")
     )
 
-    # the documents of a source's last block that still fit, one after another
+    # what is missing where a block did not fit whole: documents of that block and of all after it
     last = sharded.where("partial").select(
-        F.col("source").alias("ps"), F.col("block").alias("pb"), "room", F.struct("pass", "shard").alias("part")
+        F.col("source").alias("ps"), F.col("before").alias("from"), "room", F.struct("pass", "shard").alias("part")
+    )
+    open_blocks = ordered.join(last, F.col("source").eqNullSafe(F.col("ps")) & (F.col("before") >= F.col("from"))).select(
+        F.col("source").alias("os"), F.col("block").alias("ob"), "room", "part"
     )
-    units = (
-        placed.join(last, F.col("source").eqNullSafe(F.col("ps")) & (F.col("block") == F.col("pb")))
+    # rows alike count as one document of all their words
+    units = settled(
+        placed.join(open_blocks, F.col("source").eqNullSafe(F.col("os")) & (F.col("block") == F.col("ob")))
+        .where("size > 0")
         .groupBy("source", "id", "size")
         .agg(F.count("*").alias("n"), F.first("room").alias("room"), F.first("part").alias("part"))
-        .groupBy("source", "room", "part")
-        .agg(F.sort_array(F.collect_list(F.struct(F.xxhash64("id", F.lit("fit"), F.lit(seed)).alias("h"), "id", "size", "n"))).alias("units"))
-    )
-    fitted = F.aggregate(
-        "units",
-        F.struct(F.col("room").alias("room"), F.array().cast("array<int>").alias("at"), F.lit(0).alias("i")),
-        lambda a, u: F.struct(
-            (a["room"] - F.when(u["size"] * u["n"] <= a["room"], u["size"] * u["n"]).otherwise(0)).alias("room"),
-            F.when(u["size"] * u["n"] <= a["room"], F.array_append(a["at"], a["i"])).otherwise(a["at"]).alias("at"),
-            (a["i"] + 1).alias("i"),
-        ),
-        lambda a: F.transform(a["at"], lambda i: F.get(F.col("units"), i)),
+        .withColumn("weight", F.col("size") * F.col("n"))
+        .where("weight <= room")
+        .select("source", "id", "size", "weight", "room", "part")
     )
-    extra = units.select("source", "part", F.explode(fitted).alias("u")).select(
-        F.col("source").alias("es"), F.col("u.id").alias("eid"), F.col("u.size").alias("esize"), "part"
+    wanted = settled(_filled(units.groupBy("source", "room", "weight").agg(F.count("*").alias("n"))))
+    extra = _firsts(units, wanted, seed).select(
+        F.col("source").alias("es"), F.col("id").alias("eid"), F.col("size").alias("esize"), "part"
     )
     return (
         placed.join(whole, F.col("source").eqNullSafe(F.col("ws")) & (F.col("block") == F.col("wb")), "left")

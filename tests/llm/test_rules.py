@@ -26,24 +26,39 @@ def targets_by_hand(sizes):
         full |= over
 
 
-@pytest.mark.parametrize("table", ["documents", "odd"])
-def test_mix(spark, table):
-    docs = odd_documents(spark) if table == "odd" else spark.read.parquet(f"{SF}/documents.parquet")
-    mixed = mixing.mix_sizes(docs).join(docs.select("doc_id", "source").distinct(), "doc_id").collect() if table != "odd" else None
+def skewed_documents(spark):
+    """Sources of one and of many documents, one with a third of all rows of one size, and very long documents among short ones."""
+    make = random.Random(4)
+    rows = [(k, "w " * make.choice([1, 2, 5, 40, 300]), f"s{k % 7}") for k in range(700)]
+    rows += [(1000 + k, "v " * 9, "hot") for k in range(400)] + [(2000 + k, "x " * 4000, f"s{k}") for k in range(7)]
+    rows += [(3000, "y " * 77, "alone"), (3001, "", "empty"), (3002, "z " * 11, None), (3003, "z " * 11, None), (3003, "z " * 11, None)]
+    return spark.createDataFrame([(*r, "en") for r in rows], "doc_id long, text string, source string, lang string")
+
+
+@pytest.mark.parametrize("table", ["documents", "odd", "skewed"])
+def test_mix(spark, monkeypatch, table):
+    """Targets are those of the plain rule, and no document is left that would still fit in a source's room."""
+    if table == "skewed":
+        monkeypatch.setattr(mixing, "BLOCK_ROWS", 4)
+    docs = {"odd": odd_documents, "skewed": skewed_documents}.get(table, lambda s: s.read.parquet(f"{SF}/documents.parquet"))(spark)
+    mixed = mixing.mix_sizes(docs).join(docs.select("doc_id", "source").distinct(), "doc_id").collect() if table == "documents" else None
     rows = mixing.draws(docs).collect()
     assert len(rows) == docs.count()
-    sizes, taken, small = defaultdict(int), defaultdict(int), defaultdict(lambda: 10**9)
+    sizes, taken, alike = defaultdict(int), defaultdict(int), defaultdict(int)
     for r in rows:
         sizes[r.source] += r.size
         taken[r.source] += r.size * len(r.taken_by)
+        alike[r.id, r.source, r.size] += 1
         assert len(r.taken_by) <= 2 and all(0 <= t.shard < 16 for t in r.taken_by)
-    for r in rows:
-        small[r.source] = max(small[r.source] if small[r.source] < 10**9 else 0, r.size)
+        assert len({t["pass"] for t in r.taken_by}) == len(r.taken_by)
     want = targets_by_hand(dict(sizes))
     for r in rows:
         assert r.target == pytest.approx(want[r.source]) and r.source_size == sizes[r.source]
-    for s in sizes:
-        assert taken[s] <= want[s] + 1e-6 and want[s] - taken[s] <= max(small[s], 1)
+        room = want[r.source] - taken[r.source]
+        assert room >= -1e-6
+        passes = int(want[r.source] / sizes[r.source] + 1e-9) if sizes[r.source] else 0
+        if r.size and len(r.taken_by) <= min(passes, 1):
+            assert r.size * alike[r.id, r.source, r.size] > room
     assert sorted(map(repr, mixing.draws(docs).repartition(3).collect())) == sorted(map(repr, rows))
     out = mixing.mixed_documents(docs)
     assert out.columns == docs.columns
