@@ -257,6 +257,12 @@ ORACLES: dict[str, str] = {
     "coerce_split": "SELECT o_orderkey, TRY_CAST(o_totalprice AS DECIMAL(7,2)) AS stored_price, "
     "CASE WHEN o_totalprice IS NOT NULL AND TRY_CAST(o_totalprice AS DECIMAL(7,2)) IS NULL "
     "THEN 'o_totalprice' ELSE '' END AS rejected FROM orders",
+    "split_written": "SELECT o_orderkey, o_custkey, CASE WHEN fits AND short THEN price END AS stored_price, o_orderdate, "
+    "CASE WHEN NOT (fits AND short) THEN o_totalprice END AS original_price, "
+    "concat_ws(',', CASE WHEN NOT short THEN 'o_custkey' END, CASE WHEN NOT fits THEN 'o_totalprice' END) AS rejected "
+    "FROM (SELECT *, TRY_CAST(o_totalprice AS DECIMAL(7,2)) AS price, "
+    "o_totalprice IS NULL OR TRY_CAST(o_totalprice AS DECIMAL(7,2)) IS NOT NULL AS fits, "
+    "o_custkey IS NULL OR TRY_CAST(o_custkey AS SMALLINT) IS NOT NULL AS short FROM orders)",
     "load_summary": f"WITH {_stored(EVENT_IDS)}\n{_summary('stored', 'event_time', TENTHS, 10)}",
     "events_summary": _summary("events", "ts", HUNDREDTHS, 1),
     "column_profile": COLUMN_PROFILE,

@@ -83,6 +83,22 @@ def coerce_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def split_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders written in one pass to rows with a narrow price and rows whose price does not fit, and both read back."""
+    orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    narrow = T.StructType([T.StructField("o_totalprice", NARROW_PRICE), T.StructField("o_custkey", T.ShortType())])
+    parts = tables.write_split(orders, narrow, shared.new_path(spark, "split"))
+    accepted = parts.accepted.select(
+        "o_orderkey", F.col("o_custkey").cast("bigint").alias("o_custkey"), F.col("o_totalprice").alias("stored_price"), "o_orderdate",
+        F.lit(None).cast("double").alias("original_price"), F.lit("").alias("rejected"),
+    )
+    rejected = parts.rejected.select(
+        "o_orderkey", "o_custkey", F.lit(None).cast(NARROW_PRICE).alias("stored_price"), "o_orderdate",
+        F.col("o_totalprice").alias("original_price"), F.array_join(coerce.REJECTED, ",").alias("rejected"),
+    )
+    return accepted.unionByName(rejected)
+
+
 # Summaries
 
 
@@ -451,6 +467,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_coerced": load_coerced,
     "load_stored": load_stored,
     "coerce_split": coerce_split,
+    "split_written": split_written,
     "load_summary": load_summary,
     "events_summary": events_summary,
     "column_profile": column_profile,

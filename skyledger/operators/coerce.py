@@ -45,6 +45,11 @@ def _cast(df: DataFrame, name: str, kind: T.DataType) -> Column:
     return F.when(_fits(value, df.schema[name].dataType, kind), value.try_cast(kind))
 
 
+def cast(df: DataFrame, name: str, kind: T.DataType) -> Column:
+    """A column of ``df`` in a declared type; NULL where it does not fit."""
+    return _cast(df, name, kind) if _needs_cast(df, name, kind) else F.col(name)
+
+
 def _needs_cast(df: DataFrame, name: str, kind: T.DataType) -> bool:
     return df.schema[name].dataType != kind
 

@@ -1,16 +1,20 @@
 """Catalog tables and re-runnable file appends."""
 
 from collections.abc import Callable
+from dataclasses import dataclass
 import re
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from skyledger import schemas
 from skyledger.functions.text import identifier, table_identifier
+from skyledger.operators import coerce
 
 # What Spark writes as %XX in the names of partition directories.
 _ESCAPED = re.compile(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""")
 
+_ORIGINAL, _OUTCOME, _ACCEPTED, _REJECTED = "__original", "__outcome", "accepted", "rejected"
+
 
 def drop_table(spark: SparkSession, table: str) -> None:
     """Remove the table and its data if it is there."""
@@ -74,6 +78,41 @@ def write_run(df: DataFrame, path: str, run_id: str) -> None:
         df.drop("run_id").limit(0).write.mode("overwrite").parquet(f"{path}/run_id={folder}")
 
 
+@dataclass(frozen=True)
+class Split:
+    """Both parts of a split write, read back: rows in their declared types, and misfits as they came."""
+
+    accepted: DataFrame
+    rejected: DataFrame
+
+
+def write_split(df: DataFrame, target: T.StructType, path: str) -> Split:
+    """Write rows that fit ``target`` in its types, and the others as they came with ``rejected_columns``, in one pass.
+
+    The source is read once and nothing is shuffled: each task writes its rows to the
+    directory of their outcome. A rejected row keeps all its original values and
+    types, an accepted one has none twice. Writing again replaces both parts.
+    """
+    spark = df.sparkSession
+    typed = coerce.typed(df, target)
+    values = {field.name: field.dataType for field in typed.drop(coerce.REJECTED).schema}
+    marked = coerce.mark(df, target)
+    misfit = F.size(coerce.REJECTED) > 0
+    original = F.struct(*(F.col(f"`{name}`") for name in df.columns))
+    rows = marked.select(
+        *(F.when(~misfit, coerce.cast(df, name, kind)).alias(name) for name, kind in values.items()),
+        F.when(misfit, original).alias(_ORIGINAL),
+        F.when(misfit, F.col(coerce.REJECTED)).alias(coerce.REJECTED),
+        F.when(misfit, _REJECTED).otherwise(_ACCEPTED).alias(_OUTCOME),
+    )
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(_OUTCOME).parquet(path)
+    stored = spark.read.schema(rows.schema).parquet(path)
+    return Split(
+        stored.where(F.col(_OUTCOME) == _ACCEPTED).select(*values),
+        stored.where(F.col(_OUTCOME) == _REJECTED).select(*(F.col(_ORIGINAL)[name].alias(name) for name in df.columns), coerce.REJECTED),
+    )
+
+
 def counting_rows(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
     """Run a write and return how many rows it wrote, counted while writing.
 

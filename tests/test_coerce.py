@@ -1,9 +1,11 @@
 from decimal import Decimal
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import functions as F, types as T
 import pytest
 
 from skyledger.operators import coerce
+from skyledger.sinks import tables
 
 TARGET = T.StructType(
     [
@@ -93,3 +95,40 @@ def test_bounds_agree_with_trying_the_cast(spark):
             accepted, rejected = coerce.split(df, target)
             assert accepted.count() + rejected.count() == df.count()
             assert accepted.schema["v"].dataType == kind
+
+
+def rows_read(spark):
+    """Rows that all stages so far have read from files."""
+    context = spark.sparkContext._jsc.sc()
+    context.listenerBus().waitUntilEmpty(30_000)
+    found = unknown = stage = 0
+    while unknown < 50:
+        try:
+            found += context.statusStore().lastStageAttempt(stage).inputRecords()
+        except Py4JJavaError:
+            unknown += 1
+        stage += 1
+    return found
+
+
+def test_a_split_write_reads_its_source_once(spark, tmp_path):
+    """Rows that fit come back in the declared types, the others as they were; nothing is read twice or shuffled."""
+    source = str(tmp_path / "source")
+    spark.range(0, 3_000, 1, 3).selectExpr(
+        "id", "IF(id % 7 = 0, NULL, id * 1.5D) AS price", "concat('t', id) AS `a b`", "id * 20 AS code", "'x' AS rejected"
+    ).write.parquet(source)
+    df = spark.read.parquet(source)
+    target = T.StructType([T.StructField("price", T.DecimalType(6, 2)), T.StructField("code", T.ShortType())])
+    before = rows_read(spark)
+    parts = tables.write_split(df, target, str(tmp_path / "out"))
+    assert rows_read(spark) - before == 3_000
+    accepted, rejected = parts.accepted.collect(), parts.rejected.collect()
+    assert len(accepted) + len(rejected) == 3_000
+    assert [f.dataType for f in parts.accepted.schema][:2] == [T.LongType(), T.DecimalType(6, 2)]
+    assert parts.rejected.schema["price"].dataType == T.DoubleType() and parts.rejected.schema["code"].dataType == T.LongType()
+    assert {r.id for r in accepted} == {i for i in range(3_000) if i * 20 < 32_768 and (i % 7 == 0 or i * 1.5 < 9_999.995)}
+    assert all(r.price == (None if r.id % 7 == 0 else r.id * 1.5) and r["a b"] == f"t{r.id}" for r in rejected)
+    assert {tuple(r.rejected_columns) for r in rejected} <= {("code",), ("price", "code")}
+    again = tables.write_split(df.where("id < 10"), target, str(tmp_path / "out"))
+    assert (again.accepted.count(), again.rejected.count()) == (10, 0)
+    assert tables.write_split(df.limit(0), target, str(tmp_path / "none")).accepted.count() == 0
