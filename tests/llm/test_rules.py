@@ -274,3 +274,62 @@ def test_learning_is_ftrl_proximal():
             n0 += g * g
     assert np.allclose(weights[:50], [weight(i) for i in range(50)], atol=1e-6) and np.count_nonzero(weights) > 0
     assert abs(bias + z0 / ((toxicity.BETA + n0**0.5) / toxicity.ALPHA)) < 1e-9
+
+
+def mcd_by_hand(vectors):
+    """The estimate by its definition in numpy: from the medians, the nearest half (n + p + 1) / 2 until the determinant stays."""
+    p, n = 4, len(vectors)
+    want = min(n, (n + p + 1) / 2)
+    share = want / n
+    floors = np.diag(np.square(quality.FLOORS))
+    x = 1.7
+    for _ in range(60):
+        x = min(40.0, x - (1 - np.exp(-x) * (1 + x) - min(share, 1 - 1e-9)) / (x * np.exp(-x)))
+    scale = share / (1 - np.exp(-x) * (1 + x + x * x / 2)) if share < 1 else 1.0
+    centre, cover, best = np.median(vectors, axis=0), floors, np.inf
+    found = centre, cover
+    while True:
+        far = np.einsum("ij,jk,ik->i", vectors - centre, np.linalg.inv(cover), vectors - centre)
+        weight = np.zeros(n)
+        order = np.argsort(far, kind="stable")
+        weight[order[: int(want)]] = 1
+        if int(want) < n:
+            weight[order[int(want)]] = want - int(want)
+        centre = weight @ vectors / want
+        cover = scale * ((vectors - centre).T * weight) @ (vectors - centre) / want + floors
+        now = np.linalg.slogdet(cover)[1] / 2
+        if not now < best - quality.FALL:
+            return found
+        best, found = now, (centre, cover)
+
+
+def test_estimates_against_numpy(spark):
+    """Clean rows with a third of junk, some far and some near: centre, distances and verdicts as numpy has them."""
+    draw = np.random.default_rng(11)
+    clean = draw.multivariate_normal([1.6, 0.4, 0.1, 0.2], np.diag([0.02, 0.1, 0.01, 0.01]) + 0.004, 900)
+    junk = draw.multivariate_normal([2.4, 3.0, 0.6, 0.1], np.eye(4) * 0.05, 450)
+    y = np.rint(np.concatenate((clean, junk)) * 10_000).astype(int)
+    rows = spark.createDataFrame([("g", *map(int, r), k) for k, r in enumerate(y)], "__group string, __y0 long, __y1 long, __y2 long, __y3 long, k int")
+    placed = quality._with_distance(rows.join(quality.estimates(rows.drop("k")), "__group"))
+    got = np.array([r["__d"] for r in placed.orderBy("k").collect()])
+    centre, cover = mcd_by_hand(y / 10_000)
+    want = np.einsum("ij,jk,ik->i", y / 10_000 - centre, np.linalg.inv(cover), y / 10_000 - centre)
+    # the histogram of distances takes the last bin by parts, so the halves differ by a few rows
+    assert np.allclose(got, want, rtol=0.08, atol=0.3)
+    assert ((got > quality.CUTOFF) == (want > quality.CUTOFF)).mean() > 0.998
+    assert (got[:900] <= quality.CUTOFF).mean() > 0.995 and (got[900:] > quality.CUTOFF).mean() > 0.95
+
+
+def test_the_pipeline_over_odd_documents(spark, tmp_path):
+    """All stages one after another over odd, repeated and null rows, each reading what the one before wrote."""
+    docs = odd_documents(spark).union(spark.read.parquet(f"{SF}/documents.parquet").selectExpr(
+        "doc_id + 1000 AS doc_id", "text", "lang", "source", "n_chars", "'x' AS component_id", "1 AS size", "true AS kept",
+        "array(1) AS spans", "'y' AS id", "2 AS n_words",
+    ))
+    docs = docs.union(docs.where("doc_id > 1190"))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    done = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert done and all(r.decodes and len(r.ids) == r.n_tokens for r in done)
+    none = spark.read.parquet(str(tmp_path / "documents.parquet")).limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none, str(tmp_path)).count() == 0

@@ -77,6 +77,29 @@ def test_packing_loses_nothing(spark):
     assert packing.packed(docs.limit(0)).count() == 0
 
 
+def test_written_rows_hold_every_token_of_repeated_and_null_ids(spark, tmp_path):
+    """Rows that repeat an id, or have none, are packed apart; read back from files, each text decodes whole."""
+    docs = odd_documents(spark)
+    path = str(tmp_path / "rows")
+    for _ in range(2):
+        packing.write_packed(packing.packed(docs, length=64), path)
+    texts = []
+    open_parts = {}
+    for r in sorted(spark.read.parquet(path).collect(), key=lambda r: r.row_id):
+        ids = np.frombuffer(bytes(r.ids), "<u2")
+        assert len(ids) == 64 and r.cu_seqlens[-1] == r.n_tokens and r.position_resets == r.cu_seqlens[:-1]
+        for doc, at, a, b in zip(r.doc_ids, r.doc_offsets, r.cu_seqlens, r.cu_seqlens[1:]):
+            open_parts.setdefault(doc, []).append((at, ids[a:b].tolist()))
+    want = {}
+    for r in docs.collect():
+        want.setdefault(r.doc_id, []).append(LIBRARY.encode_ordinary(r.text or ""))
+    for doc, parts in open_parts.items():
+        # the rows of one id are alike or have one part, so that parts of one offset belong to different rows
+        assert sorted(x for _, p in parts for x in p) == sorted(x for ids in want[doc] for x in ids)
+        texts.append(doc)
+    assert set(texts) == {d for d, lists in want.items() if any(lists)}
+
+
 def test_best_fit_decreasing():
     rng = np.random.default_rng(3)
     for _ in range(20):
