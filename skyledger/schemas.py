@@ -22,9 +22,10 @@ WEATHER_TARGET = T.StructType(
 # The target fills this column itself when a load leaves it out.
 LOADED_AT_DEFAULT = {"loaded_at": "current_timestamp()"}
 
-# Number of load batches; batch_id runs from 0 to BATCHES - 1.
+# Fixed value: number of load batches; batch_id runs from 0 to BATCHES - 1.
 BATCHES = 1000
 
+# Field names and types of a payload.
 PERSON = T.StructType(
     [T.StructField("craft", T.StringType()), T.StructField("name", T.StringType())]
 )
@@ -51,6 +52,7 @@ FALLBACK_PEOPLE = [
 # Fixed value: the greeting that ends every sentence.
 GREETING = "Hello! :)"
 
+# Columns of the sample file, in order.
 SAMPLE_CSV = T.StructType(
     [
         T.StructField("id", T.IntegerType()),
