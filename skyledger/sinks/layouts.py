@@ -16,18 +16,20 @@ from skyledger.functions.text import table_identifier
 from skyledger.functions.times import day_of
 from skyledger.operators.lookups import CELL_DEGREES, CURVE_BITS, cell_column, cell_of, curve_of
 from skyledger.schemas import BATCHES
-from skyledger.sinks import files
 
 #: Bits of the curve that places are counted by at first, and that are added where they are crowded.
 PREFIX, FINER = 12, 10
 #: Sizes that a bucket and a range of the place layout are made for.
 BUCKET_BYTES, RANGE_BYTES = 4 << 30, 256 << 20
+#: Sizes from here on stand for unknown ones.
+_UNKNOWN = 1 << 60
 
 
 def stored_bytes(df: DataFrame) -> int | None:
-    """Bytes of the files behind a frame that only reads and renames; None if there are none."""
-    paths = df.inputFiles()
-    return sum(files.size(df.sparkSession, path) for path in paths) if paths else None
+    """Bytes of the files, tables or ranges of numbers that a frame reads, as Spark has listed them; None where it does not know."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(at).stats().sizeInBytes())) for at in range(leaves.size())]
+    return sum(sizes) if sizes and max(sizes) < _UNKNOWN else None
 
 
 def buckets_for(size: int) -> int:
@@ -38,7 +40,7 @@ def buckets_for(size: int) -> int:
 def ranges_for(df: DataFrame) -> int:
     """Ranges for the data: one per 256 MB of the files behind it, but as many as there are cores.
 
-    Without files, as many as ``spark.sql.shuffle.partitions``.
+    Where their size is not known, as many as ``spark.sql.shuffle.partitions``.
     """
     size = stored_bytes(df)
     if size is None:

@@ -251,7 +251,9 @@ def test_rows_without_a_place_are_kept(spark, tmp_path):
 
 def test_sizes_decide_counts(spark, readings, tmp_path):
     assert [layouts.buckets_for(n) for n in (0, 64 << 30, (64 << 30) + 1, 1 << 50)] == [16, 16, 17, 1000]
-    assert layouts.stored_bytes(readings) is None and layouts.ranges_for(readings) == 8
+    unknown = spark.createDataFrame(readings.limit(5).collect(), readings.schema)
+    assert layouts.stored_bytes(unknown) is None and layouts.ranges_for(unknown) == 8
+    assert layouts.ranges_for(spark.range(1 << 30)) == 32
     readings.write.parquet(str(tmp_path / "t"))
     stored = spark.read.parquet(str(tmp_path / "t"))
     size = sum(f.stat().st_size for f in (tmp_path / "t").glob("*.parquet"))
