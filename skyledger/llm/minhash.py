@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 from skyledger.llm.settle import fetched, released, sent_if_small, settled
 from skyledger.llm.shingles import WordHashes, mixed, shingle_hashes, word_hashes
 from skyledger.llm.nodes import joined_ids, named_classes
-from skyledger.llm.stars import across, joined_by_stars
+from skyledger.llm.stars import SPARSE, across, joined_by_stars
 
 BINS = 128
 ROWS = 4
@@ -33,6 +33,8 @@ SLOTS = 1 << 18
 COLUMNS = 4096
 #: Ids up to which they are sent to all tasks, 3 MB at most; more are joined by a shuffle.
 SENT = 1 << 17
+#: Sets of a block in the last step; every set of a crowd goes to as many tasks as its crowd has blocks.
+BLOCK = 1024
 SIGNED = "id long, n_shingles long, h1 long, h2 long, bands array<long>, low array<byte>"
 
 
@@ -248,11 +250,11 @@ def near_duplicates(
         sets = held[1]
         homes = settled(crowds.select("id", "component").distinct())
         keyed = _prefixes(sets, homes, percent)
-        out = across(keyed, sets, _alike(percent), merged=True)
+        out = across(keyed, sets, _alike(percent), merged=True, block=BLOCK)
         released(keyed, homes)
         return out
 
-    reached = joined_by_stars(nodes.select("id", F.explode("bands").alias("bucket")), copies, confirm, rest)
+    reached = joined_by_stars(nodes.select("id", F.explode("bands").alias("bucket")), copies, confirm, rest, n_hubs=1, sparse=SPARSE)
     reached = joined_ids(reached, classes)
     released(nodes, classes, *held)
     return (

@@ -16,6 +16,8 @@ HUBS = 4
 FEW = 16
 #: Members of a large crowd compared at once with as many others.
 BLOCK = 256
+#: A round that confirms fewer than one in so many of its pairs is the last, where the caller says so.
+SPARSE = 16
 
 
 def _meeting(near: Callable[[pa.Table, np.ndarray, np.ndarray], np.ndarray]):
@@ -39,12 +41,16 @@ def _meeting(near: Callable[[pa.Table, np.ndarray, np.ndarray], np.ndarray]):
 
 
 def across(
-    crowds: DataFrame, seen: DataFrame, near: Callable[[pa.Table, np.ndarray, np.ndarray], np.ndarray], merged: bool = False
+    crowds: DataFrame,
+    seen: DataFrame,
+    near: Callable[[pa.Table, np.ndarray, np.ndarray], np.ndarray],
+    merged: bool = False,
+    block: int = BLOCK,
 ) -> DataFrame:
     """Pairs (a, b) of different components that share a crowd, settled, from rows (bucket, id, component).
 
     Pairs of small crowds are listed, FEW / 2 for each row at most. Large ones
-    meet block against block and give links, one for each two components of two
+    meet block against block, of about ``block`` members each, and give links, one for each two components of two
     blocks: ``near(table, left, right)`` tells them, a matrix over rows of a
     table with the columns of ``seen`` (id, ...). Where ``merged``, large crowds
     that share members are one, so that no two members meet twice.
@@ -81,7 +87,7 @@ def across(
         many = named.join(crowd, named["bucket"] == crowd["of"]).drop("of")
     met = (
         many.join(seen, "id")
-        .withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
+        .withColumn("blocks", F.ceil(F.col("members") / block).cast("int"))
         .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
@@ -98,6 +104,8 @@ def joined_by_stars(
     copies: DataFrame,
     confirm: Callable[[DataFrame, DataFrame, bool], DataFrame],
     rest: Callable[[DataFrame], DataFrame],
+    n_hubs: int = HUBS,
+    sparse: int | None = None,
 ) -> DataFrame:
     """``node`` and ``component`` of everything that has a link, from rows (id, bucket).
 
@@ -106,7 +114,8 @@ def joined_by_stars(
     of their sizes. ``confirm(pairs, candidates, last)`` returns the pairs (a, b) that
     are links, settled, without fail in the ``last`` step; ``candidates`` holds the ids of all
     members of shared buckets and stays the same. Buckets that still hold several
-    components propose other hubs, round after round, until a round joins nothing.
+    components propose ``n_hubs`` other hubs, round after round, until a round joins
+    nothing or, where ``sparse`` is given, confirms fewer than one pair in so many.
     What is left then, rows (bucket, id, component) of buckets of more than two
     members in several components, goes to ``rest``, which returns pairs (a, b),
     settled, that hold all links across these components that share a bucket. ``copies`` are links (a, b)
@@ -125,12 +134,15 @@ def joined_by_stars(
         released(reached, found)
         return out
 
-    while True:
-        placed = shared.join(reached, shared["id"] == reached["node"], "left").select(
+    def members() -> DataFrame:
+        return shared.join(reached, shared["id"] == reached["node"], "left").select(
             "bucket", "id", F.coalesce("component", "id").alias("component")
         )
+
+    while True:
+        placed = members()
         # the hub: the least id first, then some others by hashes of the round
-        ranks = [F.xxhash64("id", F.lit(turn), F.lit(k)) for k in range(HUBS)] if turn else [F.col("id")]
+        ranks = [F.xxhash64("id", F.lit(turn), F.lit(k)) for k in range(n_hubs)] if turn else [F.col("id")]
         member = lambda rank: F.struct(rank.alias("rank"), F.col("id").alias("hub"), F.col("component").alias("home"))
         hubs = (
             placed.groupBy("bucket")
@@ -155,10 +167,13 @@ def joined_by_stars(
         pairs = settled(pairs)
         found = confirm(pairs, candidates, False)
         rounds.append(pairs)
+        enough = sparse is None or found.count() * sparse >= pairs.count()
         if not is_empty(found):
             reached = grown(found)
             turn += 1
-            continue
+            if enough:
+                continue
+            placed = members()
         # a star tests all pairs of a bucket of two
         spread = (
             placed.groupBy(F.col("bucket").alias("of"))

@@ -7,7 +7,7 @@ from hypothesis import given, settings, strategies as st
 import numpy as np
 import pytest
 
-from skyledger.llm import lattice, minhash, suffix
+from skyledger.llm import lattice, minhash, stars, suffix
 from skyledger.llm.components import components
 from skyledger.sinks.shared import shared_folder
 from tests.llm.helpers import SF, alike, joined, odd_documents, repeats_by_hand, repeats_in_order, word_sets
@@ -214,3 +214,22 @@ def test_vectors_that_share_an_id(spark):
     got = lattice.near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
     want = [(1, 0, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 3, True), (4, 0, 3, False), (4, 1, 3, False), (5, 0, 5, True), (5, 1, 5, True), (5, 1, 5, True)]
     assert sorted(map(tuple, got.collect())) == want
+
+
+def test_rounds_end_when_few_of_their_pairs_are_links(spark):
+    """One crowd whose rounds would join it one by one: the rest is asked at once, and nothing is missed."""
+    dealt = spark.range(120).selectExpr("id", "7L AS bucket")
+    none = spark.createDataFrame([], "a long, b long")
+    tried = []
+
+    def confirm(pairs, candidates, last):
+        tried.append(last)
+        return stars.settled(pairs.where("b - a = 1"))
+
+    def rest(crowds):
+        ids = [r.id for r in crowds.select("id").collect()]
+        return stars.settled(spark.createDataFrame([(i, i + 1) for i in ids if i + 1 in ids], "a long, b long"))
+
+    reached = stars.joined_by_stars(dealt, none, confirm, rest, n_hubs=1, sparse=stars.SPARSE)
+    assert {r.node: r.component for r in reached.collect()} == dict.fromkeys(range(120), 0)
+    assert tried == [False, True]
