@@ -51,19 +51,13 @@ def cell_of(latitude: Column, longitude: Column, degrees: int = CELL_DEGREES) ->
     return (row * columns + column).cast("int")
 
 
-#: Each byte with its bits moved to twice their places.
-_SPREAD = tuple(sum((byte >> bit & 1) << 2 * bit for bit in range(8)) for byte in range(256))
+#: Bits of each coordinate on the curve.
+CURVE_BITS = 16
 
 
 def _spread_bits(value: Column) -> Column:
-    """The low 16 bits of a number, each moved to twice its place, by a table, so that the number is named but twice."""
-    table = F.array(*(F.lit(spread).cast("bigint") for spread in _SPREAD))
-    high, low = F.shiftright(value, 8).cast("int"), value.bitwiseAND(F.lit(255)).cast("int")
-    return F.shiftleft(F.get(table, high), 16).bitwiseOR(F.get(table, low))
-
-
-#: Bits of each coordinate on the curve.
-CURVE_BITS = 16
+    """The 16 bits of a number, each moved to twice its place: its binary digits, read to the base of four. Null for larger numbers."""
+    return F.when(value.between(0, (1 << CURVE_BITS) - 1), F.conv(F.bin(value), 4, 10).cast("bigint"))
 
 
 def curve_of(latitude: Column, longitude: Column) -> Column:

@@ -21,6 +21,8 @@ from skyledger.schemas import BATCHES
 PREFIX, FINER = 12, 10
 #: Sizes that a bucket and a range of the place layout are made for.
 BUCKET_BYTES, RANGE_BYTES = 4 << 30, 256 << 20
+#: Rows of a range that one task sorts; a larger range goes to several tasks, place by place.
+TASK_ROWS = 1 << 20
 #: Sizes from here on stand for unknown ones.
 _UNKNOWN = 1 << 60
 
@@ -102,19 +104,24 @@ def _counted(rows: DataFrame, depth: int, within: list[Place]) -> list[Place]:
         inside = (F.col("__cell") == F.col("in_cell")) & (F.shiftright("__curve", up) == F.col("in_prefix"))
         rows = rows.join(F.broadcast(named), inside, "left_semi")
     found = rows.groupBy("__cell", F.shiftright("__curve", span).alias("__prefix")).agg(F.count(F.lit(1)).alias("rows"))
-    return [Place(r["__cell"], r["__prefix"] << span, depth, r["rows"]) for r in found.collect()]  # bounded by the prefixes
+    # bounded by the prefixes; rows without a coordinate have no place
+    return [Place(r["__cell"], r["__prefix"] << span, depth, r["rows"]) for r in found.collect() if r["__prefix"] is not None]
 
 
-def places(rows: DataFrame, ranges: int) -> list[Place]:
-    """Places in order of cell and curve, cut finer where more rows lie than one of ``ranges`` holds.
+def places(rows: DataFrame, ranges: int, most: int = TASK_ROWS) -> list[Place]:
+    """Places in order of cell and curve, cut finer where more rows lie than one task takes.
+
+    A range is a task where it has no more than ``most`` rows, else it is cut, like
+    the whole, into as many equal parts as that asks for.
 
     ``rows`` has columns ``__cell`` and ``__curve``. The first count has at most
     4^PREFIX / 2 places besides the cells, each finer one 4^FINER for each place that is
-    cut, and fewer than ``ranges`` are. Only a place as fine as the curve is still
-    larger than a range; its rows go to several tasks by a hash.
+    cut, and fewer than there are tasks are. Only a place as fine as the curve is still
+    larger than a task's share; its rows go to several tasks by a hash.
     """
     level = _counted(rows, PREFIX, [])
-    target = max(1, -(-sum(p.rows for p in level) // ranges))
+    total = sum(p.rows for p in level)
+    target = max(1, -(-total // (ranges * max(1, -(-total // (ranges * most))))))
     done: list[Place] = []
     while level:
         depth = level[0].depth
@@ -173,12 +180,13 @@ def partition_by_cell(
     small box opens few of them. Places are counted first, from the two coordinates
     alone, finer where they are crowded; then each row goes straight to its range, so
     the rows are read and shuffled once. ``ranges``, of about equal size each, are as
-    many as the size of the data asks for (``ranges_for``) unless told otherwise. Rows
-    of one place, and rows without a coordinate, are dealt on by a hash of the row.
+    many as the size of the data asks for (``ranges_for``) unless told otherwise; a range
+    of more than ``TASK_ROWS`` rows is sorted and written by several tasks, each with
+    a part of its places. Rows of one place, and rows without a coordinate, are dealt on by a hash of the row.
     """
     cell = cell_column(degrees)
     ranges = ranges or ranges_for(df)
-    points = df.where("latitude IS NOT NULL AND longitude IS NOT NULL").select(
+    points = df.select(
         cell_of(F.col("latitude"), F.col("longitude"), degrees).alias("__cell"),
         curve_of(F.col("latitude"), F.col("longitude")).alias("__curve"),
     )

@@ -258,3 +258,24 @@ def test_sizes_decide_counts(spark, readings, tmp_path):
     stored = spark.read.parquet(str(tmp_path / "t"))
     size = sum(f.stat().st_size for f in (tmp_path / "t").glob("*.parquet"))
     assert layouts.stored_bytes(stored) == size and layouts.ranges_for(stored) == spark.sparkContext.defaultParallelism
+
+
+def test_a_range_is_sorted_by_as_many_tasks_as_its_rows_ask_for(spark):
+    rows = spark.range(3_000).selectExpr("CAST(id % 5 AS int) AS __cell", "pmod(xxhash64(id), 4294967296) AS __curve")
+    tasks = {}
+    for most in (100, 200, 1_000):
+        found = layouts.places(rows, 3, most=most)
+        held = {}
+        for p in found:
+            for k in range(p.first, p.first + p.parts):
+                held[k] = held.get(k, 0) + p.rows / p.parts
+        assert sum(p.rows for p in found) == 3_000 and max(held.values()) <= most
+        tasks[most] = len(held)
+    assert tasks[100] > tasks[200] > tasks[1_000] >= 3
+
+
+def test_points_off_the_curve_have_no_place(spark, tmp_path):
+    off = spark.createDataFrame([(1, 10.0, 10.0), (2, 10.0, 500.0), (3, -200.0, 0.0), (4, None, 5.0)], "id long, latitude double, longitude double")
+    on = {r.id: r.c for r in off.withColumn("c", lookups.curve_of(F.col("latitude"), F.col("longitude"))).collect()}
+    assert on[1] is not None and on[2] is on[3] is on[4] is None
+    assert layouts.partition_by_cell(off, str(tmp_path / "t")).count() == 4
