@@ -2,15 +2,18 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from skyledger.llm.settle import first_row, released, settled
+from skyledger.llm.settle import is_empty, released, settled
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _around(links: DataFrame) -> DataFrame:
+    """``x``, ``least`` and ``most``: the bounds of the neighbours of every node."""
+    ends = F.explode(F.array(F.struct(F.col("hi").alias("x"), F.col("lo").alias("y")), F.struct(F.col("lo").alias("x"), F.col("hi").alias("y"))))
+    return links.select(ends.alias("end")).groupBy("end.x").agg(F.min("end.y").alias("least"), F.max("end.y").alias("most"))
+
+
+def _large_star(links: DataFrame, around: DataFrame) -> DataFrame:
     """Every larger neighbour of a node moves to the least of the node and its neighbours."""
-    ends = links.select(F.col("hi").alias("x"), F.col("lo").alias("y")).union(links.select(F.col("lo"), F.col("hi")))
-    least = ends.groupBy(F.col("x").alias("mx")).agg(F.min(F.least("x", "y")).alias("m"))
-    moved = ends.where("y > x").join(least, F.col("x") == F.col("mx"))
-    return moved.select(F.col("y").alias("hi"), F.col("m").alias("lo")).distinct()
+    return links.join(around, F.col("lo") == F.col("x")).select("hi", F.least("x", "least").alias("lo")).distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
@@ -27,7 +30,8 @@ def _small_star(links: DataFrame) -> DataFrame:
 def components(links: DataFrame, left: str, right: str) -> DataFrame:
     """``node`` and ``component`` (the least node reachable) for each node that has a link, settled.
 
-    Alternating large and small stars until nothing moves: each round is a
+    Alternating large and small stars until the links are stars around least
+    nodes, which the bounds of each node's neighbours tell: each round is a
     partial aggregation and a join on node ids, so a node with many links is
     combined before the shuffle and its join can be split. Links to null or to
     oneself say nothing and are left out; no links give no rows.
@@ -37,16 +41,13 @@ def components(links: DataFrame, left: str, right: str) -> DataFrame:
         .where(f"{left} IS NOT NULL AND {right} IS NOT NULL AND hi <> lo")
         .distinct()
     )
-    seen = None
     while True:
-        mark = first_row(now.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))))
-        if mark == seen or mark[0] == 0:
-            out = settled(
-                now.select(F.col("hi").alias("node"), F.col("lo").alias("component")).union(now.select("lo", "lo").distinct())
-            )
-            released(now)
+        around = settled(_around(now))
+        # a node that is not the least among its neighbours has one link, to a node that is
+        if is_empty(around.where("least < x AND least <> most")):
+            out = settled(around.select(F.col("x").alias("node"), F.least("x", "least").alias("component")))
+            released(now, around)
             return out
-        seen = mark
-        moved = settled(_small_star(_large_star(now)))
-        released(now)
+        moved = settled(_small_star(_large_star(now, around)))
+        released(now, around)
         now = moved

@@ -164,9 +164,13 @@ def estimates(rows: DataFrame) -> DataFrame:
     estimate of the least one is kept. All sums are partial sums of whole
     numbers, so the result does not depend on how rows are dealt.
     """
-    best = now = _medians(rows)
+    best = _medians(rows)
+    # no step has more groups than the first
+    sent = F.broadcast if is_small(best, SENT_GROUPS) else lambda df: df
+    best = best.withColumn("__falls", F.lit(True))
     while True:
-        placed = _with_distance(rows.join(_sent(now), "__group")).withColumn("__bin", F.floor(F.log1p("__d") * 64))
+        now = best.where("__falls").drop("__falls")
+        placed = _with_distance(rows.join(sent(now), "__group")).withColumn("__bin", F.floor(F.log1p("__d") * 64))
         bins = placed.groupBy("__group", "__bin").agg(F.count("*").alias("k"))
         want = F.least(F.col("all").cast("double"), (F.col("all") + _P + 1) / 2)
         # the bins of a group are few: the logarithm bounds them
@@ -188,15 +192,18 @@ def estimates(rows: DataFrame) -> DataFrame:
             )
             .select("__group", "__scale", F.col("__edge.bin").alias("__last"), F.col("__edge.part").alias("__part"))
         )
-        inner = placed.join(_sent(settled(nearest)), "__group").where("__bin <= __last")
+        inner = placed.join(sent(settled(nearest)), "__group").where("__bin <= __last")
         stepped = _with_factor(_moments(inner))
-        before = best.select(F.col("__group").alias("__of"), F.col("__det").alias("__was"))
-        now = settled(
-            stepped.join(before, F.col("__group") == F.col("__of")).where(F.col("__det") < F.col("__was") - FALL).drop("__of", "__was")
+        values = [*_C, *_L.values(), "__det"]
+        named = stepped.select(F.col("__group").alias("__of"), *(F.col(c).alias(f"{c}_now") for c in values))
+        falls = F.coalesce(F.col("__det_now") < F.col("__det") - FALL, F.lit(False))
+        best = settled(
+            best.join(sent(named), F.col("__group") == F.col("__of"), "left").select(
+                "__group", *(F.when(falls, F.col(f"{c}_now")).otherwise(F.col(c)).alias(c) for c in values), falls.alias("__falls")
+            )
         )
-        if is_empty(now):
-            return best
-        best = settled(best.join(now, "__group", "left_anti").unionByName(now))
+        if is_empty(best.where("__falls")):
+            return best.drop("__falls")
 
 
 def _measured(docs: DataFrame, lang_col: str, source_col: str, text_col: str) -> DataFrame:

@@ -7,7 +7,7 @@ from hypothesis import given, settings, strategies as st
 import numpy as np
 import pytest
 
-from skyledger.llm import lattice, minhash, stars, suffix
+from skyledger.llm import components as components_module, lattice, minhash, stars, suffix
 from skyledger.llm.components import components
 from skyledger.sinks.shared import shared_folder
 from tests.llm.helpers import SF, alike, joined, odd_documents, repeats_by_hand, repeats_in_order, word_sets
@@ -86,6 +86,31 @@ def test_components(spark):
     assert components(links.limit(0), "a", "b").count() == 0
 
 
+def test_stars_are_components_without_a_round(spark, monkeypatch):
+    """Links that are stars around least nodes already are not moved; a path is, and then it is not moved once more to see that it rests."""
+    rounds = []
+    star = components_module._small_star
+    monkeypatch.setattr(components_module, "_small_star", lambda links: rounds.append(1) or star(links))
+    stars = [(1, k) for k in (5, 9, 7)] + [(k, 2) for k in (4, 8)] + [(5, 1), (3, 3)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(stars, "a long, b long"), "a", "b").collect()}
+    assert got == {1: 1, 5: 1, 9: 1, 7: 1, 2: 2, 4: 2, 8: 2} and not rounds
+    got = {r.node: r.component for r in components(spark.createDataFrame([(1, 2), (2, 3)], "a long, b long"), "a", "b").collect()}
+    assert got == {1: 1, 2: 1, 3: 1} and len(rounds) == 1
+
+
+def test_components_of_odd_shapes(spark):
+    """Sparse random links, a long path in mixed order, a hub that is the greatest node, and repeated links."""
+    draw = random.Random(4)
+    path = draw.sample(range(1000, 1060), 60)
+    links = [(draw.randrange(300), draw.randrange(300)) for _ in range(170)] + list(zip(path, path[1:]))
+    links += [(2000, k) for k in range(1100, 1140)] + [(-k, -2 * k) for k in range(1, 20)]
+    links += links[:40]
+    linked = {frozenset(x) for x in links}
+    root = joined({x for a, b in links if a != b for x in (a, b)}, lambda a, b: frozenset((a, b)) in linked)
+    rows = spark.createDataFrame(links, "a long, b long").repartition(5)
+    assert sorted(map(tuple, components(rows, "a", "b").collect())) == sorted(root.items())
+
+
 def test_repeats(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]

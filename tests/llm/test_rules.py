@@ -320,6 +320,27 @@ def test_estimates_against_numpy(spark):
     assert (got[:900] <= quality.CUTOFF).mean() > 0.995 and (got[900:] > quality.CUTOFF).mean() > 0.95
 
 
+def test_groups_stop_apart_and_are_counted_once(spark, monkeypatch):
+    """Groups that need few, more and no steps have the estimates they have alone, sent or joined; a step does not count them again."""
+    draw = np.random.default_rng(5)
+    groups = {
+        "one": np.full((60, 4), 3),
+        "round": np.rint(draw.normal(1, 0.2, (300, 4)) * 10_000),
+        "split": np.rint(np.concatenate((draw.normal(0.5, 0.1, (250, 4)), draw.normal(2, 0.4, (200, 4)))) * 10_000),
+    }
+    rows = spark.createDataFrame(
+        [(g, *map(int, r)) for g, y in groups.items() for r in y], "__group string, __y0 long, __y1 long, __y2 long, __y3 long"
+    )
+    alone = {tuple(r) for g in groups for r in quality.estimates(rows.where(F.col("__group") == g)).collect()}
+    asked = []
+    small = quality.is_small
+    monkeypatch.setattr(quality, "is_small", lambda *a: asked.append(1) or small(*a))
+    assert {tuple(r) for r in quality.estimates(rows).collect()} == alone and len(asked) == 1
+    monkeypatch.setattr(quality, "is_small", lambda *a: False)
+    assert {tuple(r) for r in quality.estimates(rows).collect()} == alone
+    assert quality.estimates(rows.limit(0)).count() == 0
+
+
 def test_the_pipeline_over_odd_documents(spark, tmp_path):
     """All stages one after another over odd, repeated and null rows, each reading what the one before wrote."""
     docs = odd_documents(spark).union(spark.read.parquet(f"{SF}/documents.parquet").selectExpr(
